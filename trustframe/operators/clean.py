@@ -21,7 +21,7 @@ AGE_EDGES = [0, 30, 40, 50, 100]
 AGE_LABELS = ["<30", "30-40", "40-50", "50+"]
 
 
-def require_columns(df: DataFrame, cols: Sequence[str], what: str = "column") -> None:
+def require_columns(df: DataFrame, cols: Sequence[str], what: str = "feature") -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise MissingColumnError(f"{what} not found: {', '.join(missing)}")
@@ -78,8 +78,8 @@ def missing_profile(df: DataFrame) -> DataFrame:
             miss = miss | F.isnan(c)
         aggs.append(F.count_if(miss).alias(f.name))
     wide = df.agg(*aggs)
-    long = wide.unpivot(["__n"], df.columns, "column", "n_missing")
-    return long.select("column", F.col("n_missing").cast("long").alias("n_missing"),
+    long = wide.unpivot(["__n"], df.columns, "feature", "n_missing")
+    return long.select("feature", F.col("n_missing").cast("long").alias("n_missing"),
                        F.when(F.col("__n") > 0, F.col("n_missing") / F.col("__n"))
                        .otherwise(F.lit(0.0)).alias("missing_frac"))
 
@@ -106,15 +106,17 @@ def feature_types(df: DataFrame, cols: Sequence[str] | None = None, max_distinct
         else:
             dtype, kind = t.simpleString(), "other"
         rows.append((c, dtype, nd[c], kind))
-    return spark.createDataFrame(rows, "column string, dtype string, n_distinct long, kind string")
+    return spark.createDataFrame(rows, "feature string, dtype string, n_distinct long, kind string")
 
 
 def impute_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                   empty_mode: str | None = None) -> DataFrame:
     """Fill values: numeric <- exact median, string <- mode (ties smallest).
-    Output: column, fill (string; numeric medians as their double text)."""
-    med = exact_medians(df, numeric).select("column", F.col("median").cast("string").alias("fill"))
-    mod = column_modes(df, categorical, empty_mode).select("column", F.col("mode").alias("fill"))
+    Output: feature, fill_num (numeric columns), fill_str (string columns)."""
+    med = exact_medians(df, numeric).select(
+        "feature", F.col("median").alias("fill_num"), F.lit(None).cast("string").alias("fill_str"))
+    mod = column_modes(df, categorical, empty_mode).select(
+        "feature", F.lit(None).cast("double").alias("fill_num"), F.col("mode").alias("fill_str"))
     return med.unionByName(mod)
 
 
@@ -124,8 +126,9 @@ def impute(df: DataFrame, numeric: Sequence[str] | None = None,
     O(columns) and travel as literals."""
     numeric = numeric_columns(df) if numeric is None else list(numeric)
     categorical = string_columns(df) if categorical is None else list(categorical)
-    fills = {r["column"]: r["fill"] for r in impute_values(df, numeric, categorical,
-                                                           empty_mode).collect()}
+    # O(columns) rows: one fill value per column
+    fills = {r["feature"]: (r["fill_num"] if r["fill_str"] is None else r["fill_str"])
+             for r in impute_values(df, numeric, categorical, empty_mode).collect()}
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)

@@ -19,7 +19,7 @@ from trustframe.functions.exprs import nan_to_null
 
 
 def _long(df: DataFrame, cols: Sequence[str], dtype: str) -> DataFrame:
-    tags = F.array(*[F.struct(F.lit(c).alias("column"),
+    tags = F.array(*[F.struct(F.lit(c).alias("feature"),
                               (nan_to_null(F.col(c).cast("double")) if dtype == "double"
                                else F.col(c).cast(dtype)).alias("v")) for c in cols])
     return df.select(F.inline(tags)).where(F.col("v").isNotNull())
@@ -32,26 +32,26 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 100000) ->
     spark = df.sparkSession
     cols = list(cols)
     if not cols:
-        return spark.createDataFrame([], "column string, median double")
+        return spark.createDataFrame([], "feature string, median double")
     long = _long(df, cols, "double")
     eps = 2.0 / accuracy
     lo_q, hi_q = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
     for _ in range(4):
         # tiny: one row per column
-        br = long.groupBy("column").agg(
+        br = long.groupBy("feature").agg(
             F.count(F.lit(1)).alias("n"),
             F.percentile_approx("v", F.array(F.lit(lo_q), F.lit(hi_q)), accuracy).alias("b"),
             F.min("v").alias("vmin"), F.max("v").alias("vmax"))
-        br = br.select("column", "n",
+        br = br.select("feature", "n",
                        (F.col("vmin") if lo_q <= 0.0 else F.col("b")[0]).alias("lo"),
                        (F.col("vmax") if hi_q >= 1.0 else F.col("b")[1]).alias("hi"))
         br = br.withColumn("k_lo", F.floor((F.col("n") - 1) / 2)) \
                .withColumn("k_hi", F.ceil((F.col("n") - 1) / 2)).cache()
-        j = long.join(F.broadcast(br), "column")  # one row per column
-        cnt = j.groupBy("column").agg(
+        j = long.join(F.broadcast(br), "feature")  # one row per column
+        cnt = j.groupBy("feature").agg(
             F.count_if(F.col("v") < F.col("lo")).alias("n_lt"),
             F.count_if((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))).alias("n_in"))
-        chk = br.join(cnt, "column").withColumn(
+        chk = br.join(cnt, "feature").withColumn(
             "ok", (F.col("n_lt") <= F.col("k_lo")) & (F.col("k_hi") < F.col("n_lt") + F.col("n_in")))
         bad = chk.where(~F.col("ok")).count()
         if bad == 0 or (lo_q <= 0.0 and hi_q >= 1.0):
@@ -59,18 +59,18 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 100000) ->
         br.unpersist()
         eps *= 8
         lo_q, hi_q = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
-    chk = chk.select("column", "lo", "hi", "n_lt", "k_lo", "k_hi")
-    inside = long.join(F.broadcast(chk), "column") \
+    chk = chk.select("feature", "lo", "hi", "n_lt", "k_lo", "k_hi")
+    inside = long.join(F.broadcast(chk), "feature") \
         .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
     # bounded: about 4n/accuracy rows per column
-    w = Window.partitionBy("column").orderBy("v")
+    w = Window.partitionBy("feature").orderBy("v")
     ranked = inside.withColumn("r", F.row_number().over(w) - 1 + F.col("n_lt"))
     picked = ranked.where((F.col("r") == F.col("k_lo")) | (F.col("r") == F.col("k_hi")))
-    med = picked.groupBy("column").agg(
+    med = picked.groupBy("feature").agg(
         ((F.max(F.when(F.col("r") == F.col("k_lo"), F.col("v"))) +
           F.max(F.when(F.col("r") == F.col("k_hi"), F.col("v")))) / 2).alias("median"))
-    allc = spark.createDataFrame([(c,) for c in cols], "column string")
-    return allc.join(med, "column", "left")
+    allc = spark.createDataFrame([(c,) for c in cols], "feature string")
+    return allc.join(med, "feature", "left")
 
 
 def column_modes(df: DataFrame, cols: Sequence[str], empty: str | None = None) -> DataFrame:
@@ -79,13 +79,13 @@ def column_modes(df: DataFrame, cols: Sequence[str], empty: str | None = None) -
     spark = df.sparkSession
     cols = list(cols)
     if not cols:
-        return spark.createDataFrame([], "column string, mode string")
-    counts = _long(df, cols, "string").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy("column").agg(
+        return spark.createDataFrame([], "feature string, mode string")
+    counts = _long(df, cols, "string").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("feature").agg(
         F.min_by(F.col("v"), F.struct(-F.col("n"), F.col("v"))).alias("mode"))
-    allc = spark.createDataFrame([(c,) for c in cols], "column string")
-    return allc.join(best, "column", "left").select(
-        "column", F.coalesce(F.col("mode"), F.lit(empty)).alias("mode"))
+    allc = spark.createDataFrame([(c,) for c in cols], "feature string")
+    return allc.join(best, "feature", "left").select(
+        "feature", F.coalesce(F.col("mode"), F.lit(empty)).alias("mode"))
 
 
 def distinct_small(df: DataFrame, cols: Sequence[str], cap: int = 10,

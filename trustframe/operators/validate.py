@@ -42,7 +42,7 @@ def validation_report(df: DataFrame, label: str, protected: Sequence[str],
         F.avg("missing_frac").alias("mean_missing"),
         F.count_if(F.col("missing_frac") > high_missing).alias("n_high_missing"),
         F.concat_ws(",", F.array_sort(F.collect_list(
-            F.when(F.col("missing_frac") > high_missing, F.col("column"))))).alias("high_missing"))
+            F.when(F.col("missing_frac") > high_missing, F.col("feature"))))).alias("high_missing"))
     dist = class_distribution(df, label)
     ratio = class_ratio(dist, warn_below)
     n = dist.agg(F.sum("n").alias("n_rows"))
