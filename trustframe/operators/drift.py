@@ -52,11 +52,12 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str],
     tot = h.groupBy("feature").agg(
         F.sum("cnt_ref").alias("n_ref"), F.sum("cnt_cur").alias("n_cur"),
         F.min("v").alias("lo"), F.max("v").alias("hi"),
-        (F.sum(F.col("v") * F.col("cnt_ref")) / F.sum("cnt_ref")).alias("mean_ref"),
-        (F.sum(F.col("v") * F.col("cnt_cur")) / F.sum("cnt_cur")).alias("mean_cur"))
+        F.try_divide(F.sum(F.col("v") * F.col("cnt_ref")), F.sum("cnt_ref")).alias("mean_ref"),
+        F.try_divide(F.sum(F.col("v") * F.col("cnt_cur")), F.sum("cnt_cur")).alias("mean_cur"))
     cum = prefix_counts(h, "feature", "v", ["cnt_ref", "cnt_cur"], n_buckets)
     j = cum.join(F.broadcast(tot), "feature")  # one row per feature
-    gap = F.abs(F.col("cum_cnt_ref") / F.col("n_ref") - F.col("cum_cnt_cur") / F.col("n_cur"))
+    gap = F.abs(F.try_divide(F.col("cum_cnt_ref"), F.col("n_ref"))
+                - F.try_divide(F.col("cum_cnt_cur"), F.col("n_cur")))
     step = F.coalesce(F.col("next_value") - F.col("v"), F.lit(0.0))
     per = j.groupBy("feature").agg(
         F.sum(gap * step).alias("area"), F.max(gap).alias("ks"),
@@ -68,8 +69,8 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str],
         "feature", "n_ref", "n_cur", "lo", "hi",
         F.when(empty | (rng == 0), F.lit(0.0)).otherwise(F.col("area") / rng).alias("wasserstein"),
         F.when(empty, F.lit(0.0)).otherwise(F.col("ks")).alias("ks"),
-        (F.abs(F.col("mean_ref") - F.col("mean_cur")) /
-         F.sqrt(F.col("ss_ref") / (F.col("n_ref") - 1))).alias("mean_shift"))
+        F.try_divide(F.abs(F.col("mean_ref") - F.col("mean_cur")),
+                     F.sqrt(F.try_divide(F.col("ss_ref"), F.col("n_ref") - 1))).alias("mean_shift"))
 
 
 def category_shares(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -12,8 +12,14 @@ from trustframe.operators.fairness import Protected
 # lineitem, binary group: l_linestatus (privileged O), label returnflag R,
 # prediction discount >= 0.05
 LI_ATTRS = [Protected("l_linestatus", privileged=["O"])]
-LI_LABEL = F.col("l_returnflag") == "R"
-LI_PRED = F.col("l_discount") >= 0.05
+def LI_LABEL():
+    return F.col("l_returnflag") == "R"
+
+
+def LI_PRED():
+    return F.col("l_discount") >= 0.05
+
+
 LI_SQL = dict(attrs=[("l_linestatus", "CAST(l_linestatus AS VARCHAR)", "l_linestatus IN ('O')")],
               label="l_returnflag = 'R'", pred="l_discount >= 0.05", source="lineitem")
 
@@ -21,9 +27,15 @@ LI_SQL = dict(attrs=[("l_linestatus", "CAST(l_linestatus AS VARCHAR)", "l_linest
 # status P, so the gates for o_orderstatus must fail.
 ORD_ATTRS = [Protected("o_orderstatus", privileged=["F"]),
              Protected("o_orderpriority", privileged=["1-URGENT", "2-HIGH"])]
-ORD_LABEL = F.col("o_totalprice") > 250000.0
-ORD_PRED = F.col("o_totalprice") > F.when(F.col("o_orderstatus") == "P", F.lit(150000.0)) \
-    .otherwise(F.lit(250000.0))
+def ORD_LABEL():
+    return F.col("o_totalprice") > 250000.0
+
+
+def ORD_PRED():
+    return F.col("o_totalprice") > F.when(F.col("o_orderstatus") == "P", F.lit(150000.0)) \
+        .otherwise(F.lit(250000.0))
+
+
 ORD_SQL = dict(attrs=[("o_orderstatus", "CAST(o_orderstatus AS VARCHAR)", "o_orderstatus IN ('F')"),
                       ("o_orderpriority", "CAST(o_orderpriority AS VARCHAR)",
                        "o_orderpriority IN ('1-URGENT', '2-HIGH')")],
@@ -34,8 +46,14 @@ ORD_SQL = dict(attrs=[("o_orderstatus", "CAST(o_orderstatus AS VARCHAR)", "o_ord
 # documents joined with labels: group lang (privileged en), imbalanced label
 # quality, prediction n_chars > 1000
 DOC_ATTRS = [Protected("lang", privileged=["en"])]
-DOC_LABEL = F.col("quality") == 1
-DOC_PRED = F.col("n_chars") > 1000
+def DOC_LABEL():
+    return F.col("quality") == 1
+
+
+def DOC_PRED():
+    return F.col("n_chars") > 1000
+
+
 DOC_SQL = dict(attrs=[("lang", "CAST(lang AS VARCHAR)", "lang IN ('en')")],
                label="quality = 1", pred="n_chars > 1000",
                source="(SELECT d.*, l.quality, l.toxic FROM documents d JOIN labels l USING (doc_id))")
@@ -43,8 +61,14 @@ DOC_SQL = dict(attrs=[("lang", "CAST(lang AS VARCHAR)", "lang IN ('en')")],
 # part, privileged by threshold: p_size >= 40; label retail price above 950,
 # prediction brand number <= 12
 PART_ATTRS = [Protected("p_size", threshold=40)]
-PART_LABEL = F.col("p_retailprice") > 950.0
-PART_PRED = F.substring_index(F.col("p_brand"), "#", -1).cast("int") <= 12
+def PART_LABEL():
+    return F.col("p_retailprice") > 950.0
+
+
+def PART_PRED():
+    return F.substring_index(F.col("p_brand"), "#", -1).cast("int") <= 12
+
+
 PART_SQL = dict(attrs=[("p_size", "CASE WHEN p_size >= 40 THEN '>=40' WHEN p_size IS NOT NULL "
                                   "THEN '<40' END", "p_size >= 40")],
                 label="p_retailprice > 950.0",

@@ -115,30 +115,30 @@ def _docs(spark, sf):
 @register("fairness_group_rates", rnd(sql_groups(B.LI_SQL), RATES))
 def fairness_group_rates(spark, sf):
     """A11 + A14: confusion counts and rates per (attribute, group)."""
-    return fz.group_confusion(_lineitem(spark, sf), B.LI_ATTRS, B.LI_LABEL, B.LI_PRED)
+    return fz.group_confusion(_lineitem(spark, sf), B.LI_ATTRS, B.LI_LABEL(), B.LI_PRED())
 
 
 @register("fairness_metrics_pooled", rnd(sql_metrics(B.ORD_SQL, "pooled"), METRICS))
 def fairness_metrics_pooled(spark, sf):
     """Parity metrics, unprivileged = all other values pooled."""
-    return fz.fairness_metrics(_orders(spark, sf), B.ORD_ATTRS, B.ORD_LABEL, B.ORD_PRED, "pooled")
+    return fz.fairness_metrics(_orders(spark, sf), B.ORD_ATTRS, B.ORD_LABEL(), B.ORD_PRED(), "pooled")
 
 
 @register("fairness_metrics_pairwise", rnd(sql_metrics(B.ORD_SQL, "pairwise"), METRICS))
 def fairness_metrics_pairwise(spark, sf):
     """F8: one row per unprivileged value against the privileged side."""
-    return fz.fairness_metrics(_orders(spark, sf), B.ORD_ATTRS, B.ORD_LABEL, B.ORD_PRED,
+    return fz.fairness_metrics(_orders(spark, sf), B.ORD_ATTRS, B.ORD_LABEL(), B.ORD_PRED(),
                                "pairwise")
 
 
 @register("fairness_multi_attr", rnd(sql_groups(B.ORD_SQL), RATES))
 def fairness_multi_attr(spark, sf):
     """several protected attributes share one scan (generator + one aggregate)."""
-    return fz.group_confusion(_orders(spark, sf), B.ORD_ATTRS, B.ORD_LABEL, B.ORD_PRED)
+    return fz.group_confusion(_orders(spark, sf), B.ORD_ATTRS, B.ORD_LABEL(), B.ORD_PRED())
 
 
 def _ord_gates(spark, sf):
-    m = fz.fairness_metrics(_orders(spark, sf), B.ORD_ATTRS, B.ORD_LABEL, B.ORD_PRED, "pairwise")
+    m = fz.fairness_metrics(_orders(spark, sf), B.ORD_ATTRS, B.ORD_LABEL(), B.ORD_PRED(), "pairwise")
     return m, fz.apply_gates(m, fz.gate_table(spark))
 
 
@@ -179,7 +179,7 @@ def fairness_severity(spark, sf):
           rnd(sql_gates(B.DOC_SQL, "pooled", "mimic", True), ["value", "lo", "hi"]))
 def fairness_dataset_thresholds(spark, sf):
     """F14 + J6: stricter dataset bounds override defaults (imbalanced label)."""
-    m = fz.fairness_metrics(_docs(spark, sf), B.DOC_ATTRS, B.DOC_LABEL, B.DOC_PRED, "pooled")
+    m = fz.fairness_metrics(_docs(spark, sf), B.DOC_ATTRS, B.DOC_LABEL(), B.DOC_PRED(), "pooled")
     return fz.apply_gates(m, fz.dataset_gates(spark, "mimic"))
 
 
@@ -201,7 +201,7 @@ def privileged_majority(spark, sf):
 @register("privileged_threshold", rnd(sql_metrics(B.PART_SQL, "pairwise"), METRICS))
 def privileged_threshold(spark, sf):
     """Numeric attribute, privileged when value >= 40."""
-    return fz.fairness_metrics(T(spark, sf, "part"), B.PART_ATTRS, B.PART_LABEL, B.PART_PRED,
+    return fz.fairness_metrics(T(spark, sf, "part"), B.PART_ATTRS, B.PART_LABEL(), B.PART_PRED(),
                                "pairwise")
 
 
@@ -212,7 +212,7 @@ SELECT attr, unpriv_group, metric,
 FROM ({sql_gates(B.LI_SQL, "pooled")}) g""", rounded=False)
 def fairness_report_lines(spark, sf):
     """report lines for the binary lineitem audit."""
-    m = fz.fairness_metrics(_lineitem(spark, sf), B.LI_ATTRS, B.LI_LABEL, B.LI_PRED, "pooled")
+    m = fz.fairness_metrics(_lineitem(spark, sf), B.LI_ATTRS, B.LI_LABEL(), B.LI_PRED(), "pooled")
     return fz.report_lines(m, fz.apply_gates(m, fz.gate_table(spark)))
 
 
@@ -236,5 +236,5 @@ def request_violations(spark, sf):
 @register("fairness_flagship", rnd(sql_gates(B.LI_SQL, "pooled"), ["value", "lo", "hi"]))
 def fairness_flagship(spark, sf):
     """Phase-1 slice: lineitem binary audit -> gate rows (F6 + F10)."""
-    m = fz.fairness_metrics(_lineitem(spark, sf), B.LI_ATTRS, B.LI_LABEL, B.LI_PRED, "pooled")
+    m = fz.fairness_metrics(_lineitem(spark, sf), B.LI_ATTRS, B.LI_LABEL(), B.LI_PRED(), "pooled")
     return fz.apply_gates(m, fz.gate_table(spark))

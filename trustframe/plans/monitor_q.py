@@ -13,9 +13,18 @@ from trustframe.operators import monitor as mo
 from trustframe.plans import drift_q
 from trustframe.plans.registry import T, register, rnd
 
-LABEL = F.col("event_type") == "purchase"
-PRED = F.col("value") > 30.0
-PRIV = F.col("user_id") % 2 == 0
+def LABEL():
+    return F.col("event_type") == "purchase"
+
+
+def PRED():
+    return F.col("value") > 30.0
+
+
+def PRIV():
+    return F.col("user_id") % 2 == 0
+
+
 AS_OF = datetime(2024, 1, 31)
 CUT = drift_q.CUT
 
@@ -77,7 +86,7 @@ UNION ALL SELECT window_start, 'f1_drop', 'warning', f1_delta FROM j WHERE f1_de
 
 
 def hourly(spark, sf):
-    return mo.window_metrics(T(spark, sf, "events"), "ts", LABEL, PRED, PRIV, "1 hour")
+    return mo.window_metrics(T(spark, sf, "events"), "ts", LABEL(), PRED(), PRIV(), "1 hour")
 
 
 def drift_windows(spark, sf):
@@ -99,7 +108,7 @@ def monitor_hourly(spark, sf):
 @register("monitor_sliding", rnd(SLIDING_SQL, _WCOLS))
 def monitor_sliding(spark, sf):
     """T10 + W3: 24-hour windows sliding by one hour."""
-    return mo.window_metrics(T(spark, sf, "events"), "ts", LABEL, PRED, PRIV, "24 hours", "1 hour")
+    return mo.window_metrics(T(spark, sf, "events"), "ts", LABEL(), PRED(), PRIV(), "24 hours", "1 hour")
 
 
 @register("drift_by_window", rnd(DRIFT_SQL, ["psi"]))
