@@ -112,7 +112,10 @@ def _docs(spark, sf):
     return T(spark, sf, "documents").join(T(spark, sf, "labels"), "doc_id")
 
 
-@register("fairness_group_rates", rnd(sql_groups(B.LI_SQL), RATES))
+ORACLE_GROUP_RATES = rnd(sql_groups(B.LI_SQL), RATES)
+
+
+@register("fairness_group_rates", ORACLE_GROUP_RATES)
 def fairness_group_rates(spark, sf):
     """A11 + A14: confusion counts and rates per (attribute, group)."""
     return fz.group_confusion(_lineitem(spark, sf), B.LI_ATTRS, B.LI_LABEL(), B.LI_PRED())

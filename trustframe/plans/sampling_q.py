@@ -98,7 +98,7 @@ def sample_balanced_cells(spark, sf):
     return sm.balanced_cells(c, "o_orderstatus", "y", "o_orderkey", 42)
 
 
-@register("bias_inject", f"""
+ORACLE_BIAS = f"""
 WITH maj AS (SELECT o_orderstatus AS m FROM orders GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
 tot AS (SELECT count(*) AS n FROM orders),
 g AS (SELECT o_orderkey, o_orderstatus,
@@ -106,7 +106,10 @@ g AS (SELECT o_orderkey, o_orderstatus,
       FROM orders)
 {resample_sql("g", "o_orderkey, o_orderstatus, bias_group", "bias_group", "o_orderkey",
               "CASE WHEN bias_group = 'majority' THEN CAST(floor((SELECT n FROM tot) * 0.6) AS BIGINT) "
-              "ELSE CAST(floor((SELECT n FROM tot) * 0.4) AS BIGINT) END")}""")
+              "ELSE CAST(floor((SELECT n FROM tot) * 0.4) AS BIGINT) END")}"""
+
+
+@register("bias_inject", ORACLE_BIAS)
 def bias_inject(spark, sf):
     """M8: largest status group to 60 % of n, the rest to 40 % (copies when
     growing, seeded subset when shrinking)."""
