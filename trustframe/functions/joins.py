@@ -26,3 +26,16 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: s
     ``max_rows``; otherwise a shuffle join (AQE can still split skew)."""
     small, ok = materialize_small(small, max_rows)
     return big.join(F.broadcast(small) if ok else small, on, how)
+
+
+def combine_rows(*frames: DataFrame) -> DataFrame:
+    """Put several one-row aggregates side by side without a join: union them
+    (each contributes its own columns, NULL elsewhere) and take the first
+    non-NULL value per column in one global aggregate."""
+    u = frames[0]
+    for f in frames[1:]:
+        u = u.unionByName(f, allowMissingColumns=True)
+    cols = []
+    for f in frames:
+        cols += [c for c in f.columns if c not in cols]
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trustframe.functions.exprs import rate, safe_div
+from trustframe.functions.joins import combine_rows
 from trustframe.operators.drift import ABSENT_SHARE
 
 # Monitoring rules.
@@ -147,8 +148,7 @@ def summary(windows: DataFrame, drift: DataFrame, alerts: DataFrame, as_of: date
               F.avg(F.col("fairness_pass").cast("double")).alias("fairness_pass_rate"))
     c = a.agg(*[F.count_if(F.col("rule") == r).alias(f"n_{r}_alerts")
                 for r in ("drift", "fairness", "f1_drop")])
-    k = F.lit(1).alias("_k")
-    return m.select("*", k).join(c.select("*", k), "_k").drop("_k")  # one-row aggregates
+    return combine_rows(m, c)  # one-row aggregates side by side
 
 
 def served_metrics(log: DataFrame, ts: str, violation: Column, latency: str,

@@ -106,13 +106,28 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
     ``key`` plus ``next_value`` (the following distinct value, NULL at the end).
 
     ``long`` must hold one row per (key, value) (already aggregated). Output
-    adds ``cum_<c>`` for each count column and ``next_value``."""
+    adds ``cum_<c>`` for each count column and ``next_value``.
+
+    Bucket boundaries are approximate quantiles per key, fetched once as a
+    small literal table (keys x n_buckets values); rows are summed inside
+    their bucket (window partitioned by key and bucket) and shifted by the
+    bucket's offset, so no window ever spans a whole key."""
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = long.groupBy(key).agg(
         F.percentile_approx(value, F.array(*[F.lit(q) for q in qs]), accuracy).alias("__bd"))
-    # tiny: one row per key with n_buckets-1 boundaries
-    j = long.join(F.broadcast(bounds), key)
-    j = j.withColumn("__bucket", F.size(F.filter("__bd", lambda b: b < F.col(value)))).drop("__bd")
+    rows = bounds.collect()  # keys x (n_buckets - 1) literals
+    if len(rows) > 10_000:
+        raise ValueError("prefix_counts: too many keys for literal boundaries")
+    if not rows:
+        bd = F.array().cast("array<double>")
+    elif len(rows) == 1:
+        bd = F.array(*[F.lit(float(b)) for b in (rows[0]["__bd"] or [])]).cast("array<double>")
+    else:
+        m = F.create_map(*[x for r in rows for x in
+                           (F.lit(r[key]), F.array(*[F.lit(float(b)) for b in (r["__bd"] or [])])
+                            .cast("array<double>"))])
+        bd = F.coalesce(m[F.col(key)], F.array().cast("array<double>"))
+    j = long.withColumn("__bucket", F.size(F.filter(bd, lambda b: b < F.col(value))))
     tot = j.groupBy(key, "__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in count_cols],
                                          F.min(value).alias("__bmin"))
     wk = Window.partitionBy(key).orderBy("__bucket")  # <= n_buckets rows per key

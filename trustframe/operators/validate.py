@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trustframe.functions.joins import combine_rows
 from trustframe.operators.clean import missing_profile
 
 
@@ -48,9 +49,7 @@ def validation_report(df: DataFrame, label: str, protected: Sequence[str],
     n = dist.agg(F.sum("n").alias("n_rows"))
     meta = spark.createDataFrame([(len(feats), ",".join(absent))],
                                  "n_features int, missing_protected string")
-    k = F.lit(1).alias("_k")
-    one = n.select("*", k).join(meta.select("*", k), "_k").join(ratio.select("*", k), "_k") \
-        .join(miss.select("*", k), "_k")  # equi-joins of one-row aggregates
+    one = combine_rows(n, meta, ratio, miss)  # one-row aggregates side by side
     return one.select(
         "n_rows", "n_features", "missing_protected", "min_class", "max_class", "class_ratio",
         "imbalance_warning", "mean_missing", "n_high_missing", "high_missing",

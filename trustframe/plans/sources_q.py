@@ -14,6 +14,7 @@ from trustframe.operators import drift as dr
 from trustframe.plans import bindings as B
 from trustframe.plans import drift_q, fairness_q, monitor_q, sampling_q
 from trustframe.plans.registry import T, register, rnd
+from trustframe.functions.joins import combine_rows
 from trustframe.session import ensure_checkpoint_dir
 from trustframe.sources import readers, sinks
 
@@ -140,8 +141,7 @@ def pipeline_summary(spark, sf):
                         F.col("drift_detected").cast("string")).alias("line"))
     r = va.class_ratio(va.class_distribution(T(spark, sf, "orders"), "o_orderstatus"))
     n = va.class_distribution(T(spark, sf, "orders"), "o_orderstatus").agg(F.sum("n").alias("n"))
-    k = F.lit(1).alias("_k")
-    val = n.select("*", k).join(r.select("*", k), "_k").select(
+    val = combine_rows(n, r).select(
         F.lit("validation").alias("stage"),
         F.format_string("validation: %d rows, class ratio %.4f", "n", "class_ratio").alias("line"))
     path = _scratch(spark, "report")
