@@ -118,7 +118,7 @@ def test_wasserstein_many_buckets_matches_numpy(spark):
     a, b = rng.normal(0, 1, 3000).round(2), rng.normal(0.3, 1.2, 2000).round(2)
     ref = spark.createDataFrame([(float(x),) for x in a], "x double")
     cur = spark.createDataFrame([(float(x),) for x in b], "x double")
-    got = drift.numeric_drift(ref, cur, ["x"], n_buckets=16).first()
+    got = drift.numeric_drift(ref, cur, ["x"], rows_per_bucket=37).first()
     lo, hi = min(a.min(), b.min()), max(a.max(), b.max())
     vals = np.unique(np.concatenate([a, b]))
     fa = np.searchsorted(np.sort(a), vals, side="right") / len(a)
@@ -290,3 +290,16 @@ def test_linear_shap_additivity(spark, sf):
     coef = {"l_quantity": 0.03, "l_discount": 8.0}
     means = explain.feature_means(li, list(coef))
     assert explain.additivity_error(li, coef, -0.9, means).first().max_error < 1e-9
+
+
+def test_prefix_counts_many_buckets_equals_plain_window(spark):
+    from pyspark.sql.window import Window
+    rows = [(k, float(v), (v * 7) % 5 + 1) for k in ("a", "b") for v in range(0, 3000, 3 if k == "a" else 7)]
+    df = spark.createDataFrame(rows, "k string, v double, c long")
+    got = ranking.prefix_counts(df, "k", "v", ["c"], rows_per_bucket=50)
+    w = Window.partitionBy("k").orderBy("v")
+    ref = df.select("k", "v", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_c"),
+                    F.lead("v").over(w).alias("next_value"))
+    a = sorted((r.k, r.v, r.cum_c, r.next_value) for r in got.collect())
+    b = sorted((r.k, r.v, r.cum_c, r.next_value) for r in ref.collect())
+    assert a == b

@@ -43,7 +43,7 @@ def histogram(ref: DataFrame, cur: DataFrame, cols: Sequence[str], numeric: bool
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str],
-                  n_buckets: int = 64) -> DataFrame:
+                  rows_per_bucket: int = 100_000) -> DataFrame:
     """Per feature: n_ref, n_cur, lo, hi (joint range, A10), wasserstein (W1 of
     the joint min-max scaled samples; 0 when a side is empty or the range is
     0), ks (max CDF gap), mean_shift (|mean_ref - mean_cur| / sample std of
@@ -54,7 +54,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str],
         F.min("v").alias("lo"), F.max("v").alias("hi"),
         F.try_divide(F.sum(F.col("v") * F.col("cnt_ref")), F.sum("cnt_ref")).alias("mean_ref"),
         F.try_divide(F.sum(F.col("v") * F.col("cnt_cur")), F.sum("cnt_cur")).alias("mean_cur"))
-    cum = prefix_counts(h, "feature", "v", ["cnt_ref", "cnt_cur"], n_buckets)
+    cum = prefix_counts(h, "feature", "v", ["cnt_ref", "cnt_cur"], rows_per_bucket)
     j = cum.join(F.broadcast(tot), "feature")  # one row per feature
     gap = F.abs(F.try_divide(F.col("cum_cnt_ref"), F.col("n_ref"))
                 - F.try_divide(F.col("cum_cnt_cur"), F.col("n_cur")))

@@ -49,19 +49,31 @@ def _segment(pos: Column, cuts: Sequence[Column], labels: Sequence[str]) -> Colu
 
 def rank_segments(df: DataFrame, strata: Sequence[str | Column], id_col: str, seed: int | str,
                   cuts: Callable[[Column], Sequence[Column]], labels: Sequence[str],
-                  out: str = "segment", digits: int = 3,
-                  max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                  out: str = "segment", digits: int | None = None,
+                  max_broadcast_rows: int = 2_000_000,
+                  rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Label every row with the segment its seeded rank falls in.
 
     ``cuts(n)`` returns increasing cumulative cut positions (Columns over the
     stratum size ``n``); ranks 1..cut1 get labels[0], ..cut2 labels[1], and
     everything after the last cut gets labels[-1]. ``id_col`` must be unique
-    within a stratum. Also adds ``__n`` (stratum size)."""
+    within a stratum. Also adds ``__n`` (stratum size).
+
+    ``digits=None`` sizes the buckets from the largest stratum (one grouped
+    count first): enough hex digits that a bucket holds about
+    ``rows_per_bucket`` rows, so even a stratum with a third of all rows is
+    ranked in bounded pieces."""
     if len(labels) != len(cuts(F.lit(0))) + 1:
         raise ValueError("need one more label than cuts")
     names = [s if isinstance(s, str) else f"__s{i}" for i, s in enumerate(strata)]
     extra = [s.alias(nm) for s, nm in zip(strata, names) if not isinstance(s, str)]
     base = df.select("*", *extra, order_key(id_col, seed).alias("__k"))
+    if digits is None:
+        sizes = base.groupBy(*names).agg(F.count(F.lit(1)).alias("c"))
+        big = sizes.agg(F.max("c")).first()[0] or 1
+        digits = 2
+        while digits < 8 and big / (16 ** digits) > rows_per_bucket:
+            digits += 1
     base = base.withColumn("__b", F.substring("__k", 1, digits))
     keys = names + ["__b"]
     counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
@@ -92,7 +104,7 @@ def rank_segments(df: DataFrame, strata: Sequence[str | Column], id_col: str, se
 
 
 def top_n_per_stratum(df: DataFrame, strata: Sequence[str | Column], id_col: str, seed,
-                      n: Callable[[Column], Column], digits: int = 3) -> DataFrame:
+                      n: Callable[[Column], Column], digits: int | None = None) -> DataFrame:
     """Exact seeded top-n rows per stratum (``n`` may depend on the stratum
     size ``__n``)."""
     r = rank_segments(df, strata, id_col, seed, lambda N: [n(N)], ["keep", "drop"],
@@ -101,42 +113,64 @@ def top_n_per_stratum(df: DataFrame, strata: Sequence[str | Column], id_col: str
 
 
 def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[str],
-                  n_buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                  rows_per_bucket: int = 100_000, n_knots: int = 64,
+                  accuracy: int = 10000) -> DataFrame:
     """Cumulative sums of ``count_cols`` over increasing ``value`` within each
     ``key`` plus ``next_value`` (the following distinct value, NULL at the end).
 
     ``long`` must hold one row per (key, value) (already aggregated). Output
     adds ``cum_<c>`` for each count column and ``next_value``.
 
-    Bucket boundaries are approximate quantiles per key, fetched once as a
-    small literal table (keys x n_buckets values); rows are summed inside
-    their bucket (window partitioned by key and bucket) and shifted by the
-    bucket's offset, so no window ever spans a whole key."""
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = long.groupBy(key).agg(
+    Values are mapped to fine buckets by a monotone piecewise-linear map
+    through ``n_knots`` approximate quantiles per key (a small literal table,
+    about 64 comparisons per value). The number of fine buckets grows with the
+    number of distinct values (about ``rows_per_bucket`` each), bucket totals
+    give offsets, and each row is summed only inside its own bucket, so no
+    window spans a whole key however large it is."""
+    qs = [i / n_knots for i in range(1, n_knots)]
+    stats = long.groupBy(key).agg(
+        F.count(F.lit(1)).alias("__nd"), F.min(value).alias("__mn"), F.max(value).alias("__mx"),
         F.percentile_approx(value, F.array(*[F.lit(q) for q in qs]), accuracy).alias("__bd"))
-    rows = bounds.collect()  # keys x (n_buckets - 1) literals
+    rows = stats.collect()  # keys x n_knots literals
     if len(rows) > 10_000:
-        raise ValueError("prefix_counts: too many keys for literal boundaries")
-    if not rows:
-        bd = F.array().cast("array<double>")
-    elif len(rows) == 1:
-        bd = F.array(*[F.lit(float(b)) for b in (rows[0]["__bd"] or [])]).cast("array<double>")
+        raise ValueError("prefix_counts: too many keys for literal knots")
+    spec = {}
+    for r in rows:
+        knots = sorted(set([float(r["__mn"])] + [float(b) for b in (r["__bd"] or [])] +
+                           [float(r["__mx"])]))
+        fine = int(min(max(-(-r["__nd"] // rows_per_bucket), 1), 1 << 20))
+        spec[r[key]] = (knots, fine)
+    if not spec:
+        spec = {None: ([0.0], 1)}
+    if len(spec) == 1:
+        (knots, fine), = spec.values()
+        kn = F.array(*[F.lit(k) for k in knots]).cast("array<double>")
+        nf = F.lit(fine)
     else:
-        m = F.create_map(*[x for r in rows for x in
-                           (F.lit(r[key]), F.array(*[F.lit(float(b)) for b in (r["__bd"] or [])])
-                            .cast("array<double>"))])
-        bd = F.coalesce(m[F.col(key)], F.array().cast("array<double>"))
-    j = long.withColumn("__bucket", F.size(F.filter(bd, lambda b: b < F.col(value))))
+        kn = F.create_map(*[x for k, (kv, _) in spec.items() for x in
+                            (F.lit(k), F.array(*[F.lit(v) for v in kv]).cast("array<double>"))]
+                          )[F.col(key)]
+        nf = F.create_map(*[x for k, (_, f) in spec.items() for x in (F.lit(k), F.lit(f))]
+                          )[F.col(key)]
+    v = F.col(value).cast("double")
+    m = F.size(kn) - 1  # number of knot intervals
+    i = F.greatest(F.size(F.filter(kn, lambda b: b < v)), F.lit(1))  # interval 1..m
+    lo, hi = F.element_at(kn, i), F.element_at(kn, F.least(i + 1, F.size(kn)))
+    frac = F.when(hi > lo, (v - lo) / (hi - lo)).otherwise(F.lit(0.0))
+    pos = F.when(m > 0, (i - 1 + F.least(F.greatest(frac, F.lit(0.0)), F.lit(1.0))) / m) \
+        .otherwise(F.lit(0.0))
+    bucket = F.least(F.floor(pos * nf), nf - 1).cast("long")
+    j = long.withColumn("__bucket", bucket)
     tot = j.groupBy(key, "__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in count_cols],
                                          F.min(value).alias("__bmin"))
-    wk = Window.partitionBy(key).orderBy("__bucket")  # <= n_buckets rows per key
+    wk = Window.partitionBy(key).orderBy("__bucket")  # bucket table: <= 2**20 rows per key
     prev = wk.rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(key, "__bucket",
                      *[F.coalesce(F.sum(f"__t_{c}").over(prev), F.lit(0)).alias(f"__o_{c}")
                        for c in count_cols],
                      F.lead("__bmin").over(wk).alias("__next_min"))
-    j = j.join(F.broadcast(tot), [key, "__bucket"])  # <= keys * n_buckets rows
+    tot, small = materialize_small(tot)
+    j = j.join(F.broadcast(tot) if small else tot, [key, "__bucket"])
     wb = Window.partitionBy(key, "__bucket").orderBy(value)
     run = wb.rowsBetween(Window.unboundedPreceding, 0)
     return j.select(
