@@ -41,9 +41,9 @@ _PRI = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 def _onehot_sql(src="orders"):
     cols = []
     for v in ["O", "P"]:
-        cols.append(f"CASE WHEN o_orderstatus = '{v}' THEN 1.0 ELSE 0.0 END AS \"o_orderstatus_{v}\"")
+        cols.append(f"CASE WHEN o_orderstatus = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"o_orderstatus_{v}\"")
     for v in _PRI[1:]:
-        cols.append(f"CASE WHEN o_orderpriority = '{v}' THEN 1.0 ELSE 0.0 END AS \"o_orderpriority_{v}\"")
+        cols.append(f"CASE WHEN o_orderpriority = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"o_orderpriority_{v}\"")
     return f"SELECT o_orderkey, {', '.join(cols)} FROM {src}"
 
 
@@ -68,7 +68,7 @@ def encoder_save_load(spark, sf):
 def _train_apply_sql():
     s = split_sql("orders", "o_orderkey, o_orderstatus, o_totalprice, o_orderpriority",
                   "o_orderstatus", "o_orderkey")
-    cats = ", ".join(f"CASE WHEN o_orderpriority = '{v}' THEN 1.0 ELSE 0.0 END AS \"o_orderpriority_{v}\""
+    cats = ", ".join(f"CASE WHEN o_orderpriority = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"o_orderpriority_{v}\""
                      for v in _PRI[1:])
     return f"""
 WITH s AS ({s}),
