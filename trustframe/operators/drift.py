@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from trustframe.functions.exprs import nan_to_null
 from trustframe.operators.ranking import prefix_counts
+from trustframe.session import cut_lineage
 
 # Drift thresholds and the share used for an absent category.
 DATA_DRIFT = 0.1
@@ -48,13 +49,14 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str],
     the joint min-max scaled samples; 0 when a side is empty or the range is
     0), ks (max CDF gap), mean_shift (|mean_ref - mean_cur| / sample std of
     the reference)."""
-    h = histogram(ref, cur, cols, True)
+    h = cut_lineage(histogram(ref, cur, cols, True))  # read by several jobs; scan once
     tot = h.groupBy("feature").agg(
         F.sum("cnt_ref").alias("n_ref"), F.sum("cnt_cur").alias("n_cur"),
         F.min("v").alias("lo"), F.max("v").alias("hi"),
         F.try_divide(F.sum(F.col("v") * F.col("cnt_ref")), F.sum("cnt_ref")).alias("mean_ref"),
         F.try_divide(F.sum(F.col("v") * F.col("cnt_cur")), F.sum("cnt_cur")).alias("mean_cur"))
-    cum = prefix_counts(h, "feature", "v", ["cnt_ref", "cnt_cur"], rows_per_bucket)
+    cum = prefix_counts(h, "feature", "v", ["cnt_ref", "cnt_cur"], rows_per_bucket,
+                        materialized=True)
     j = cum.join(F.broadcast(tot), "feature")  # one row per feature
     gap = F.abs(F.try_divide(F.col("cum_cnt_ref"), F.col("n_ref"))
                 - F.try_divide(F.col("cum_cnt_cur"), F.col("n_cur")))

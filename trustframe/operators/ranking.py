@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 
 from trustframe.functions.exprs import order_key
 from trustframe.functions.joins import materialize_small
+from trustframe.session import cut_lineage
 
 
 def ceil_share(n: Column, share: float) -> Column:
@@ -114,7 +115,7 @@ def top_n_per_stratum(df: DataFrame, strata: Sequence[str | Column], id_col: str
 
 def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[str],
                   rows_per_bucket: int = 100_000, n_knots: int = 64,
-                  accuracy: int = 10000) -> DataFrame:
+                  accuracy: int = 10000, materialized: bool = False) -> DataFrame:
     """Cumulative sums of ``count_cols`` over increasing ``value`` within each
     ``key`` plus ``next_value`` (the following distinct value, NULL at the end).
 
@@ -126,7 +127,11 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
     about 64 comparisons per value). The number of fine buckets grows with the
     number of distinct values (about ``rows_per_bucket`` each), bucket totals
     give offsets, and each row is summed only inside its own bucket, so no
-    window spans a whole key however large it is."""
+    window spans a whole key however large it is. The histogram is read by
+    several jobs, so it is checkpointed once unless the caller already did
+    (``materialized=True``); the raw table behind it is scanned once."""
+    if not materialized:
+        long = cut_lineage(long)
     qs = [i / n_knots for i in range(1, n_knots)]
     stats = long.groupBy(key).agg(
         F.count(F.lit(1)).alias("__nd"), F.min(value).alias("__mn"), F.max(value).alias("__mx"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trustframe.functions.exprs import nan_to_null
 from trustframe.operators.ranking import prefix_counts
+from trustframe.session import cut_lineage
 
 
 def quantile_repair(df: DataFrame, value: str, group: str, grid: int = 100,
@@ -23,7 +24,8 @@ def quantile_repair(df: DataFrame, value: str, group: str, grid: int = 100,
                     nan_to_null(F.col(value).cast("double")).alias("__v"))
     h = src.where(F.col("__v").isNotNull() & F.col("__g").isNotNull()) \
         .groupBy("__g", "__v").agg(F.count(F.lit(1)).alias("c"))
-    cum = prefix_counts(h, "__g", "__v", ["c"])
+    h = cut_lineage(h)  # per-group value histogram, read by several jobs
+    cum = prefix_counts(h, "__g", "__v", ["c"], materialized=True)
     tot = h.groupBy("__g").agg(F.sum("c").alias("__n"))
     cum = cum.join(F.broadcast(tot), "__g")  # one row per group
     cum = cum.select("__g", "__v", "c", "cum_c", "__n",
