@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from trustframe.functions.exprs import rate, safe_div
 
@@ -132,11 +133,18 @@ def with_rates(agg: DataFrame) -> DataFrame:
 
 
 _COUNTS = ("n", "n_label_pos", "n_pred_pos", "tp", "fp", "tn", "fn")
+_RATES = {"selection_rate": ("n_pred_pos", ("n",)), "base_rate": ("n_label_pos", ("n",)),
+          "tpr": ("tp", ("tp", "fn")), "fpr": ("fp", ("fp", "tn"))}
 
 
-def _side(groups: DataFrame, priv: bool, keys: Sequence[str]) -> DataFrame:
-    sel = groups.where(F.col("priv") == F.lit(priv))
-    return with_rates(sel.groupBy(*keys).agg(*[F.sum(k).alias(k) for k in _COUNTS]))
+def _side_rates(sfx: str) -> dict:
+    out = {}
+    for name, (num, dens) in _RATES.items():
+        den = F.col(f"{dens[0]}{sfx}")
+        for d in dens[1:]:
+            den = den + F.col(f"{d}{sfx}")
+        out[name] = rate(F.col(f"{num}{sfx}"), den)
+    return out
 
 
 def parity_metrics(groups: DataFrame, mode: str = "pooled") -> DataFrame:
@@ -145,33 +153,38 @@ def parity_metrics(groups: DataFrame, mode: str = "pooled") -> DataFrame:
     ``pooled``: unprivileged = all non-privileged values together (one row per
     attribute, ``unpriv_group='*'``). ``pairwise``: one row per non-privileged
     value, each against the pooled privileged side. Sign: unprivileged minus
-    privileged. DI is 0 when the privileged selection rate is 0."""
-    priv = _side(groups, True, ["attr"])
+    privileged. DI is 0 when the privileged selection rate is 0.
+
+    Both sides come from one pass over the per-group table (one row per
+    group value), so the row table behind it is scanned once."""
+    c = F.col
+    priv_sum = [F.sum(F.when(c("priv"), c(k)).otherwise(F.lit(0))) for k in _COUNTS]
     if mode == "pooled":
-        unpriv = _side(groups, False, ["attr"]).withColumn("unpriv_group", F.lit("*"))
+        t = groups.groupBy("attr").agg(
+            *[e.alias(f"{k}_p") for e, k in zip(priv_sum, _COUNTS)],
+            *[F.sum(F.when(~c("priv"), c(k)).otherwise(F.lit(0))).alias(f"{k}_u")
+              for k in _COUNTS]).withColumn("unpriv_group", F.lit("*"))
     elif mode == "pairwise":
-        unpriv = groups.where(~F.col("priv")).withColumnRenamed("grp", "unpriv_group")
+        w = Window.partitionBy("attr")  # over the per-group table (one row per value)
+        t = groups.select("attr", "priv", c("grp").alias("unpriv_group"),
+                          *[c(k).alias(f"{k}_u") for k in _COUNTS],
+                          *[e.over(w).alias(f"{k}_p") for e, k in zip(priv_sum, _COUNTS)]) \
+            .where(~c("priv"))
     else:
         raise ValueError(f"mode must be pooled or pairwise, not {mode!r}")
-    p = priv.select("attr", *[F.col(k).alias(f"{k}_priv") for k in
-                              ("n", "selection_rate", "base_rate", "tpr", "fpr")])
-    u = unpriv.select("attr", "unpriv_group", *[F.col(k).alias(f"{k}_unpriv") for k in
-                                                ("n", "selection_rate", "base_rate", "tpr", "fpr")])
-    j = u.join(F.broadcast(p), "attr", "left")  # one row per attribute: bounded by #attrs
-    c = F.col
-    spd = c("selection_rate_unpriv") - c("selection_rate_priv")
-    return j.select(
-        "attr", "unpriv_group",
-        F.coalesce(c("n_priv"), F.lit(0)).alias("n_priv"), c("n_unpriv"),
-        c("selection_rate_priv").alias("sr_priv"), c("selection_rate_unpriv").alias("sr_unpriv"),
-        c("tpr_priv"), c("tpr_unpriv"), c("fpr_priv"), c("fpr_unpriv"),
+    p, u = _side_rates("_p"), _side_rates("_u")
+    spd = u["selection_rate"] - p["selection_rate"]
+    return t.select(
+        "attr", "unpriv_group", c("n_p").alias("n_priv"), c("n_u").alias("n_unpriv"),
+        p["selection_rate"].alias("sr_priv"), u["selection_rate"].alias("sr_unpriv"),
+        p["tpr"].alias("tpr_priv"), u["tpr"].alias("tpr_unpriv"),
+        p["fpr"].alias("fpr_priv"), u["fpr"].alias("fpr_unpriv"),
         spd.alias("statistical_parity_difference"),
-        safe_div(c("selection_rate_unpriv"), c("selection_rate_priv")).alias("disparate_impact"),
-        (c("tpr_unpriv") - c("tpr_priv")).alias("equal_opportunity_difference"),
-        (((c("tpr_unpriv") - c("tpr_priv")) + (c("fpr_unpriv") - c("fpr_priv"))) / 2)
-        .alias("average_odds_difference"),
+        safe_div(u["selection_rate"], p["selection_rate"]).alias("disparate_impact"),
+        (u["tpr"] - p["tpr"]).alias("equal_opportunity_difference"),
+        (((u["tpr"] - p["tpr"]) + (u["fpr"] - p["fpr"])) / 2).alias("average_odds_difference"),
         F.abs(spd).alias("demographic_parity"),
-        F.abs(c("base_rate_unpriv") - c("base_rate_priv")).alias("dp_label"),
+        F.abs(u["base_rate"] - p["base_rate"]).alias("dp_label"),
     )
 
 
