@@ -78,7 +78,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str],
 def category_shares(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A16 + J3: per (feature, category) the normalised share on each side;
     a category missing on one side gets share 0.001 there (not renormalised)."""
-    h = histogram(ref, cur, cols, False)
+    h = cut_lineage(histogram(ref, cur, cols, False))  # compact; read twice
     tot = h.groupBy("feature").agg(F.sum("cnt_ref").alias("n_ref"),
                                    F.sum("cnt_cur").alias("n_cur"))
     j = h.join(F.broadcast(tot), "feature")  # one row per feature
@@ -152,23 +152,17 @@ def prediction_drift(ref: DataFrame | None, cur: DataFrame, col: str,
 def reference_profile(ref: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
                       ) -> DataFrame:
     """The reference kept as a histogram (feature, kind, v_num, v_str, n)
-    instead of raw rows; write it once, compare many batches against it."""
-    parts = []
-    if numeric:
-        parts.append(_long(ref, numeric, 0, True).groupBy("feature", "v")
-                     .agg(F.count(F.lit(1)).alias("n"))
-                     .select("feature", F.lit("numeric").alias("kind"), F.col("v").alias("v_num"),
-                             F.lit(None).cast("string").alias("v_str"), "n"))
-    if categorical:
-        parts.append(_long(ref, categorical, 0, False).groupBy("feature", "v")
-                     .agg(F.count(F.lit(1)).alias("n"))
-                     .select("feature", F.lit("categorical").alias("kind"),
-                             F.lit(None).cast("double").alias("v_num"), F.col("v").alias("v_str"),
-                             "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    instead of raw rows; write it once, compare many batches against it.
+    One scan: numeric and categorical columns are tagged by one generator."""
+    tags = [F.struct(F.lit(c).alias("feature"), F.lit("numeric").alias("kind"),
+                     nan_to_null(F.col(c).cast("double")).alias("v_num"),
+                     F.lit(None).cast("string").alias("v_str")) for c in numeric]
+    tags += [F.struct(F.lit(c).alias("feature"), F.lit("categorical").alias("kind"),
+                      F.lit(None).cast("double").alias("v_num"),
+                      F.col(c).cast("string").alias("v_str")) for c in categorical]
+    long = ref.select(F.inline(F.array(*tags))) \
+        .where(F.col("v_num").isNotNull() | F.col("v_str").isNotNull())
+    return long.groupBy("feature", "kind", "v_num", "v_str").agg(F.count(F.lit(1)).alias("n"))
 
 
 def expand_profile(profile: DataFrame, feature: str) -> DataFrame:

@@ -231,15 +231,17 @@ def dataset_gates(spark: SparkSession, dataset: str,
         "metric", F.coalesce("lo_o", "lo").alias("lo"), F.coalesce("hi_o", "hi").alias("hi"))
 
 
-def apply_gates(metrics: DataFrame, gates: DataFrame) -> DataFrame:
+def apply_gates(metrics: DataFrame, gates: DataFrame,
+                ids: Sequence[str] = ("attr", "unpriv_group")) -> DataFrame:
     """Long gate rows: attr, unpriv_group, metric, value, lo, hi, pass.
     A NULL or NaN metric fails its gate."""
     names = [m for m in GATED_METRICS if m in metrics.columns]
-    long = metrics.unpivot(["attr", "unpriv_group"], names, "metric", "value")
+    long = metrics.unpivot(list(ids), names, "metric", "value")
     j = long.join(F.broadcast(gates), "metric", "inner")  # gates: one row per metric
     v = F.col("value")
     ok = v.isNotNull() & ~F.isnan(v) & (v >= F.col("lo")) & (v <= F.col("hi"))
-    return j.select("attr", "unpriv_group", "metric", "value", "lo", "hi",
+    extra = [i for i in ids if i not in ("attr", "unpriv_group")]
+    return j.select("attr", "unpriv_group", *extra, "metric", "value", "lo", "hi",
                     F.coalesce(ok, F.lit(False)).alias("pass"))
 
 
@@ -254,18 +256,26 @@ def verdict(gate_rows: DataFrame, by: Sequence[str] = ("attr",)) -> DataFrame:
     )
 
 
-def severity(metrics: DataFrame, gate_rows: DataFrame) -> DataFrame:
+def severity(metrics: DataFrame, gates: DataFrame) -> DataFrame:
     """Highest severity band exceeded by DI or |SPD|; gate failed but no band
-    exceeded -> ``minor``; all gates passed -> ``none``."""
+    exceeded -> ``minor``; all gates passed -> ``none``. ``gates`` is the
+    threshold table; the metrics table is used once."""
     c = F.col
+    keep = metrics.select("attr", "unpriv_group",
+                          c("disparate_impact").alias("__di"),
+                          c("statistical_parity_difference").alias("__spd"),
+                          *[c(m) for m in GATED_METRICS if m in metrics.columns])
+    g = apply_gates(keep, gates, ids=["attr", "unpriv_group", "__di", "__spd"])
+    v = g.groupBy("attr", "unpriv_group").agg(
+        F.first("__di").alias("disparate_impact"),
+        F.first("__spd").alias("statistical_parity_difference"),
+        F.bool_and("pass").alias("overall_pass"))
     di, spd = c("disparate_impact"), F.abs(c("statistical_parity_difference"))
     expr = None
     for band, lo, hi, s in reversed(SEVERITY_BANDS):
         cond = (di < F.lit(lo)) | (di > F.lit(hi)) | (spd > F.lit(s))
         expr = F.when(cond, F.lit(band)) if expr is None else expr.when(cond, F.lit(band))
-    v = verdict(gate_rows, ("attr", "unpriv_group"))
-    j = metrics.join(v, ["attr", "unpriv_group"], "inner")
-    return j.select("attr", "unpriv_group", "disparate_impact", "statistical_parity_difference",
+    return v.select("attr", "unpriv_group", "disparate_impact", "statistical_parity_difference",
                     "overall_pass",
                     expr.when(~c("overall_pass"), F.lit("minor")).otherwise(F.lit("none"))
                     .alias("severity"))

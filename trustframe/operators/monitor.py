@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from trustframe.functions.exprs import rate, safe_div
 from trustframe.functions.joins import combine_rows
+from trustframe.session import cut_lineage
 from trustframe.operators.drift import ABSENT_SHARE
 
 # Monitoring rules.
@@ -71,6 +72,7 @@ def drift_by_window(cur: DataFrame, ref: DataFrame, ts: str, col: str,
     wc = cur.where(F.col(col).isNotNull()).groupBy(
         F.window(ts, duration).start.alias("window_start"),
         F.col(col).cast("string").alias("cat")).agg(F.count(F.lit(1)).alias("c"))
+    wc = cut_lineage(wc)  # windows x categories (compact), read twice
     wins = wc.select("window_start").distinct()
     cats = [r[0] for r in rs.select("cat").collect()]  # reference categories (a few)
     grid = wins.select("window_start", F.explode(F.array(*[F.lit(x) for x in cats])).alias("cat"))

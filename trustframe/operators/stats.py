@@ -59,8 +59,17 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 100000) ->
         br.unpersist()
         eps *= 8
         lo_q, hi_q = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
-    chk = chk.select("feature", "lo", "hi", "n_lt", "k_lo", "k_hi")
-    inside = long.join(F.broadcast(chk), "feature") \
+    # O(columns) numbers: the verified bracket per column travels as literals,
+    # so the final pass scans the table once and ranks only bracket rows
+    rows = chk.select("feature", "lo", "hi", "n_lt", "k_lo", "k_hi").collect()
+    br.unpersist()
+    lit_map = lambda field: F.create_map(*[x for r in rows for x in
+                                           (F.lit(r["feature"]), F.lit(r[field]))])[F.col("feature")]
+    if not rows:
+        allc = spark.createDataFrame([(c,) for c in cols], "feature string")
+        return allc.select("feature", F.lit(None).cast("double").alias("median"))
+    inside = long.select("feature", "v", *[lit_map(f).alias(f) for f in
+                                           ("lo", "hi", "n_lt", "k_lo", "k_hi")]) \
         .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
     # bounded: about 4n/accuracy rows per column
     w = Window.partitionBy("feature").orderBy("v")

@@ -174,8 +174,8 @@ FROM m JOIN v ON m.attr = v.attr AND m.unpriv_group = v.unpriv_group"""
 @register("fairness_severity", rnd(_SEV_SQL, ["disparate_impact", "statistical_parity_difference"]))
 def fairness_severity(spark, sf):
     """highest severity band exceeded."""
-    m, g = _ord_gates(spark, sf)
-    return fz.severity(m, g)
+    m = fz.fairness_metrics(_orders(spark, sf), B.ORD_ATTRS, B.ORD_LABEL(), B.ORD_PRED(), "pairwise")
+    return fz.severity(m, fz.gate_table(spark))
 
 
 @register("fairness_dataset_thresholds",

@@ -107,11 +107,12 @@ WITH m AS ({confusion_sql(_long_sql(), 'model')})
 SELECT m.*, model = (SELECT model FROM m ORDER BY f1 DESC, model LIMIT 1) AS best FROM m""", _CM))
 def model_compare(spark, sf):
     """Metrics per model; best = max F1 (ties -> name)."""
-    parts = [scored(spark, sf, c, b).select(F.lit(n).alias("model"), "y", "yhat")
+    li = T(spark, sf, "lineitem")
+    preds = [F.struct(F.lit(n).alias("model"),
+                      (sc.sigmoid(sc.linear_margin(c, b)) >= 0.5).cast("int").alias("yhat"))
              for n, (c, b) in MODELS.items()]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    long = li.select((F.col("l_returnflag") == "R").cast("int").alias("y"),
+                     F.inline(F.array(*preds)))  # every model scored in one scan
     return mt.compare_models(long, "model", "y", "yhat")
 
 
@@ -165,11 +166,10 @@ VOTERS = {"a": (1.0, -2.5), "b": (0.8, -2.0), "c": (1.2, -3.0)}
 def soft_vote(spark, sf):
     """Soft voting = mean probability over models per row."""
     o = T(spark, sf, "orders")
-    parts = [o.select("o_orderkey", sc.sigmoid(F.lit(b) + F.lit(a) * F.col("o_totalprice") / 100000.0)
-                      .alias("probability")) for a, b in VOTERS.values()]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    probs = [F.struct(F.lit(n).alias("model"),
+                      sc.sigmoid(F.lit(b) + F.lit(a) * F.col("o_totalprice") / 100000.0)
+                      .alias("probability")) for n, (a, b) in VOTERS.items()]
+    long = o.select("o_orderkey", F.inline(F.array(*probs)))  # (row, model) scores, one scan
     return sc.soft_vote(long, "o_orderkey")
 
 

@@ -12,6 +12,7 @@ from trustframe.operators import drift as dr
 from trustframe.operators import monitor as mo
 from trustframe.plans import drift_q
 from trustframe.plans.registry import T, register, rnd
+from trustframe.session import cut_lineage
 
 def LABEL():
     return F.col("event_type") == "purchase"
@@ -169,7 +170,9 @@ SELECT (SELECT count(*) FROM w)::BIGINT AS n_windows, (SELECT avg(accuracy) FROM
     ["mean_accuracy", "mean_f1", "mean_drift", "fairness_pass_rate"]))
 def monitor_summary(spark, sf):
     """T5 + T14 + A18 + A19: last 168 hours before a given as-of time."""
-    return mo.summary(hourly(spark, sf), drift_windows(spark, sf), alerts(spark, sf), AS_OF, 168)
+    w = cut_lineage(hourly(spark, sf))          # per-window tables (compact), each
+    d = cut_lineage(drift_windows(spark, sf))   # computed once and read three times
+    return mo.summary(w, d, mo.alert_rules(w, d), AS_OF, 168)
 
 
 @register("monitor_trends", rnd(f"""
