@@ -140,6 +140,8 @@ def test_exact_median_matches_numpy(spark):
     df = spark.createDataFrame([(float(x),) for x in v], "x double")
     got = stats.exact_medians(df, ["x"], accuracy=100).first()["median"]
     assert got == pytest.approx(float(np.median(v)))
+    wide = stats.exact_medians(df, ["x"], accuracy=100, narrow_limit=10).first()["median"]
+    assert wide == pytest.approx(float(np.median(v)))  # bracket path
 
 
 def test_right_closed_bins(spark):

@@ -122,10 +122,18 @@ def impute_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
 
 def impute(df: DataFrame, numeric: Sequence[str] | None = None,
            categorical: Sequence[str] | None = None, empty_mode: str | None = None) -> DataFrame:
-    """Numeric NULL/NaN <- median, string NULL <- mode. The fill values are
-    O(columns) and travel as literals."""
+    """Numeric NULL/NaN <- median, string NULL <- mode. Like the
+    reference, only columns that contain missing values are filled, so one
+    missing-count pass decides which statistics are needed at all. The fill
+    values are O(columns) and travel as literals."""
     numeric = numeric_columns(df) if numeric is None else list(numeric)
     categorical = string_columns(df) if categorical is None else list(categorical)
+    wanted = numeric + categorical
+    if wanted:
+        prof = missing_profile(df.select(*wanted)).where("n_missing > 0").select("feature").collect()
+        has = {r.feature for r in prof}  # O(columns)
+        numeric = [c for c in numeric if c in has]
+        categorical = [c for c in categorical if c in has]
     # O(columns) rows: one fill value per column
     fills = {r["feature"]: (r["fill_num"] if r["fill_str"] is None else r["fill_str"])
              for r in impute_values(df, numeric, categorical, empty_mode).collect()}

@@ -25,14 +25,39 @@ def _long(df: DataFrame, cols: Sequence[str], dtype: str) -> DataFrame:
     return df.select(F.inline(tags)).where(F.col("v").isNotNull())
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 100000) -> DataFrame:
+def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 100000,
+                  narrow_limit: int = 100_000) -> DataFrame:
     """Exact median per numeric column (mean of the two middle values for an
-    even count, like pandas). Output: column, median (NULL for an all-missing
-    column)."""
+    even count, like pandas). Output: feature, median (NULL for an all-missing
+    column).
+
+    An HLL sketch first splits the columns: where it proves at most
+    ``narrow_limit`` distinct values, Spark's exact ``median`` runs (its
+    buffer is a value->count map, so memory is bounded by the distinct count);
+    wide columns use the verified approximate-quantile bracket."""
     spark = df.sparkSession
     cols = list(cols)
     if not cols:
         return spark.createDataFrame([], "feature string, median double")
+    nd = df.agg(*[F.approx_count_distinct(nan_to_null(F.col(c).cast("double")), 0.05).alias(c)
+                  for c in cols]).first().asDict()
+    narrow = [c for c in cols if nd[c] <= narrow_limit * 0.8]
+    wide = [c for c in cols if c not in narrow]
+    parts = []
+    if narrow:
+        med = df.agg(*[F.median(nan_to_null(F.col(c).cast("double"))).alias(c) for c in narrow])
+        parts.append(med.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(c).alias("median")) for c in narrow]))))
+    if wide:
+        parts.append(_bracket_medians(df, wide, accuracy))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _bracket_medians(df: DataFrame, cols: Sequence[str], accuracy: int) -> DataFrame:
+    spark = df.sparkSession
     long = _long(df, cols, "double")
     eps = 2.0 / accuracy
     lo_q, hi_q = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
