@@ -113,6 +113,29 @@ def top_n_per_stratum(df: DataFrame, strata: Sequence[str | Column], id_col: str
     return r.where(F.col("__seg") == "keep").drop("__seg", "__n")
 
 
+def _bucket_tree(v: Column, knots: list[float], fine: int) -> Column:
+    """Fine bucket of ``v`` through the piecewise-linear map over ``knots``,
+    as a balanced tree of comparisons (log2(#knots) per value, all plain
+    CASE WHEN so it stays inside whole-stage codegen)."""
+    m = len(knots) - 1
+    if m <= 0:
+        return F.lit(0)
+
+    def leaf(i: int) -> Column:  # interval [knots[i], knots[i+1]]
+        lo, hi = knots[i], knots[i + 1]
+        frac = (v - F.lit(lo)) / F.lit(hi - lo) if hi > lo else F.lit(0.0)
+        frac = F.least(F.greatest(frac, F.lit(0.0)), F.lit(1.0))
+        pos = (F.lit(float(i)) + frac) / F.lit(float(m))
+        return F.least(F.floor(pos * F.lit(fine)), F.lit(fine - 1))
+
+    def tree(a: int, b: int) -> Column:  # intervals a..b-1
+        if b - a == 1:
+            return leaf(a)
+        mid = (a + b) // 2
+        return F.when(v < F.lit(knots[mid]), tree(a, mid)).otherwise(tree(mid, b))
+    return tree(0, m)
+
+
 def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[str],
                   rows_per_bucket: int = 100_000, n_knots: int = 64,
                   accuracy: int = 10000, materialized: bool = False) -> DataFrame:
@@ -147,24 +170,17 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
         spec[r[key]] = (knots, fine)
     if not spec:
         spec = {None: ([0.0], 1)}
-    if len(spec) == 1:
-        (knots, fine), = spec.values()
-        kn = F.array(*[F.lit(k) for k in knots]).cast("array<double>")
-        nf = F.lit(fine)
-    else:
-        kn = F.create_map(*[x for k, (kv, _) in spec.items() for x in
-                            (F.lit(k), F.array(*[F.lit(v) for v in kv]).cast("array<double>"))]
-                          )[F.col(key)]
-        nf = F.create_map(*[x for k, (_, f) in spec.items() for x in (F.lit(k), F.lit(f))]
-                          )[F.col(key)]
     v = F.col(value).cast("double")
-    m = F.size(kn) - 1  # number of knot intervals
-    i = F.greatest(F.size(F.filter(kn, lambda b: b < v)), F.lit(1))  # interval 1..m
-    lo, hi = F.element_at(kn, i), F.element_at(kn, F.least(i + 1, F.size(kn)))
-    frac = F.when(hi > lo, (v - lo) / (hi - lo)).otherwise(F.lit(0.0))
-    pos = F.when(m > 0, (i - 1 + F.least(F.greatest(frac, F.lit(0.0)), F.lit(1.0))) / m) \
-        .otherwise(F.lit(0.0))
-    bucket = F.least(F.floor(pos * nf), nf - 1).cast("long")
+    per_key = {k: _bucket_tree(v, knots, fine) for k, (knots, fine) in spec.items()}
+    if len(per_key) == 1:
+        bucket = next(iter(per_key.values()))
+    else:
+        bucket = None
+        for k, e in per_key.items():
+            cond = F.col(key) == F.lit(k)
+            bucket = F.when(cond, e) if bucket is None else bucket.when(cond, e)
+        bucket = bucket.otherwise(F.lit(0))
+    bucket = bucket.cast("long")
     j = long.withColumn("__bucket", bucket)
     tot = j.groupBy(key, "__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in count_cols],
                                          F.min(value).alias("__bmin"))
