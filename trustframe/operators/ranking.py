@@ -198,3 +198,35 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
         *[c for c in long.columns],
         *[(F.col(f"__o_{c}") + F.sum(c).over(run)).alias(f"cum_{c}") for c in count_cols],
         F.coalesce(F.lead(value).over(wb), F.col("__next_min")).alias("next_value"))
+
+
+def value_buckets(df: DataFrame, key: str, value: str, rows_per_bucket: int = 1_000_000,
+                  n_knots: int = 64, accuracy: int = 10000) -> tuple[Column, DataFrame]:
+    """Bucket expression for raw rows: approximate quantile knots per key (one
+    aggregate, collected as literals) -> monotone fine bucket id. Also returns
+    the per-key stats row table (key, __n)."""
+    qs = [i / n_knots for i in range(1, n_knots)]
+    stats = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(value).alias("__mn"), F.max(value).alias("__mx"),
+        F.percentile_approx(value, F.array(*[F.lit(q) for q in qs]), accuracy).alias("__bd"))
+    rows = stats.collect()  # keys x n_knots literals
+    if len(rows) > 10_000:
+        raise ValueError("value_buckets: too many keys for literal knots")
+    v = F.col(value).cast("double")
+    per_key = {}
+    for r in rows:
+        if r["__mn"] is None:
+            continue
+        knots = sorted(set([float(r["__mn"])] + [float(b) for b in (r["__bd"] or [])] +
+                           [float(r["__mx"])]))
+        fine = int(min(max(-(-r["__n"] // rows_per_bucket), 1), 1 << 20))
+        per_key[r[key]] = _bucket_tree(v, knots, fine)
+    if not per_key:
+        return F.lit(0).cast("long"), stats
+    if len(per_key) == 1:
+        return next(iter(per_key.values())).cast("long"), stats
+    e = None
+    for k, x in per_key.items():
+        cond = F.col(key) == F.lit(k)
+        e = F.when(cond, x) if e is None else e.when(cond, x)
+    return e.otherwise(F.lit(0)).cast("long"), stats

@@ -12,13 +12,17 @@ _CKPT_KEY = "spark.checkpoint.dir"
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "trustframe") -> SparkSession:
+              app_name: str = "trustframe", driver_memory: str = "16g") -> SparkSession:
     """Session with the settings every operator assumes: UTC clock, AQE on,
     Arrow on, UI off. On a cluster pass ``master=None`` and let spark-submit
-    decide; ``shuffle_partitions`` should be sized to the data there."""
+    decide memory and cores; ``shuffle_partitions`` should be sized to the
+    data there. In local mode all tasks share the driver heap, so it is sized
+    here (effective only when this call starts the JVM)."""
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+        if master.startswith("local") and driver_memory:
+            b = b.config("spark.driver.memory", driver_memory)
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
