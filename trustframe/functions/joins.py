@@ -16,7 +16,7 @@ def materialize_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
                       ) -> tuple[DataFrame, bool]:
     """Checkpoint a derived table (cuts lineage; reused without recomputing the
     scan behind it) and report whether it is small enough to broadcast."""
-    small = cut_lineage(small)
+    small = cut_lineage(small, large=False)
     return small, small.count() <= max_rows
 
 

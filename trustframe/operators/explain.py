@@ -97,7 +97,7 @@ def sampled_shapley(df: DataFrame, background: DataFrame, id_col: str, features:
     f(x on {pos <= pos_j}, z elsewhere) - f(x on {pos < pos_j}, z elsewhere).
     Output: id, feature, shap (mean over permutations). ``background`` must be
     small (a seeded sample, e.g. 100 rows); its size is checked."""
-    background = cut_lineage(background)  # bounded sample; computed once
+    background = cut_lineage(background, large=False)  # bounded sample; computed once
     nb = background.count()
     if nb == 0 or nb > 100_000:
         raise ValueError("background must hold between 1 and 100000 rows")

@@ -113,10 +113,25 @@ def top_n_per_stratum(df: DataFrame, strata: Sequence[str | Column], id_col: str
     return r.where(F.col("__seg") == "keep").drop("__seg", "__n")
 
 
+def _bucket_scan(v: Column, knots: list[float], fine: int) -> Column:
+    """Fine bucket through the piecewise-linear map over ``knots``: the knot
+    interval is found by counting knots below ``v`` (a small literal array),
+    then the position inside it is interpolated. Cheap to compile."""
+    m = len(knots) - 1
+    if m <= 0:
+        return F.lit(0)
+    kn = F.array(*[F.lit(float(k)) for k in knots])
+    i = F.least(F.greatest(F.size(F.filter(kn, lambda b: b < v)), F.lit(1)), F.lit(m))
+    lo, hi = F.element_at(kn, i), F.element_at(kn, i + 1)
+    frac = F.when(hi > lo, (v - lo) / (hi - lo)).otherwise(F.lit(0.0))
+    frac = F.least(F.greatest(frac, F.lit(0.0)), F.lit(1.0))
+    pos = (i - 1 + frac) / F.lit(float(m))
+    return F.least(F.floor(pos * F.lit(fine)), F.lit(fine - 1))
+
+
 def _bucket_tree(v: Column, knots: list[float], fine: int) -> Column:
-    """Fine bucket of ``v`` through the piecewise-linear map over ``knots``,
-    as a balanced tree of comparisons (log2(#knots) per value, all plain
-    CASE WHEN so it stays inside whole-stage codegen)."""
+    """Same map as a balanced tree of plain comparisons (log2(#knots) per
+    value, inside whole-stage codegen): faster per row, slower to compile."""
     m = len(knots) - 1
     if m <= 0:
         return F.lit(0)
@@ -136,6 +151,14 @@ def _bucket_tree(v: Column, knots: list[float], fine: int) -> Column:
     return tree(0, m)
 
 
+TREE_MIN_ROWS = 2_000_000
+
+
+def _bucket_expr(v: Column, knots: list[float], fine: int, n: int) -> Column:
+    """Tree form only where the rows to bucket amortise its compile cost."""
+    return (_bucket_tree if n >= TREE_MIN_ROWS else _bucket_scan)(v, knots, fine)
+
+
 def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[str],
                   rows_per_bucket: int = 100_000, n_knots: int = 64,
                   accuracy: int = 10000, materialized: bool = False) -> DataFrame:
@@ -167,11 +190,11 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
         knots = sorted(set([float(r["__mn"])] + [float(b) for b in (r["__bd"] or [])] +
                            [float(r["__mx"])]))
         fine = int(min(max(-(-r["__nd"] // rows_per_bucket), 1), 1 << 20))
-        spec[r[key]] = (knots, fine)
+        spec[r[key]] = (knots, fine, r["__nd"])
     if not spec:
-        spec = {None: ([0.0], 1)}
+        spec = {None: ([0.0], 1, 0)}
     v = F.col(value).cast("double")
-    per_key = {k: _bucket_tree(v, knots, fine) for k, (knots, fine) in spec.items()}
+    per_key = {k: _bucket_expr(v, knots, fine, n) for k, (knots, fine, n) in spec.items()}
     if len(per_key) == 1:
         bucket = next(iter(per_key.values()))
     else:
@@ -220,7 +243,7 @@ def value_buckets(df: DataFrame, key: str, value: str, rows_per_bucket: int = 1_
         knots = sorted(set([float(r["__mn"])] + [float(b) for b in (r["__bd"] or [])] +
                            [float(r["__mx"])]))
         fine = int(min(max(-(-r["__n"] // rows_per_bucket), 1), 1 << 20))
-        per_key[r[key]] = _bucket_tree(v, knots, fine)
+        per_key[r[key]] = _bucket_expr(v, knots, fine, r["__n"])
     if not per_key:
         return F.lit(0).cast("long"), stats
     if len(per_key) == 1:

@@ -170,8 +170,8 @@ SELECT (SELECT count(*) FROM w)::BIGINT AS n_windows, (SELECT avg(accuracy) FROM
     ["mean_accuracy", "mean_f1", "mean_drift", "fairness_pass_rate"]))
 def monitor_summary(spark, sf):
     """T5 + T14 + A18 + A19: last 168 hours before a given as-of time."""
-    w = cut_lineage(hourly(spark, sf))          # per-window tables (compact), each
-    d = cut_lineage(drift_windows(spark, sf))   # computed once and read three times
+    w = cut_lineage(hourly(spark, sf), large=False)         # per-window tables (compact),
+    d = cut_lineage(drift_windows(spark, sf), large=False)  # each read three times
     return mo.summary(w, d, mo.alert_rules(w, d), AS_OF, 168)
 
 

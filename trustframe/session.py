@@ -63,13 +63,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
-    and continue from it. Like a reliable checkpoint it survives the loss of
-    executors (unlike a local checkpoint), and the columnar write/read is much
-    cheaper than serialising rows. Each call gets its own folder."""
+def cut_lineage(df: DataFrame, large: bool = True) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and continue from it;
+    both forms survive the loss of executors (unlike a local checkpoint).
+    ``large=True``: a Parquet table (columnar write/read, cheapest for big
+    intermediate tables). ``large=False``: a reliable RDD checkpoint, which has
+    less fixed cost for small, size-checked helper tables."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
+    if not large:
+        return df.checkpoint(eager=True)
     path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
