@@ -50,6 +50,12 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str],
     0), ks (max CDF gap), mean_shift (|mean_ref - mean_cur| / sample std of
     the reference)."""
     h = cut_lineage(histogram(ref, cur, cols, True))  # read by several jobs; scan once
+    return _numeric_from_hist(h, rows_per_bucket)
+
+
+def _numeric_from_hist(h: DataFrame, rows_per_bucket: int = 100_000) -> DataFrame:
+    """Numeric drift statistics from a materialised (feature, v, cnt_ref,
+    cnt_cur) histogram."""
     tot = h.groupBy("feature").agg(
         F.sum("cnt_ref").alias("n_ref"), F.sum("cnt_cur").alias("n_cur"),
         F.min("v").alias("lo"), F.max("v").alias("hi"),
@@ -79,6 +85,10 @@ def category_shares(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> Data
     """A16 + J3: per (feature, category) the normalised share on each side;
     a category missing on one side gets share 0.001 there (not renormalised)."""
     h = cut_lineage(histogram(ref, cur, cols, False))  # compact; read twice
+    return _shares_from_hist(h)
+
+
+def _shares_from_hist(h: DataFrame) -> DataFrame:
     tot = h.groupBy("feature").agg(F.sum("cnt_ref").alias("n_ref"),
                                    F.sum("cnt_cur").alias("n_cur"))
     j = h.join(F.broadcast(tot), "feature")  # one row per feature
@@ -91,7 +101,10 @@ def category_shares(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> Data
 def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per feature: psi = |sum (c - r) ln(c / r)|, kl = sum c ln(c / r),
     psi_over_bound (PSI > 0.2; declared bound, reported only)."""
-    s = category_shares(ref, cur, cols)
+    return _categorical_from_shares(category_shares(ref, cur, cols))
+
+
+def _categorical_from_shares(s: DataFrame) -> DataFrame:
     r, c = F.col("share_ref"), F.col("share_cur")
     agg = s.groupBy("feature").agg(F.sum((c - r) * F.log(c / r)).alias("psi_raw"),
                                    F.sum(c * F.log(c / r)).alias("kl"),
@@ -100,20 +113,46 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> Da
                       (F.abs("psi_raw") > PSI_BOUND).alias("psi_over_bound"))
 
 
+def mixed_histogram(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
+                    categorical: Sequence[str]) -> DataFrame:
+    """One histogram for numeric and categorical columns together:
+    (feature, kind, v_num, v_str, cnt_ref, cnt_cur); each side is scanned
+    once by one generator."""
+    def tag(df, side):
+        t = [F.struct(F.lit(c).alias("feature"), F.lit("numeric").alias("kind"),
+                      nan_to_null(F.col(c).cast("double")).alias("v_num"),
+                      F.lit(None).cast("string").alias("v_str")) for c in numeric]
+        t += [F.struct(F.lit(c).alias("feature"), F.lit("categorical").alias("kind"),
+                       F.lit(None).cast("double").alias("v_num"),
+                       F.col(c).cast("string").alias("v_str")) for c in categorical]
+        return df.select(F.inline(F.array(*t))) \
+            .where(F.col("v_num").isNotNull() | F.col("v_str").isNotNull()) \
+            .withColumn("side", F.lit(side))
+    u = tag(ref, 0).unionByName(tag(cur, 1))
+    return u.groupBy("feature", "kind", "v_num", "v_str").agg(
+        F.count_if(F.col("side") == 0).alias("cnt_ref"), F.count_if(F.col("side") == 1).alias("cnt_cur"))
+
+
 def feature_drift(ref: DataFrame, cur: DataFrame, threshold: float = DATA_DRIFT) -> DataFrame:
     """Every column present in both tables; numeric -> Wasserstein,
-    other -> PSI. Output: feature, method, score, drifted."""
+    other -> PSI. Output: feature, method, score, drifted. Both kinds share
+    one materialised histogram, so each table is scanned once."""
     shared = [c for c in ref.columns if c in cur.columns]  # P11
     num = [c for c in shared if ref.schema[c].dataType.typeName() in
            ("double", "float", "integer", "long", "short", "byte", "decimal")]
     cat = [c for c in shared if c not in num and ref.schema[c].dataType.typeName() in
            ("string", "boolean")]
+    h = cut_lineage(mixed_histogram(ref, cur, num, cat))
     parts = []
     if num:
-        parts.append(numeric_drift(ref, cur, num).select(
+        hn = h.where(F.col("kind") == "numeric").select("feature", F.col("v_num").alias("v"),
+                                                        "cnt_ref", "cnt_cur")
+        parts.append(_numeric_from_hist(hn).select(
             "feature", F.lit("wasserstein").alias("method"), F.col("wasserstein").alias("score")))
     if cat:
-        parts.append(categorical_drift(ref, cur, cat).select(
+        hc = h.where(F.col("kind") == "categorical").select("feature", F.col("v_str").alias("v"),
+                                                            "cnt_ref", "cnt_cur")
+        parts.append(_categorical_from_shares(_shares_from_hist(hc)).select(
             "feature", F.lit("psi").alias("method"), F.col("psi").alias("score")))
     out = parts[0]
     for p in parts[1:]:

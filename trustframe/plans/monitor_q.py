@@ -118,13 +118,16 @@ def drift_by_window(spark, sf):
     return drift_windows(spark, sf)
 
 
-@register("consecutive_violations", rnd(f"""
+CONSEC_SQL = rnd(f"""
 WITH w AS ({HOURLY_SQL}),
 t AS (SELECT *, NOT fairness_pass AS fail, row_number() OVER (ORDER BY window_start) AS rn FROM w),
 u AS (SELECT *, rn - row_number() OVER (PARTITION BY fail ORDER BY window_start) AS island FROM t),
 v AS (SELECT *, row_number() OVER (PARTITION BY fail, island ORDER BY window_start) AS run_length FROM u)
 SELECT window_start, window_end, n, accuracy, precision, recall, f1, sr_priv, sr_unpriv, spd, di,
-  fairness_pass, CAST(run_length AS INTEGER) AS run_length FROM v WHERE fail AND run_length = 3""", _WCOLS))
+  fairness_pass, CAST(run_length AS INTEGER) AS run_length FROM v WHERE fail AND run_length = 3""", _WCOLS)
+
+
+@register("consecutive_violations", CONSEC_SQL)
 def consecutive_violations(spark, sf):
     """An alert where 3 consecutive hourly fairness checks fail."""
     w = hourly(spark, sf)

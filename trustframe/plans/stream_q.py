@@ -1,17 +1,17 @@
-"""Streaming queries (T9-T11 as a stream). No SQL oracle: the batch
-``monitor_hourly`` query is the oracle (tests/test_streaming.py)."""
+"""Streaming queries (T9-T11 as a stream). The stream must produce exactly
+the batch result, so the batch SQL is their oracle."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from trustframe.operators import monitor as mo
-from trustframe.plans.monitor_q import LABEL, PRED, PRIV
-from trustframe.plans.registry import register
+from trustframe.plans.monitor_q import CONSEC_SQL, HOURLY_SQL, LABEL, PRED, PRIV, _WCOLS
+from trustframe.plans.registry import register, rnd
 from trustframe.streaming import event_stream, latest_windows, run_hourly_monitor
 
 
-@register("stream_monitor")
+@register("stream_monitor", rnd(HOURLY_SQL, _WCOLS))
 def stream_monitor(spark, sf):
     """T9 streamed: events file source, 2 h watermark, hourly windows,
     idempotent foreachBatch sink; returns the final window table."""
@@ -20,7 +20,7 @@ def stream_monitor(spark, sf):
     return latest_windows(spark, sink)
 
 
-@register("stream_consecutive_violations")
+@register("stream_consecutive_violations", CONSEC_SQL)
 def stream_consecutive_violations(spark, sf):
     """T11 on the streamed window table: 3 consecutive failed checks."""
     w = stream_monitor(spark, sf)
