@@ -241,3 +241,31 @@ def fairness_flagship(spark, sf):
     """Phase-1 slice: lineitem binary audit -> gate rows (F6 + F10)."""
     m = fz.fairness_metrics(_lineitem(spark, sf), B.LI_ATTRS, B.LI_LABEL(), B.LI_PRED(), "pooled")
     return fz.apply_gates(m, fz.gate_table(spark))
+
+
+def _detect_sql(table: str, col: str) -> str:
+    cases, picks = [], []
+    for i, (name, pats) in enumerate(fz.PRIVILEGED_PATTERNS):
+        lst = ", ".join(f"'{p}'" for p in pats)
+        picks.append(f"(SELECT string_agg(v, ',' ORDER BY v) FROM vals WHERE v IN ({lst})) AS m{i}")
+        cases.append((f"m{i}", name))
+    priv = "CASE " + " ".join(f"WHEN {m} IS NOT NULL THEN {m}" for m, _ in cases) + " ELSE maj END"
+    rule = "CASE " + " ".join(f"WHEN {m} IS NOT NULL THEN '{n}'" for m, n in cases) + \
+        " ELSE 'majority' END"
+    return f"""
+WITH vals AS (SELECT CAST({col} AS VARCHAR) AS v, count(*) AS n FROM {table}
+              WHERE {col} IS NOT NULL GROUP BY 1),
+p AS (SELECT {", ".join(picks)},
+        (SELECT v FROM vals ORDER BY n DESC, v LIMIT 1) AS maj)
+SELECT '{col}' AS attr, {priv} AS privileged, {rule} AS rule FROM p"""
+
+
+@register("privileged_detect", "SELECT * FROM (" + _detect_sql("orders", "o_orderstatus") +
+          ") a\nUNION ALL\nSELECT * FROM (" + _detect_sql("documents", "lang") + ") b")
+def privileged_detect(spark, sf):
+    """privileged values by fixed value patterns, else the majority value
+    (status 'F' matches a pattern list; lang falls back to the majority)."""
+    a = fz.detect_privileged(_orders(spark, sf), "o_orderstatus")
+    b = fz.detect_privileged(T(spark, sf, "documents"), "lang")
+    return a.unionByName(b).select("attr", F.concat_ws(",", "privileged").alias("privileged"),
+                                   "rule")
