@@ -315,3 +315,46 @@ def test_bucket_tree_equals_scan(spark):
     a = df.select(ranking._bucket_scan(F.col("v"), knots, 37).alias("a"),
                   ranking._bucket_tree(F.col("v"), knots, 37).alias("b"))
     assert a.where("a != b").count() == 0
+
+
+def test_drop_and_require_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert clean.drop_columns(df, ["a", "zz"]).columns == ["b"]
+    with pytest.raises(clean.MissingColumnError):
+        clean.require_columns(df, ["a", "target"])
+
+
+def test_request_violation_flag(spark):
+    df = spark.createDataFrame([({"spd": 0.05, "eod": 0.2},), ({"spd": 0.01},)],
+                               "m map<string,double>")
+    got = [r.violation for r in fz.request_violations(df, "m").collect()]
+    assert got == [True, False]
+
+
+def test_combine_rows_no_join(spark):
+    from trustframe.functions.joins import combine_rows
+    a = spark.range(10).agg(F.count("*").alias("n"))
+    b = spark.range(10).agg(F.max("id").alias("mx"))
+    r = combine_rows(a, b)
+    assert r.first().asDict() == {"n": 10, "mx": 9}
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Cartesian" not in plan
+
+
+def test_seeded_order_reproducible(spark):
+    df = spark.range(50).withColumnRenamed("id", "k")
+    a = [r.k for r in sampling.seeded_order(df.repartition(5), "k", 9).collect()]
+    b = [r.k for r in sampling.seeded_order(df.repartition(1), "k", 9).collect()]
+    assert a == b and sorted(a) == list(range(50))
+
+
+def test_severity_bands(spark):
+    m = spark.createDataFrame(
+        [("x", "g1", 0.45, 0.0, 0.0, 0.0, 0.0), ("x", "g2", 0.7, 0.0, 0.0, 0.0, 0.0),
+         ("x", "g3", 1.0, 0.16, 0.0, 0.0, 0.16), ("x", "g4", 1.0, 0.0, 0.12, 0.0, 0.0),
+         ("x", "g5", 1.0, 0.0, 0.0, 0.0, 0.0)],
+        "attr string, unpriv_group string, disparate_impact double, statistical_parity_difference "
+        "double, equal_opportunity_difference double, average_odds_difference double, "
+        "demographic_parity double")
+    got = {r.unpriv_group: r.severity for r in fz.severity(m, fz.gate_table(spark)).collect()}
+    assert got == {"g1": "high", "g2": "low", "g3": "low", "g4": "minor", "g5": "none"}
