@@ -25,6 +25,8 @@ def register(name: str, sql: str | None = None, rounded: bool = True):
             raise KeyError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the tables carry zone-less timestamps; every query reads them in UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             df = fn(spark, sf_dir)
             return round_doubles(df, DIGITS) if rounded else df
         run.__name__ = fn.__name__

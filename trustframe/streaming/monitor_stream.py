@@ -74,7 +74,8 @@ def run_hourly_monitor(spark: SparkSession, events: DataFrame, label: Column, pr
 
 def latest_windows(spark: SparkSession, sink: str) -> DataFrame:
     """Newest version of every window, with the batch metrics derived from
-    the counts (same columns as ``monitor.window_metrics``)."""
+    the counts (same columns and types as ``monitor.window_metrics`` on the
+    zone-less event time of the tables)."""
     raw = spark.read.parquet(sink)
     w = Window.partitionBy("window_start").orderBy(F.col("batch").desc())
     last = raw.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r", "batch")
@@ -83,7 +84,8 @@ def latest_windows(spark: SparkSession, sink: str) -> DataFrame:
     rec = rate(c("tp"), c("tp") + c("fn"))
     srp, sru = rate(c("pos_priv"), c("n_priv")), rate(c("pos_unpriv"), c("n_unpriv"))
     out = last.select(
-        "window_start", "window_end", "n", rate(c("tp") + c("tn"), c("n")).alias("accuracy"),
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n", rate(c("tp") + c("tn"), c("n")).alias("accuracy"),
         prec.alias("precision"), rec.alias("recall"), rate(2 * prec * rec, prec + rec).alias("f1"),
         srp.alias("sr_priv"), sru.alias("sr_unpriv"), (sru - srp).alias("spd"),
         safe_div(sru, srp).alias("di"))
