@@ -103,7 +103,44 @@ def ord_scorer(cols):
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-m))
 
 
-@register("shapley_sampled")
+def _u_sql(*args: str) -> str:
+    return ("((('0x' || substr(md5(concat_ws(':', " + ", ".join(args) +
+            ")), 1, 13))::BIGINT)::DOUBLE / 4503599627370496.0)")
+
+
+def _shapley_sql(n_perm: int = 8, seed: int = 42, bg_seed: int = 7, nbg: int = 100) -> str:
+    f = ORD_FEATS
+
+    def score(vals):
+        m = " + ".join(f"({ORD_COEF[c]}) * {vals[c]}" for c in f)
+        return f"(1.0 / (1.0 + exp(-(-2.0 + {m}))))"
+    parts = []
+    for j in f:
+        w, wo = {}, {}
+        for c in f:
+            if c == j:
+                w[c], wo[c] = f"x_{c}", f"z_{c}"
+            else:
+                w[c] = wo[c] = f"(CASE WHEN k_{c} < k_{j} THEN x_{c} ELSE z_{c} END)"
+        parts.append(f"SELECT id, '{j}' AS feature, {score(w)} - {score(wo)} AS d FROM j")
+    keys = ", ".join(f"{_u_sql(str(seed), 'id', 'm', repr(c))} AS k_{c}" for c in f)
+    return f"""
+WITH x AS (SELECT o_orderkey AS id, CAST(o_totalprice AS DOUBLE) AS x_o_totalprice,
+             CAST(o_custkey AS DOUBLE) AS x_o_custkey,
+             CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS x_o_days
+           FROM orders),
+bg0 AS (SELECT * FROM x ORDER BY md5('{bg_seed}:' || CAST(id AS VARCHAR)), id LIMIT {nbg}),
+bg AS (SELECT x_o_totalprice AS z_o_totalprice, x_o_custkey AS z_o_custkey, x_o_days AS z_o_days,
+         row_number() OVER (ORDER BY x_o_totalprice, x_o_custkey, x_o_days) - 1 AS bi FROM bg0),
+nb AS (SELECT count(*) AS nb FROM bg),
+p AS (SELECT x.*, r.m, CAST(floor({_u_sql(str(seed), "'bg'", 'id', 'r.m')} * nb.nb) AS BIGINT) AS bi
+      FROM x, range(0, {n_perm}) r(m), nb),
+j AS (SELECT p.*, bg.z_o_totalprice, bg.z_o_custkey, bg.z_o_days, {keys} FROM p JOIN bg USING (bi))
+SELECT id AS o_orderkey, feature, avg(d) AS shap FROM ({" UNION ALL ".join(parts)}) t
+GROUP BY id, feature"""
+
+
+@register("shapley_sampled", rnd(_shapley_sql(), ["shap"]))
 def shapley_sampled(spark, sf):
     """Permutation-sampled Shapley values of a (non-linear) probability
     scorer for every order, 8 permutations, 100-row seeded background."""
