@@ -212,7 +212,7 @@ def lime_text(docs: DataFrame, id_col: str, text_col: str,
     toks = toks.select("__id", F.filter("__t", lambda x: x != "").alias("__t"))
     samp = toks.select("__id", "__t",
                        F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("__s"))
-    keep = F.transform("__t", lambda w, i: _u(F.lit(seed), F.col("__id"), F.col("__s"), i)
+    keep = F.transform("__t", lambda w, i: _u_md5(F.lit(seed), F.col("__id"), F.col("__s"), i)
                        < F.lit(keep_prob))
     samp = samp.select("__id", "__s", "__t", keep.alias("__k"))
     kept_words = F.filter(F.arrays_zip("__t", "__k"), lambda p: p["__k"])

@@ -172,7 +172,23 @@ def text_scorer(tokens):
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
 
 
-@register("lime_text")
+def _lime_text_sql(n_samples: int = 16, seed: int = 42) -> str:
+    score = " + ".join(f"({b}) * count_if(kept AND word = '{w}')" for w, b in TEXT_WORDS.items())
+    return f"""
+WITH d AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}'']+'),
+             lambda x: x <> '') AS t FROM documents),
+tok AS (SELECT id, r.s, unnest(t) AS word, unnest(generate_series(0, len(t) - 1)) AS i
+        FROM d, range(0, {n_samples}) r(s) WHERE len(t) > 0),
+k AS (SELECT id, s, word, {_u_sql(str(seed), 'id', 's', 'i')} < 0.5 AS kept FROM tok),
+f AS (SELECT id, s, 1.0 / (1.0 + exp(-(-1.0 + {score}))) AS f FROM k GROUP BY id, s),
+pw AS (SELECT id, s, word, bool_or(kept) AS kept FROM k GROUP BY id, s, word)
+SELECT pw.id AS doc_id, pw.word,
+  avg(CASE WHEN pw.kept THEN f.f END) - avg(CASE WHEN NOT pw.kept THEN f.f END) AS weight,
+  count_if(pw.kept)::BIGINT AS n_kept, count_if(NOT pw.kept)::BIGINT AS n_dropped
+FROM pw JOIN f ON pw.id = f.id AND pw.s = f.s GROUP BY pw.id, pw.word"""
+
+
+@register("lime_text", rnd(_lime_text_sql(), ["weight"]))
 def lime_text(spark, sf):
     """E5 + E9: word importance for every document (whole text, 16 masks)."""
     d = T(spark, sf, "documents")
