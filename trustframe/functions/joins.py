@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,14 +19,6 @@ def materialize_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
     return small, small.count() <= max_rows
 
 
-def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only when its checked row count is under
-    ``max_rows``; otherwise a shuffle join (AQE can still split skew)."""
-    small, ok = materialize_small(small, max_rows)
-    return big.join(F.broadcast(small) if ok else small, on, how)
-
-
 def combine_rows(*frames: DataFrame) -> DataFrame:
     """Put several one-row aggregates side by side without a join: union them
     (each contributes its own columns, NULL elsewhere) and take the first

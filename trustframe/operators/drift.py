@@ -204,13 +204,6 @@ def reference_profile(ref: DataFrame, numeric: Sequence[str], categorical: Seque
     return long.groupBy("feature", "kind", "v_num", "v_str").agg(F.count(F.lit(1)).alias("n"))
 
 
-def expand_profile(profile: DataFrame, feature: str) -> DataFrame:
-    """Rows back from a numeric profile (one row per count) for APIs that
-    need a sample; prefer passing histograms."""
-    p = profile.where((F.col("feature") == feature) & (F.col("kind") == "numeric"))
-    return p.select(F.explode(F.array_repeat(F.col("v_num"), F.col("n").cast("int"))).alias(feature))
-
-
 def drift_alerts(per_feature: DataFrame, ts, threshold: float = DATA_DRIFT) -> DataFrame:
     """T2 (data part): one medium alert per drifted feature."""
     return per_feature.where(F.col("drifted")).select(

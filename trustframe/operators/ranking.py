@@ -34,11 +34,6 @@ def ceil_share(n: Column, share: float) -> Column:
     return F.floor((d * F.lit(num) + F.lit(999_999)) / F.lit(1_000_000)).cast("long")
 
 
-def floor_share(n: Column, share: float) -> Column:
-    num = int(round(share * 1_000_000))
-    return F.floor(n.cast("decimal(38,0)") * F.lit(num) / F.lit(1_000_000)).cast("long")
-
-
 def _segment(pos: Column, cuts: Sequence[Column], labels: Sequence[str]) -> Column:
     expr = None
     for c, lab in zip(cuts, labels[:-1]):

@@ -15,10 +15,6 @@ from trustframe.functions.exprs import order_key
 from trustframe.operators.ranking import ceil_share, rank_segments, top_n_per_stratum
 
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
-
-
 def stratified_split(df: DataFrame, strata: Sequence, id_col: str, seed: int = 42,
                      test: float = 0.2, val: float = 0.1, out: str = "split") -> DataFrame:
     """Train/val/test per stratum: n_test = ceil(n*test); n_val =

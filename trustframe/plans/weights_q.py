@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from trustframe.operators import weights as wt
 from trustframe.plans.registry import T, register, rnd
