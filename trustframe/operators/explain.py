@@ -142,8 +142,8 @@ def _u_md5(*parts: Column) -> Column:
 
 def _normal(*parts: Column) -> Column:
     """Standard normal from two md5 uniforms (Box-Muller)."""
-    u1 = F.greatest(_u(*parts, F.lit("a")), F.lit(1e-12))
-    u2 = _u(*parts, F.lit("b"))
+    u1 = F.greatest(_u_md5(*parts, F.lit("a")), F.lit(1e-12))
+    u2 = _u_md5(*parts, F.lit("b"))
     return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * 3.141592653589793 * u2)
 
 
@@ -189,7 +189,10 @@ def lime_tabular(df: DataFrame, id_col: str, features: Sequence[str],
                 a[:, i, j] = v
                 a[:, j, i] = v
             b = np.stack([pdf[f"b_{i}"].to_numpy(dtype=float) for i in range(d + 1)], axis=1)
-            beta = np.linalg.solve(a + 1e-9 * np.eye(d + 1)[None, :, :], b[:, :, None])[:, :, 0]
+            try:
+                beta = np.linalg.solve(a, b[:, :, None])[:, :, 0]
+            except np.linalg.LinAlgError:  # a degenerate row: least-squares per row
+                beta = np.stack([np.linalg.lstsq(a[k], b[k], rcond=None)[0] for k in range(n)])
             yield pd.DataFrame({
                 "__id": np.repeat(pdf["__id"].to_numpy(), d),
                 "feature": np.tile(np.array(names, dtype=object), n),

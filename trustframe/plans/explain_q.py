@@ -149,12 +149,54 @@ def shapley_sampled(spark, sf):
     return ex.sampled_shapley(x, bg.select(*ORD_FEATS), "o_orderkey", ORD_FEATS, ord_scorer, 8)
 
 
-@register("lime_tabular")
+LIME_SCALES = {"o_totalprice": 100000.0, "o_custkey": 1000.0, "o_days": 500.0}
+
+
+def _lime_tabular_sql(n_samples: int = 64, seed: int = 42) -> str:
+    f = ORD_FEATS
+    kw2 = repr((0.75 * len(f) ** 0.5) ** 2)
+    eps = ", ".join(
+        f"sqrt(-2.0 * ln(greatest({_u_sql(str(seed), 'id', 's', repr(c), repr('a'))}, 1e-12))) * "
+        f"cos(6.283185307179586::DOUBLE * {_u_sql(str(seed), 'id', 's', repr(c), repr('b'))}) AS e_{c}"
+        for c in f)
+    z = {c: f"(x_{c} + ({LIME_SCALES[c]}) * e_{c})" for c in f}
+    margin = "-2.0" + "".join(f" + ({ORD_COEF[c]}) * {z[c]}" for c in f)
+    d2 = " + ".join(f"e_{c} * e_{c}" for c in f)
+    sums = ", ".join([f"sum(w * e_{c}) AS s_{c}" for c in f] +
+                     [f"sum(w * e_{a} * e_{b}) AS s_{a}_{b}" for i, a in enumerate(f) for b in f[i:]] +
+                     [f"sum(w * e_{c} * fv) AS r_{c}" for c in f])
+    c1, c2, c3 = f
+    cov = lambda a, b: f"(s_{a}_{b} - sw * m_{a} * m_{b})"
+    rr = lambda a: f"(r_{a} - sw * m_{a} * mf)"
+    A, B, C, D, E, G = cov(c1, c1), cov(c1, c2), cov(c1, c3), cov(c2, c2), cov(c2, c3), cov(c3, c3)
+    return f"""
+WITH x AS (SELECT o_orderkey AS id, CAST(o_totalprice AS DOUBLE) AS x_o_totalprice,
+             CAST(o_custkey AS DOUBLE) AS x_o_custkey,
+             CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS x_o_days
+           FROM orders),
+e AS (SELECT x.*, {eps} FROM x, range(0, {n_samples}) r(s)),
+g AS (SELECT id, {", ".join(f"e_{c}" for c in f)}, 1.0 / (1.0 + exp(-({margin}))) AS fv,
+        exp(-({d2}) / {kw2}) AS w FROM e),
+a AS (SELECT id, sum(w) AS sw, sum(w * fv) AS sf, {sums} FROM g GROUP BY id),
+m AS (SELECT *, s_{c1} / sw AS m_{c1}, s_{c2} / sw AS m_{c2}, s_{c3} / sw AS m_{c3}, sf / sw AS mf FROM a),
+k AS (SELECT *, {A} AS ca, {B} AS cb, {C} AS cc, {D} AS cd, {E} AS ce, {G} AS cg,
+        {rr(c1)} AS b1, {rr(c2)} AS b2, {rr(c3)} AS b3 FROM m),
+v AS (SELECT *, ca * (cd * cg - ce * ce) - cb * (cb * cg - cc * ce) + cc * (cb * ce - cc * cd) AS det FROM k),
+sol AS (SELECT id, mf, m_{c1}, m_{c2}, m_{c3},
+  ((cd * cg - ce * ce) * b1 + (cc * ce - cb * cg) * b2 + (cb * ce - cc * cd) * b3) / det AS w1,
+  ((cc * ce - cb * cg) * b1 + (ca * cg - cc * cc) * b2 + (cb * cc - ca * ce) * b3) / det AS w2,
+  ((cb * ce - cc * cd) * b1 + (cb * cc - ca * ce) * b2 + (ca * cd - cb * cb) * b3) / det AS w3 FROM v),
+out AS (SELECT id, w1, w2, w3, mf - w1 * m_{c1} - w2 * m_{c2} - w3 * m_{c3} AS intercept FROM sol)
+SELECT id AS o_orderkey, '{c1}' AS feature, w1 AS weight, intercept FROM out
+UNION ALL SELECT id, '{c2}', w2, intercept FROM out
+UNION ALL SELECT id, '{c3}', w3, intercept FROM out"""
+
+
+@register("lime_tabular", rnd(_lime_tabular_sql(), ["weight", "intercept"]))
 def lime_tabular(spark, sf):
     """Local linear surrogate per order (64 seeded perturbations)."""
     x = _orders_x(spark, sf)
-    scales = {"o_totalprice": 100000.0, "o_custkey": 1000.0, "o_days": 500.0}
-    return ex.lime_tabular(x, "o_orderkey", ORD_FEATS, ord_scorer, scales, n_samples=64)
+    return ex.lime_tabular(x, "o_orderkey", ORD_FEATS, ord_scorer, LIME_SCALES, n_samples=64)
 
 
 # A small bag-of-words scorer for the text explainer.
