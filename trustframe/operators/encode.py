@@ -104,6 +104,13 @@ def fit_encoder(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
             means[r.feature], stds[r.feature] = r["mean"], r["std"]
     cats: dict[str, list[str]] = {}
     if categorical:
+        # guard first with a sketch, so no category list is built for a column
+        # that would exceed the cap (the exact count is checked again below)
+        approx = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(c)
+                          for c in categorical]).first().asDict()
+        wide0 = [c for c in categorical if approx[c] > 1.2 * max_categories]
+        if wide0:
+            raise ValueError(f"{wide0[0]} has more than {max_categories} categories")
         tags = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v"))
                          for c in categorical])
         d = df.select(F.inline(tags)).where(F.col("v").isNotNull()).distinct()

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trustframe.functions.exprs import rate, safe_div
-from trustframe.functions.joins import combine_rows
-from trustframe.session import cut_lineage
+from trustframe.functions.joins import combine_rows, materialize_small
 from trustframe.operators.drift import ABSENT_SHARE
 
 # Monitoring rules.
@@ -64,27 +63,35 @@ def window_metrics(df: DataFrame, ts: str, label: Column, pred: Column, priv: Co
 def drift_by_window(cur: DataFrame, ref: DataFrame, ts: str, col: str,
                     duration: str = "1 hour") -> DataFrame:
     """PSI of a categorical column per window against the reference shares
-    (absent category -> 0.001 on that side)."""
+    (a category absent on one side counts with share 0.001 there).
+
+    Categories of the reference that a window lacks contribute
+    (0.001 - r) ln(0.001 / r) each; that sum is a per-reference constant minus
+    the terms of the categories the window does have, so each window needs
+    only its own categories joined with the reference (no window x category
+    grid, nothing collected)."""
+    eps = F.lit(ABSENT_SHARE)
     rc = ref.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("cat")) \
         .agg(F.count(F.lit(1)).alias("c"))
+    # per reference category: share and its "absent from the window" term
     rs = rc.select("cat", (F.col("c") / F.sum("c").over(Window.partitionBy())).alias("share_ref"))
     # ^ over the reference category table (one row per category)
+    rs = rs.withColumn("absent_term", (eps - F.col("share_ref")) * F.log(eps / F.col("share_ref")))
+    rs, small = materialize_small(rs)
+    t_ref = rs.agg(F.sum("absent_term")).first()[0] or 0.0  # one scalar
     wc = cur.where(F.col(col).isNotNull()).groupBy(
         F.window(ts, duration).start.alias("window_start"),
         F.col(col).cast("string").alias("cat")).agg(F.count(F.lit(1)).alias("c"))
-    wc = cut_lineage(wc)  # windows x categories (compact), read twice
-    wins = wc.select("window_start").distinct()
-    cats = [r[0] for r in rs.select("cat").collect()]  # reference categories (a few)
-    grid = wins.select("window_start", F.explode(F.array(*[F.lit(x) for x in cats])).alias("cat"))
-    # windows x reference categories: bounded by categories per window
-    cells = grid.join(wc, ["window_start", "cat"], "full_outer").fillna(0, ["c"])
-    tot = Window.partitionBy("window_start")
-    cells = cells.select("window_start", "cat",
-                         F.when(F.col("c") > 0, F.col("c") / F.sum("c").over(tot))
-                         .otherwise(F.lit(ABSENT_SHARE)).alias("share_cur"))
-    j = cells.join(F.broadcast(rs), "cat", "left").fillna(ABSENT_SHARE, ["share_ref"])
-    r, c = F.col("share_ref"), F.col("share_cur")
-    return j.groupBy("window_start").agg(F.abs(F.sum((c - r) * F.log(c / r))).alias("psi"))
+    tot = Window.partitionBy("window_start")  # one window's categories
+    j = wc.join(F.broadcast(rs) if small else rs, "cat", "left")
+    share_cur = F.col("c") / F.sum("c").over(tot)
+    r = F.coalesce(F.col("share_ref"), eps)
+    j = j.select("window_start", share_cur.alias("sc"), r.alias("r"), "absent_term")
+    agg = j.groupBy("window_start").agg(
+        F.sum((F.col("sc") - F.col("r")) * F.log(F.col("sc") / F.col("r"))).alias("present"),
+        F.sum(F.coalesce(F.col("absent_term"), F.lit(0.0))).alias("covered"))
+    return agg.select("window_start",
+                      F.abs(F.col("present") + F.lit(float(t_ref)) - F.col("covered")).alias("psi"))
 
 
 def consecutive_runs(windows: DataFrame, order: str, fail: Column, k: int = CONSECUTIVE,
