@@ -89,12 +89,12 @@ SELECT feature, count(*)::BIGINT AS n_categories,
 FROM ({shares_sql(cols, ref, cur)}) s GROUP BY feature"""
 
 
-def features_sql() -> str:
+def features_sql(num=NUM, cat=CAT, ref=REF_SQL, cur=CUR_SQL) -> str:
     return f"""
 SELECT feature, 'wasserstein' AS method, wasserstein AS score, wasserstein > 0.1 AS drifted
-FROM ({num_sql()}) n
+FROM ({num_sql(num, ref, cur)}) n
 UNION ALL
-SELECT feature, 'psi', psi, psi > 0.1 FROM ({cat_sql()}) c"""
+SELECT feature, 'psi', psi, psi > 0.1 FROM ({cat_sql(cat, ref, cur)}) c"""
 
 
 @register("drift_wasserstein", rnd(f"SELECT feature, n_ref, n_cur, lo, hi, wasserstein FROM ({num_sql()}) q",

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from trustframe.operators import monitor as mo
 from trustframe.plans.monitor_q import CONSEC_SQL, HOURLY_SQL, LABEL, PRED, PRIV, _WCOLS
 from trustframe.plans.registry import register, rnd
-from trustframe.streaming import event_stream, latest_windows, run_hourly_monitor
+from trustframe.operators import drift as dr
+from trustframe.plans import drift_q
+from trustframe.plans.registry import T
+from trustframe.streaming import (event_stream, latest_windows, run_batch_function,
+                                  run_hourly_monitor)
 
 
 @register("stream_monitor", rnd(HOURLY_SQL, _WCOLS))
@@ -25,3 +29,31 @@ def stream_consecutive_violations(spark, sf):
     """T11 on the streamed window table: 3 consecutive failed checks."""
     w = stream_monitor(spark, sf)
     return mo.consecutive_runs(w, "window_start", ~F.col("fairness_pass"), 3)
+
+
+_REF = f"""(SELECT value, CAST(user_id AS DOUBLE) AS user_id, event_type FROM events
+  WHERE ts < TIMESTAMP '{drift_q.CUT}')"""
+_ALL = "(SELECT value, CAST(user_id AS DOUBLE) AS user_id, event_type FROM events)"
+
+
+@register("stream_drift_alerts", rnd(f"""
+SELECT 'data_drift' AS drift_type, feature AS metric, score AS current_value,
+  0.1::DOUBLE AS threshold, 'medium' AS severity, drifted
+FROM ({drift_q.features_sql(["value", "user_id"], ["event_type"], _REF, _ALL)}) f""",
+    ["current_value", "threshold"]))
+def stream_drift_alerts(spark, sf):
+    """T1 + T2 streamed: the batch drift function applied to every micro-batch
+    of the events stream against the reference half (foreachBatch)."""
+    ref = T(spark, sf, "events").where(F.col("ts") < F.lit(drift_q.CUT).cast("timestamp")) \
+        .select("value", F.col("user_id").cast("double").alias("user_id"), "event_type")
+
+    def per_batch(batch):
+        cur = batch.select("value", F.col("user_id").cast("double").alias("user_id"), "event_type")
+        feats = dr.feature_drift(ref, cur)
+        return feats.select(F.lit("data_drift").alias("drift_type"),
+                            F.col("feature").alias("metric"),
+                            F.col("score").alias("current_value"),
+                            F.lit(dr.DATA_DRIFT).alias("threshold"),
+                            F.lit("medium").alias("severity"), "drifted")
+    sink = run_batch_function(spark, event_stream(spark, sf, "events.parquet"), per_batch)
+    return spark.read.parquet(sink).drop("batch")

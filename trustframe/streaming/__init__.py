@@ -1,4 +1,6 @@
 from trustframe.streaming.monitor_stream import (event_stream, hourly_window_stream,
-                                                 run_hourly_monitor, latest_windows)
+                                                 latest_windows, run_batch_function,
+                                                 run_hourly_monitor)
 
-__all__ = ["event_stream", "hourly_window_stream", "run_hourly_monitor", "latest_windows"]
+__all__ = ["event_stream", "hourly_window_stream", "run_hourly_monitor", "latest_windows",
+           "run_batch_function"]

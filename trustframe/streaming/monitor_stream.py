@@ -91,3 +91,28 @@ def latest_windows(spark: SparkSession, sink: str) -> DataFrame:
         safe_div(sru, srp).alias("di"))
     ok = (F.abs(c("spd")) <= 0.1) & (c("di") >= 0.8) & (c("di") <= 1.25)
     return out.withColumn("fairness_pass", F.coalesce(ok, F.lit(False)))
+
+
+def run_batch_function(spark: SparkSession, stream: DataFrame, fn, out_dir: str | None = None,
+                       timeout_s: int = 600) -> str:
+    """T1 as a stream: apply the batch function ``fn(batch_df) -> DataFrame``
+    to every micro-batch (``foreachBatch``) and append its rows under
+    ``batch=<id>`` (overwrite of that partition only, so a retried batch
+    replaces its own output). Returns the sink folder."""
+    base = out_dir or f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    sink, ckpt = f"{base}/out", f"{base}/_checkpoint"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (fn(batch).withColumn("batch", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(sink))
+
+    q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("stream did not finish")
+    if q.exception():
+        raise q.exception()
+    return sink
