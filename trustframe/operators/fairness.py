@@ -62,11 +62,20 @@ class Protected:
     ``privileged`` lists privileged values; ``threshold`` marks numeric
     attributes where ``value >= threshold`` is privileged (the group label then
     becomes ``>=t`` / ``<t``). If neither is given the caller must resolve the
-    privileged value first (see :func:`majority_groups`)."""
+    privileged value first (see :func:`majority_groups`). ``unprivileged``
+    optionally names the unprivileged values; rows with a value in neither
+    list are then left out of this attribute's comparison."""
     name: str
     column: str | Column | None = None
     privileged: Sequence = field(default_factory=tuple)
     threshold: float | None = None
+    unprivileged: Sequence | None = None
+
+    def included(self) -> Column:
+        if self.unprivileged is None:
+            return F.lit(True)
+        v = self.value()
+        return F.coalesce(v.isin(list(self.privileged) + list(self.unprivileged)), F.lit(False))
 
     def value(self) -> Column:
         c = self.column if self.column is not None else self.name
@@ -96,8 +105,12 @@ def _fmt(x: float) -> str:
 def _tag(df: DataFrame, attrs: Sequence[Protected], label: Column, pred: Column) -> DataFrame:
     """One row per (input row, attribute): attr, grp, priv, y, p (ints)."""
     tags = F.array(*[F.struct(F.lit(a.name).alias("attr"), a.group().alias("grp"),
-                              a.is_priv().alias("priv")) for a in attrs])
-    return df.select(F.inline(tags), label.cast("int").alias("y"), pred.cast("int").alias("p"))
+                              a.is_priv().alias("priv"), a.included().alias("inc"))
+                     for a in attrs])
+    t = df.select(F.inline(tags), label.cast("int").alias("y"), pred.cast("int").alias("p"))
+    if any(a.unprivileged is not None for a in attrs):
+        t = t.where(F.col("inc"))
+    return t.drop("inc")
 
 
 def group_confusion(df: DataFrame, attrs: Sequence[Protected], label: Column,

@@ -269,3 +269,19 @@ def privileged_detect(spark, sf):
     b = fz.detect_privileged(T(spark, sf, "documents"), "lang")
     return a.unionByName(b).select("attr", F.concat_ws(",", "privileged").alias("privileged"),
                                    "rule")
+
+
+_NAMED_ATTRS = [fz.Protected("o_orderpriority", privileged=["1-URGENT"],
+                             unprivileged=["4-NOT SPECIFIED", "5-LOW"])]
+_NAMED_SQL = dict(attrs=[("o_orderpriority", "CAST(o_orderpriority AS VARCHAR)",
+                          "o_orderpriority IN ('1-URGENT')")],
+                  label=B.ORD_SQL["label"], pred=B.ORD_SQL["pred"],
+                  source="(SELECT * FROM orders WHERE o_orderpriority IN "
+                         "('1-URGENT', '4-NOT SPECIFIED', '5-LOW'))")
+
+
+@register("fairness_named_groups", rnd(sql_metrics(_NAMED_SQL, "pooled"), METRICS))
+def fairness_named_groups(spark, sf):
+    """Named privileged and unprivileged lists; other values are left out."""
+    return fz.fairness_metrics(_orders(spark, sf), _NAMED_ATTRS, B.ORD_LABEL(), B.ORD_PRED(),
+                               "pooled")
