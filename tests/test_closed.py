@@ -358,3 +358,19 @@ def test_severity_bands(spark):
         "demographic_parity double")
     got = {r.unpriv_group: r.severity for r in fz.severity(m, fz.gate_table(spark)).collect()}
     assert got == {"g1": "high", "g2": "low", "g3": "low", "g4": "minor", "g5": "none"}
+
+
+def test_round_half_away_matches_duckdb(spark):
+    import math
+    import random
+
+    import duckdb
+    from trustframe.functions.exprs import round_half_away
+    rnd = random.Random(1)
+    vals = [rnd.uniform(-1000, 1000) for _ in range(3000)] + [k / 2e6 for k in range(-500, 500)] + \
+        [0.2734375, -0.2820675, 1e-7, -1e-7, 0.0, -0.0, 2.5e-6, 1e300]
+    got = [r.y for r in spark.createDataFrame([(v,) for v in vals], "x double")
+           .select(round_half_away(F.col("x"), 6).alias("y")).collect()]
+    want = [r[0] for r in duckdb.connect().execute(
+        "SELECT round(x, 6) FROM (SELECT unnest(?) AS x)", [vals]).fetchall()]
+    assert all(a == b and math.copysign(1, a) == math.copysign(1, b) for a, b in zip(got, want))

@@ -35,12 +35,28 @@ def order_key(id_col: str | Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
 
 
+def round_half_away(c: Column, digits: int) -> Column:
+    """round(x * 10^d) / 10^d with ties away from zero, in plain IEEE double
+    arithmetic (multiply, exact floor/ceil, one division), so two engines
+    holding the same double always produce the same rounded double. Spark's
+    ``round`` instead rounds the shortest decimal string of the double, which
+    can break an exact tie the other way. Signed zeros are kept; NaN,
+    infinities and values already integral at this scale pass through."""
+    m = float(10 ** digits)
+    y = c * F.lit(m)
+    t = F.when(y >= 0, F.floor(y)).otherwise(F.ceil(y)).cast("double")
+    r = F.when(F.abs(y - t) >= 0.5, t + F.signum(y)).otherwise(t)
+    out = F.when(r == 0, F.lit(0.0) * F.signum(y)).otherwise(r / F.lit(m))
+    big = F.isnan(c) | (F.abs(y) >= F.lit(float(1 << 52)))
+    return F.when(c.isNull(), F.lit(None).cast("double")).when(big, c).otherwise(out)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (summation order differs between engines)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            cols.append(round_half_away(F.col(f.name).cast("double"), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -53,7 +53,7 @@ def window_metrics(df: DataFrame, ts: str, label: Column, pred: Column, priv: Co
     out = agg.select(
         c("w.start").alias("window_start"), c("w.end").alias("window_end"), "n",
         rate(c("tp") + c("tn"), c("n")).alias("accuracy"), prec.alias("precision"),
-        rec.alias("recall"), rate(2 * prec * rec, prec + rec).alias("f1"),
+        rec.alias("recall"), rate(2 * c("tp"), 2 * c("tp") + c("fp") + c("fn")).alias("f1"),
         srp.alias("sr_priv"), sru.alias("sr_unpriv"), (sru - srp).alias("spd"),
         safe_div(sru, srp).alias("di"))
     ok = (F.abs(c("spd")) <= spd_bound) & (c("di") >= di_bounds[0]) & (c("di") <= di_bounds[1])

@@ -49,9 +49,7 @@ SELECT {g}n, tp, fp, tn, fn,
   CASE WHEN n > 0 THEN (tp + tn)::DOUBLE / n ELSE 0.0 END AS accuracy,
   CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0.0 END AS precision,
   CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0.0 END AS recall,
-  CASE WHEN tp + fp > 0 AND tp + fn > 0 AND tp > 0
-       THEN 2 * (tp::DOUBLE / (tp + fp)) * (tp::DOUBLE / (tp + fn))
-            / ((tp::DOUBLE / (tp + fp)) + (tp::DOUBLE / (tp + fn))) ELSE 0.0 END AS f1
+  CASE WHEN 2 * tp + fp + fn > 0 THEN (2 * tp)::DOUBLE / (2 * tp + fp + fn) ELSE 0.0 END AS f1
 FROM (SELECT {g}count(*)::BIGINT AS n, count_if(y = 1 AND yhat = 1)::BIGINT AS tp,
         count_if(y = 0 AND yhat = 1)::BIGINT AS fp, count_if(y = 0 AND yhat = 0)::BIGINT AS tn,
         count_if(y = 1 AND yhat = 0)::BIGINT AS fn FROM {src} s {gb}) c"""

@@ -44,7 +44,7 @@ FROM (SELECT window_start, window_end, n,
   CASE WHEN n > 0 THEN (tp + tn)::DOUBLE / n ELSE 0.0 END AS accuracy,
   CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0.0 END AS precision,
   CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0.0 END AS recall,
-  CASE WHEN tp > 0 THEN 2.0 * tp / (2.0 * tp + fp + fn) ELSE 0.0 END AS f1,
+  CASE WHEN 2 * tp + fp + fn > 0 THEN (2 * tp)::DOUBLE / (2 * tp + fp + fn) ELSE 0.0 END AS f1,
   CASE WHEN n_priv > 0 THEN pos_priv::DOUBLE / n_priv ELSE 0.0 END AS sr_priv,
   CASE WHEN n_unpriv > 0 THEN pos_unpriv::DOUBLE / n_unpriv ELSE 0.0 END AS sr_unpriv
 FROM (SELECT {start} AS window_start, {end} AS window_end, count(*)::BIGINT AS n,

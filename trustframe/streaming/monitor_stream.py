@@ -86,7 +86,8 @@ def latest_windows(spark: SparkSession, sink: str) -> DataFrame:
     out = last.select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n", rate(c("tp") + c("tn"), c("n")).alias("accuracy"),
-        prec.alias("precision"), rec.alias("recall"), rate(2 * prec * rec, prec + rec).alias("f1"),
+        prec.alias("precision"), rec.alias("recall"),
+        rate(2 * c("tp"), 2 * c("tp") + c("fp") + c("fn")).alias("f1"),
         srp.alias("sr_priv"), sru.alias("sr_unpriv"), (sru - srp).alias("spd"),
         safe_div(sru, srp).alias("di"))
     ok = (F.abs(c("spd")) <= 0.1) & (c("di") >= 0.8) & (c("di") <= 1.25)
