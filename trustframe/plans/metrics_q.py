@@ -194,3 +194,16 @@ WHERE rk = 1""", ["threshold", "selection_rate"]))
 def threshold_by_group(spark, sf):
     """per-group threshold whose selection rate is closest to 0.3."""
     return mt.thresholds_by_group(scored(spark, sf), "p", "l_linestatus", 0.3)
+
+
+@register("score_python_model", rnd(f"""
+SELECT l_orderkey, l_linenumber, CAST(p >= 0.5 AS INTEGER) AS prediction, p AS probability,
+  greatest(p, 1 - p) AS confidence, 'linear-v1' AS model_version,
+  TIMESTAMP '2024-02-01 00:00:00' AS scored_at FROM {SCORED_SQL} s""", ["probability", "confidence"]))
+def score_python_model(spark, sf):
+    """L8 + UDF surface: a foreign Python model (predict_proba) scored by an
+    iterator pandas UDF, one broadcast load per executor."""
+    li = T(spark, sf, "lineitem")
+    model = sc.LinearProbabilityModel(list(LI_COEF.values()), LI_B)
+    return sc.score_python_model(li, model, list(LI_COEF), ["l_orderkey", "l_linenumber"],
+                                 "linear-v1", AS_OF)
