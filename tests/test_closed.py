@@ -374,3 +374,18 @@ def test_round_half_away_matches_duckdb(spark):
     want = [r[0] for r in duckdb.connect().execute(
         "SELECT round(x, 6) FROM (SELECT unnest(?) AS x)", [vals]).fetchall()]
     assert all(a == b and math.copysign(1, a) == math.copysign(1, b) for a, b in zip(got, want))
+
+
+def test_edge_cases(spark):
+    ref = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    empty = spark.createDataFrame([], "x double")
+    r = drift.numeric_drift(ref, empty, ["x"]).first()
+    assert r.wasserstein == 0.0 and r.n_cur == 0
+    one_class = spark.createDataFrame([(1, 0.3), (1, 0.9)], "y int, s double")
+    assert metrics.roc_auc(one_class, "y", "s").first().auc is None
+    nulls = spark.createDataFrame([(None,), (None,)], "x double")
+    assert stats.exact_medians(nulls, ["x"]).first()["median"] is None
+    df = spark.createDataFrame([("b", 1, 1), ("c", 0, 1)], "g string, y int, p int")
+    m = fz.fairness_metrics(df, [fz.Protected("g", privileged=["a"])], F.col("y") == 1,
+                            F.col("p") == 1).first()
+    assert m.n_priv == 0 and m.disparate_impact == 0.0
