@@ -126,8 +126,8 @@ SELECT 'validation', printf('validation: %d rows, class ratio %.4f', sum(n), min
 FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderstatus) c"""
 
 
-@register("pipeline_summary", _SUMMARY_SQL, rounded=False)
-def pipeline_summary(spark, sf):
+@register("run_summary", _SUMMARY_SQL, rounded=False)
+def run_summary(spark, sf):
     """S11 + S12: run report rows written as JSON lines and read back."""
     v = fairness_q.fairness_verdict(spark, sf).select(
         F.lit("fairness").alias("stage"),
