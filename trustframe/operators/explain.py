@@ -80,6 +80,50 @@ def report_lines(global_imp: DataFrame, k: int = 10) -> DataFrame:
 
 
 # ---------------------------------------------------------------- model-agnostic
+def sampled_shapley(df: DataFrame, background: DataFrame, id_col: str, features: Sequence[str],
+                    scorer: Callable[[Mapping[str, Column]], Column], n_perm: int = 16,
+                    seed: int = 42) -> DataFrame:
+    """Permutation-sampled Shapley values. Each row is exploded into
+    n_perm permutations; permutation m draws one background row (seeded) and
+    a feature order (seeded). For feature j the marginal contribution is
+    f(x on {pos <= pos_j}, z elsewhere) - f(x on {pos < pos_j}, z elsewhere).
+    Output: id, feature, shap (mean over permutations). ``background`` must be
+    small (a seeded sample, e.g. 100 rows); its size is checked."""
+    background = cut_lineage(background, large=False)  # bounded sample; computed once
+    nb = background.count()
+    if nb == 0 or nb > 100_000:
+        raise ValueError("background must hold between 1 and 100000 rows")
+    bg = background.select(*[F.col(c).cast("double").alias(f"z_{c}") for c in features]) \
+        .withColumn("__bi", F.row_number().over(Window.orderBy(*[f"z_{c}" for c in features])) - 1)
+    # ^ ordering a bounded background table
+    rows = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(f"x_{c}")
+                                                   for c in features])
+    perms = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("__m"))
+    perms = perms.withColumn("__bi", F.floor(_u_md5(F.lit(seed), F.lit("bg"), F.col("__id"),
+                                                    F.col("__m")) * nb).cast("long"))
+    perms = perms.join(F.broadcast(bg), "__bi")  # size checked above
+    for c in features:
+        perms = perms.withColumn(f"k_{c}", _u_md5(F.lit(seed), F.col("__id"), F.col("__m"),
+                                                  F.lit(c)))
+    out = []
+    for j in features:
+        mine = F.col(f"k_{j}")
+        with_j, without_j = {}, {}
+        for c in features:
+            before = F.col(f"k_{c}") < mine
+            xc, zc = F.col(f"x_{c}"), F.col(f"z_{c}")
+            if c == j:
+                with_j[c], without_j[c] = xc, zc
+            else:
+                with_j[c] = F.when(before, xc).otherwise(zc)
+                without_j[c] = with_j[c]
+        out.append(F.struct(F.lit(j).alias("feature"),
+                            (scorer(with_j) - scorer(without_j)).alias("delta")))
+    contrib = perms.select("__id", F.inline(F.array(*out)))
+    return contrib.groupBy("__id", "feature").agg(F.avg("delta").alias("shap")) \
+        .withColumnRenamed("__id", id_col)
+
+
 def _u_md5(*parts: Column) -> Column:
     """Uniform in [0, 1) from the first 52 bits of md5('p1:p2:...'): exact in
     a double and reproducible by any SQL engine with md5 (used where an SQL
