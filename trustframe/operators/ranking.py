@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trustframe.functions.exprs import order_key
-from trustframe.functions.joins import materialize_small
+from trustframe.functions.joins import MAX_BROADCAST_ROWS, materialize_small
 from trustframe.session import cut_lineage
 
 
@@ -86,6 +86,9 @@ def rank_segments(df: DataFrame, strata: Sequence[str | Column], id_col: str, se
         "*",
         _segment(F.col("__start") + 1, cs, labels).alias("__first"),
         _segment(F.col("__start") + F.col("__cnt"), cs, labels).alias("__last"))
+    # materialised once: both branches below read it (each pushes its own
+    # filter into the build side, so an un-materialised table would be
+    # computed twice)
     counts, small = materialize_small(counts, max_broadcast_rows)
     side = F.broadcast(counts) if small else counts
     j = base.join(side, keys, "inner")
@@ -208,8 +211,15 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
                      *[F.coalesce(F.sum(f"__t_{c}").over(prev), F.lit(0)).alias(f"__o_{c}")
                        for c in count_cols],
                      F.lead("__bmin").over(wk).alias("__next_min"))
-    tot, small = materialize_small(tot)
-    j = j.join(F.broadcast(tot) if small else tot, [key, "__bucket"])
+    # the offset table has one row per (key, fine bucket): its size is known
+    # before it is computed, so a small one is broadcast without a count
+    bound = sum(f for _, f, _ in spec.values())
+    if bound <= MAX_BROADCAST_ROWS:
+        side = F.broadcast(tot)
+    else:
+        tot, small = materialize_small(tot)
+        side = F.broadcast(tot) if small else tot
+    j = j.join(side, [key, "__bucket"])
     wb = Window.partitionBy(key, "__bucket").orderBy(value)
     run = wb.rowsBetween(Window.unboundedPreceding, 0)
     return j.select(
@@ -219,10 +229,11 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
 
 
 def value_buckets(df: DataFrame, key: str, value: str, rows_per_bucket: int = 1_000_000,
-                  n_knots: int = 64, accuracy: int = 10000) -> tuple[Column, DataFrame]:
+                  n_knots: int = 64, accuracy: int = 10000) -> tuple[Column, int]:
     """Bucket expression for raw rows: approximate quantile knots per key (one
     aggregate, collected as literals) -> monotone fine bucket id. Also returns
-    the per-key stats row table (key, __n)."""
+    the total number of (key, bucket) pairs, a proven bound for any table
+    keyed by them."""
     qs = [i / n_knots for i in range(1, n_knots)]
     stats = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("__n"), F.min(value).alias("__mn"), F.max(value).alias("__mx"),
@@ -239,12 +250,14 @@ def value_buckets(df: DataFrame, key: str, value: str, rows_per_bucket: int = 1_
                            [float(r["__mx"])]))
         fine = int(min(max(-(-r["__n"] // rows_per_bucket), 1), 1 << 20))
         per_key[r[key]] = _bucket_expr(v, knots, fine, r["__n"])
+    total = sum(int(min(max(-(-r["__n"] // rows_per_bucket), 1), 1 << 20)) for r in rows
+                if r["__mn"] is not None)
     if not per_key:
-        return F.lit(0).cast("long"), stats
+        return F.lit(0).cast("long"), max(total, 1)
     if len(per_key) == 1:
-        return next(iter(per_key.values())).cast("long"), stats
+        return next(iter(per_key.values())).cast("long"), total
     e = None
     for k, x in per_key.items():
         cond = F.col(key) == F.lit(k)
         e = F.when(cond, x) if e is None else e.when(cond, x)
-    return e.otherwise(F.lit(0)).cast("long"), stats
+    return e.otherwise(F.lit(0)).cast("long"), total
