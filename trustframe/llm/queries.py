@@ -46,3 +46,11 @@ def _op5(spark, sf_dir):
     from trustframe.llm import simhash
     c = simhash.classes(table(spark, sf_dir, "documents"), k=4, d=4)
     return c.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op6_recompression")
+def _op6(spark, sf_dir):
+    """Every word covered by a 13-word window that an earlier document has goes."""
+    from trustframe.llm import substring_dedup
+    d = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return d.select("doc_id", "n_words", "n_removed", "kept_sha256")
