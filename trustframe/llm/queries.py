@@ -54,3 +54,15 @@ def _op6(spark, sf_dir):
     from trustframe.llm import substring_dedup
     d = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return d.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@register("op10_hypergeometric")
+def _op10(spark, sf_dir):
+    """All documents, shuffled uniformly into 40 shards whose counts differ by at most one."""
+    from trustframe.llm import shuffle_shards
+    text = F.coalesce("text", F.lit(""))
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    s = shuffle_shards.shuffle_into_shards(d, 40)
+    return s.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard"))
