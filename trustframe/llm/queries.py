@@ -66,3 +66,47 @@ def _op10(spark, sf_dir):
     s = shuffle_shards.shuffle_into_shards(d, 40)
     return s.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard"))
+
+
+_OP8_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT rid, i, ws[i:i+4] AS gram FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) WHERE n > 1),
+c AS (SELECT rid, sum(least(5, coalesce(nxt - i, 5))) AS n
+      FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM r) GROUP BY rid),
+f AS (SELECT d.rid, doc_id, source, len(ws)::BIGINT AS n_words,
+             length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+             coalesce(c.n, 0)::BIGINT AS n_repeat_words
+      FROM d JOIN w USING (rid) LEFT JOIN c USING (rid)),
+x AS (SELECT *, (n_words > 0 AND 10 * n_symbols > n_words)::INT AS symbols,
+             (n_words > 0 AND 10 * n_dup_lines > 3 * n_lines)::INT AS dup_lines,
+             (n_words > 0 AND (word_chars > 12 * n_words OR word_chars < 2 * n_words))::INT AS word_length,
+             (n_words > 0 AND 20 * n_repeat_words > n_words)::INT AS repeats FROM f),
+h AS (UNPIVOT (SELECT source, count(*) AS n, sum(symbols)::BIGINT AS symbols, sum(dup_lines)::BIGINT AS dup_lines,
+                      sum(word_length)::BIGINT AS word_length, sum(repeats)::BIGINT AS repeats FROM x GROUP BY source)
+      ON symbols, dup_lines, word_length, repeats INTO NAME rule VALUE fails),
+a AS (SELECT rule, sum(fails) / sum(n) AS m, sum(fails * fails * 1.0 / n) / sum(n) AS q, count(*) * 1.0 / sum(n) AS hn FROM h GROUP BY rule),
+p AS (SELECT rule, m, greatest(1.0, least(1e6, m * (1 - m) / greatest(q - m * m - m * (1 - m) * hn, 1e-9) - 1)) AS s FROM a),
+b AS (SELECT source, rule FROM h JOIN p USING (rule) WHERE (fails + m * s) / (n + s) > 0.5),
+z AS (SELECT rid, string_agg(u.rule, ',' ORDER BY u.rule) AS host_failed
+      FROM (UNPIVOT (SELECT rid, source, symbols, dup_lines, word_length, repeats FROM x)
+            ON symbols, dup_lines, word_length, repeats INTO NAME rule VALUE v) u
+      JOIN b ON b.source IS NOT DISTINCT FROM u.source AND b.rule = u.rule WHERE v = 1 GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND host_failed IS NULL AS kept,
+       coalesce(host_failed, '') AS host_failed
+FROM x LEFT JOIN z USING (rid)
+"""
+
+
+@register("op8_host_rules", _OP8_SQL)
+def _op8(spark, sf_dir):
+    """Quality counts and verdicts of all documents; the source is the host."""
+    from trustframe.llm import host_rules
+    q = host_rules.apply_host_rules(table(spark, sf_dir, "documents"), F.col("source"), columns=["doc_id"])
+    return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_failed")
