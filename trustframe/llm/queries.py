@@ -110,3 +110,73 @@ def _op8(spark, sf_dir):
     from trustframe.llm import host_rules
     q = host_rules.apply_host_rules(table(spark, sf_dir, "documents"), F.col("source"), columns=["doc_id"])
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_failed")
+
+
+#: the mixture of the query and of the pipeline
+MIX_SEED, MIX_EPOCHS, MIX_SHARE = 42, 3, (4, 5)
+_MIX_DOMAIN = """CASE WHEN source RLIKE '^src[0-9]+$' THEN
+    element_at(array('web', 'books', 'code', 'wiki'), CAST(substring(source, 4) AS INT) % 4 + 1) ELSE 'other' END"""
+_MIX_WEIGHT = {"domain": "CASE domain WHEN 'web' THEN 8 WHEN 'books' THEN 5 WHEN 'code' THEN 4 WHEN 'wiki' THEN 2 ELSE 1 END",
+               "lang": "CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END",
+               "source": "CASE WHEN source = 'src0' THEN 2 ELSE 1 END"}
+
+
+def mix(docs: DataFrame, share: tuple[int, int] = MIX_SHARE, max_epochs: int = MIX_EPOCHS,
+        columns: list[str] | None = None) -> DataFrame:
+    from trustframe.llm import mixing
+    return mixing.select_mix(docs, F.expr(_MIX_DOMAIN), {k: F.expr(v) for k, v in _MIX_WEIGHT.items()}, share, max_epochs,
+                             MIX_SEED, columns=columns)
+
+
+def _share_sql(nodes: str, parent: str, name: str) -> str:
+    over = f"OVER (PARTITION BY {parent})"
+    by = f"(PARTITION BY {parent} ORDER BY supply / weight, {name} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""SELECT *, part + CASE WHEN NOT short AND row_number() OVER (PARTITION BY {parent} ORDER BY rem DESC, {name} NULLS FIRST)
+             <= greatest(0, least(up, sum(supply) {over}) - sum(part) {over}) THEN 1 ELSE 0 END AS budget
+    FROM (SELECT *, CASE WHEN short THEN supply ELSE (rest * weight) // w_rest END AS part,
+                 CASE WHEN short THEN -1 ELSE (rest * weight) % w_rest END AS rem
+          FROM (SELECT *, up - sum(CASE WHEN short THEN supply ELSE 0 END) {over} AS rest,
+                       sum(CASE WHEN short THEN 0 ELSE weight END) {over} AS w_rest
+                FROM (SELECT *, supply * (sum(weight) {over} - coalesce(sum(weight) OVER {by}, 0))
+                             <= (up - coalesce(sum(supply) OVER {by}, 0)) * weight AS short FROM ({nodes}) a) b) c) d"""
+
+
+_OP9_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS id, md5(coalesce(text, '')) AS th, lang, source,
+       len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::HUGEINT AS tokens,
+       CASE WHEN regexp_matches(source, '^src[0-9]+$') THEN
+         (['web', 'books', 'code', 'wiki'])[substring(source, 4)::INT % 4 + 1] ELSE 'other' END AS domain FROM documents),
+s AS (SELECT domain, lang, source, sum(tokens)::HUGEINT AS all_tokens, sum(tokens)::HUGEINT * @EPOCHS AS supply FROM d GROUP BY ALL),
+t AS (SELECT (sum(all_tokens) * @NUM) // @DEN AS up FROM s),
+a0 AS (SELECT domain, sum(supply)::HUGEINT AS supply, any_value(t.up)::HUGEINT AS up, (@WD)::HUGEINT AS weight, 0 AS root FROM s, t GROUP BY domain),
+a AS (@A),
+b0 AS (SELECT s.domain, s.lang, sum(s.supply)::HUGEINT AS supply, any_value(a.budget)::HUGEINT AS up, (@WL)::HUGEINT AS weight
+       FROM s JOIN a ON a.domain IS NOT DISTINCT FROM s.domain GROUP BY s.domain, s.lang),
+b AS (@B),
+c0 AS (SELECT s.*, b.budget::HUGEINT AS up, (@WS)::HUGEINT AS weight FROM s JOIN b
+       ON b.domain IS NOT DISTINCT FROM s.domain AND b.lang IS NOT DISTINCT FROM s.lang),
+c AS (@C),
+e AS (SELECT d.*, c.all_tokens, c.budget, e.epoch, c.budget - c.all_tokens * e.epoch AS need, md5('@SEED:' || e.epoch || ':' || id) AS key
+      FROM d JOIN c ON c.domain IS NOT DISTINCT FROM d.domain AND c.lang IS NOT DISTINCT FROM d.lang AND c.source IS NOT DISTINCT FROM d.source
+      JOIN range(@EPOCHS) e(epoch) ON c.all_tokens * e.epoch < c.budget),
+g AS (SELECT domain, lang, source, epoch, key, th, sum(tokens) AS t, any_value(need) AS need, any_value(all_tokens) AS all_tokens
+      FROM e GROUP BY ALL),
+p AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY domain, lang, source, epoch ORDER BY key, th
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g)
+SELECT e.doc_id, e.domain, e.lang, e.source, e.epoch::INT AS epoch, e.tokens::BIGINT AS tokens, e.budget::BIGINT AS leaf_budget
+FROM e JOIN p ON p.domain IS NOT DISTINCT FROM e.domain AND p.lang IS NOT DISTINCT FROM e.lang AND p.source IS NOT DISTINCT FROM e.source
+  AND p.epoch = e.epoch AND p.key = e.key AND p.th = e.th
+WHERE p.need >= p.all_tokens OR (p.before < p.need AND 2 * p.before + p.t <= 2 * p.need)
+"""
+for _k, _v in (("@A", _share_sql("SELECT * FROM a0", "root", "domain")), ("@B", _share_sql("SELECT * FROM b0", "domain", "lang")),
+               ("@C", _share_sql("SELECT * FROM c0", "domain, lang", "source")), ("@WD", _MIX_WEIGHT["domain"]),
+               ("@WL", _MIX_WEIGHT["lang"]), ("@WS", _MIX_WEIGHT["source"]), ("@EPOCHS", str(MIX_EPOCHS)), ("@NUM", str(MIX_SHARE[0])),
+               ("@DEN", str(MIX_SHARE[1])), ("@SEED", str(MIX_SEED))):
+    _OP9_SQL = _OP9_SQL.replace(_k, _v)
+
+
+@register("op9_source_mix", _OP9_SQL)
+def _op9(spark, sf_dir):
+    """The documents of each epoch that fill the budgets of the domain-language-source tree."""
+    d = table(spark, sf_dir, "documents").withColumn("domain", F.expr(_MIX_DOMAIN))
+    return mix(d, columns=["doc_id", "domain", "lang", "source"])
