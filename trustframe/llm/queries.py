@@ -180,3 +180,11 @@ def _op9(spark, sf_dir):
     """The documents of each epoch that fill the budgets of the domain-language-source tree."""
     d = table(spark, sf_dir, "documents").withColumn("domain", F.expr(_MIX_DOMAIN))
     return mix(d, columns=["doc_id", "domain", "lang", "source"])
+
+
+@register("op3_bm25_leaks")
+def _op3(spark, sf_dir):
+    """Benchmark items found in the documents: one row per document and item."""
+    from trustframe.llm import decontaminate
+    index = decontaminate.build_index(table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), index)
