@@ -188,3 +188,14 @@ def _op3(spark, sf_dir):
     from trustframe.llm import decontaminate
     index = decontaminate.build_index(table(spark, sf_dir, "benchmark"))
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), index)
+
+
+@register("op4_toxicity_cnn")
+def _op4(spark, sf_dir):
+    """Toxicity score of all documents, learned from two thirds of the labels."""
+    from trustframe.llm import toxicity
+    d = table(spark, sf_dir, "documents")
+    model = toxicity.fit(d, table(spark, sf_dir, "labels"))
+    s = toxicity.score(d, model, columns=["doc_id"])
+    return s.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
+                    F.col("cut").alias("language_cut"), F.col("rejected").alias("above_language_cut"))
