@@ -199,3 +199,14 @@ def _op4(spark, sf_dir):
     s = toxicity.score(d, model, columns=["doc_id"])
     return s.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
                     F.col("cut").alias("language_cut"), F.col("rejected").alias("above_language_cut"))
+
+
+@register("op1_trigram_secrets")
+def _op1(spark, sf_dir):
+    """Secrets in all documents: base counts and digest, and every span."""
+    from trustframe.llm import secret_scan as ss
+    d = ss.find_secrets(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    base = [r.kind for r in ss.BASE]
+    n = [F.expr(f"CAST(size(filter(secrets, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in base]
+    return d.select("doc_id", *n, F.sha2(ss.spans(F.col("secrets"), base).cast("binary"), 256).alias("base_sha256"),
+                    ss.spans(F.col("secrets")).alias("spans"))
