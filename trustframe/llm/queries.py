@@ -210,3 +210,11 @@ def _op1(spark, sf_dir):
     n = [F.expr(f"CAST(size(filter(secrets, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in base]
     return d.select("doc_id", *n, F.sha2(ss.spans(F.col("secrets"), base).cast("binary"), 256).alias("base_sha256"),
                     ss.spans(F.col("secrets")).alias("spans"))
+
+
+@register("op2_page_differencing")
+def _op2(spark, sf_dir):
+    """Main text of every page."""
+    from trustframe.llm import html_text
+    t = html_text.extract(table(spark, sf_dir, "pages"), columns=["page_id", "url"])
+    return t.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
