@@ -266,8 +266,10 @@ def links(fps: DataFrame, d: int = 4, blocks: int = 3, home_rows: int = 2048) ->
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, d: int = 4,
             blocks: int = 3, extra: list[str] | None = None) -> DataFrame:
-    """(id, fp, component_id, *extra) for every row of docs: the smallest id among the
-    rows whose fingerprints are reachable over links of at most ``d`` bits.
+    """(id, fp, component_id, root, *extra) for every row of docs: component_id is the smallest
+    id among the rows whose fingerprints are reachable over links of at most ``d``
+    bits; root, the smallest of these fingerprints, tells components apart even
+    where an id is repeated with another text.
 
     Null or empty texts have fingerprint 0 and are linked like any other.
     Repeated rows share a fingerprint; a null id never names a component unless
@@ -280,8 +282,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     root = fps.join(comp, fps.fp == comp.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     # one row per fingerprint that has links gets its component's smallest id
     smallest = root.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = root.join(smallest, "root").select("fp", "component_id")
-    return own.join(named, "fp").select(F.col("__id").alias(id_col), "fp", "component_id", *extra)
+    named = root.join(smallest, "root").select("fp", "component_id", "root")
+    return own.join(named, "fp").select(F.col("__id").alias(id_col), "fp", "component_id", "root", *extra)
 
 
 def fingerprint_hex(fp) -> F.Column:
@@ -296,6 +298,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     rows = local_ranks(docs, None, part, rank)
     cls = classes(rows, id_col, text_col, k, d, blocks, extra=[part, rank])
     key = F.struct(F.coalesce(F.col(f"`{id_col}`"), F.lit((1 << 63) - 1)).alias("i"), F.col(part), F.col(rank))
-    first = cls.withColumn("__key", key).groupBy("component_id").agg(F.min("__key").alias("__key"))
+    first = cls.withColumn("__key", key).groupBy("root").agg(F.min("__key").alias("__key"))
     kept = first.select(F.col(f"__key.{part}").alias(part), F.col(f"__key.{rank}").alias(rank))
     return rows.join(kept, [part, rank], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -300,7 +300,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Kept words are joined by one space. Clashing names get a leading "_"."""
     columns = docs.columns if columns is None else columns
     marks = repeated_words(docs, id_col, text_col, n, buckets)
-    kid, kh, mk, *outs = free_names(docs, "__id", "__thash", "__marks", "n_words", "n_removed", "kept_sha256", "kept_text")
+    kid, kh, mk, *outs = free_names(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, text_col])]), "__id", "__thash", "__marks", "n_words", "n_removed", "kept_sha256", "kept_text")
     left = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, text_col])],
                        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID)).alias(kid),
                        _text_hash(text_col).alias(kh))
