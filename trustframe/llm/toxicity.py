@@ -31,7 +31,8 @@ from trustframe.llm.textarrays import PLAIN, U64, _R, _powers, mix, slices, spli
 
 PREFIXES = (3, 5, 7)
 BUCKETS, DIM, FILTERS, WIDTHS, SEGMENTS, TOP, HIDDEN = 1 << 16, 16, 12, (1, 2, 3), 6, 3, 16
-PAD = max(WIDTHS) - 1
+TAIL = max(WIDTHS) - 1
+PAD = TAIL + 1  # so that a filter on the row of an empty text sees padding only
 CUT, MIN_PER_LANG = 0.7, 30
 _SLICE = 1 << 19
 
@@ -98,8 +99,8 @@ def _forward(m: Model, rows: np.ndarray, ids: np.ndarray, keep: bool = False):
     edges = np.stack([start.ravel(), stop.ravel()], 1).ravel()
     pooled, args = [], []
     for k, w, b in zip(WIDTHS, m.conv, m.bias):
-        a = x[: len(x) - PAD] @ w[:DIM] if k == 1 else sum(x[j: len(x) - PAD + j] @ w[j * DIM:(j + 1) * DIM] for j in range(k))
-        a = np.concatenate([a, np.zeros((PAD, FILTERS), np.float32)])
+        a = sum(x[j: len(x) - TAIL + j] @ w[j * DIM:(j + 1) * DIM] for j in range(k))
+        a = np.concatenate([a, np.zeros((TAIL, FILTERS), np.float32)])
         # the gap rows between stretches come as odd segments and are dropped
         mx = np.maximum.reduceat(a, np.minimum(edges, len(a) - 1), axis=0)[::2].reshape(n, SEGMENTS, FILTERS)
         order = np.argsort(-mx, axis=1)[:, :TOP]
