@@ -307,14 +307,33 @@ def test_prefix_counts_many_buckets_equals_plain_window(spark):
     assert a == b
 
 
-def test_bucket_tree_equals_scan(spark):
-    import random
-    rnd = random.Random(3)
-    knots = sorted(rnd.uniform(0, 100) for _ in range(20))
-    df = spark.createDataFrame([(rnd.uniform(-5, 105),) for _ in range(3000)], "v double")
-    a = df.select(ranking._bucket_scan(F.col("v"), knots, 37).alias("a"),
-                  ranking._bucket_tree(F.col("v"), knots, 37).alias("b"))
-    assert a.where("a != b").count() == 0
+def test_range_parts_stay_even_under_a_heavy_tail_and_ties(spark):
+    # x = u^-2: quantile knots would leave one bucket with most of the tail
+    df = spark.range(40_000).select(F.lit("k").alias("k"), ((F.col("id") + 1) / 40_001.0).alias("u")) \
+        .select("k", F.pow("u", F.lit(-2.0)).alias("v"), F.lit(1).alias("c"))
+    parts = ranking.range_parts(df, ["k", "v"], 40).groupBy("__part").count()
+    assert parts.agg(F.max("count")).first()[0] <= 3 * 40_000 // 40
+    # 70 % of the rows tie: their score is one counted row
+    tied = spark.range(10_000).select(F.when(F.col("id") % 10 < 7, 0.5).otherwise(F.col("id") / 1e4).alias("s"),
+                                      (F.col("id") % 3 == 0).cast("int").alias("y"))
+    one = metrics.roc_auc(tied, "y", "s").first()
+    many = metrics.roc_auc(tied, "y", "s", rows_per_bucket=50).first()
+    assert one == many
+
+
+def test_prefix_counts_many_keys(spark):
+    df = spark.range(30_000).select((F.col("id") % 12_000).cast("string").alias("k"), F.col("id").cast("double").alias("v"), F.lit(1).alias("c"))
+    got = ranking.prefix_counts(df, "k", "v", ["c"], rows_per_bucket=1000)
+    assert got.count() == 30_000 and got.where("next_value IS NULL").count() == 12_000
+    assert got.agg(F.sum("cum_c")).first()[0] == sum(k * (k + 1) // 2 for k in [3] * 6000 + [2] * 6000)
+
+
+def test_bracket_medians_hot_tie_and_wide(spark):
+    from trustframe.operators import stats
+    df = spark.range(5001).select(F.when(F.col("id") % 10 < 7, 0.0).otherwise(F.col("id").cast("double")).alias("a"),
+                                  F.col("id").cast("double").alias("b"), F.lit(None).cast("double").alias("e"))
+    got = {r.feature: r["median"] for r in stats.exact_medians(df, ["a", "b", "e"], accuracy=50, narrow_limit=0, rows_per_bucket=20).collect()}
+    assert got == {"a": 0.0, "b": 2500.0, "e": None}
 
 
 def test_drop_and_require_columns(spark):

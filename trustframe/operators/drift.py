@@ -140,8 +140,7 @@ def feature_drift(ref: DataFrame, cur: DataFrame, threshold: float = DATA_DRIFT)
     shared = [c for c in ref.columns if c in cur.columns]  # P11
     num = [c for c in shared if ref.schema[c].dataType.typeName() in
            ("double", "float", "integer", "long", "short", "byte", "decimal")]
-    cat = [c for c in shared if c not in num and ref.schema[c].dataType.typeName() in
-           ("string", "boolean")]
+    cat = [c for c in shared if c not in num]  # dates, times, flags and nested values as text
     h = cut_lineage(mixed_histogram(ref, cur, num, cat))
     parts = []
     if num:

@@ -247,10 +247,18 @@ def dataset_gates(spark: SparkSession, dataset: str,
 def apply_gates(metrics: DataFrame, gates: DataFrame,
                 ids: Sequence[str] = ("attr", "unpriv_group")) -> DataFrame:
     """Long gate rows: attr, unpriv_group, metric, value, lo, hi, pass.
-    A NULL or NaN metric fails its gate."""
-    names = [m for m in GATED_METRICS if m in metrics.columns]
-    long = metrics.unpivot(list(ids), names, "metric", "value")
-    j = long.join(F.broadcast(gates), "metric", "inner")  # gates: one row per metric
+    A NULL or NaN metric fails its gate, and so does a gate on a metric that the
+    table does not have."""
+    numeric = {f.name for f in metrics.schema.fields if f.dataType.typeName() in
+               ("double", "float", "long", "integer")}
+    names = [m for m in metrics.columns if m in numeric and m not in ids]
+    values = F.create_map(*[x for m in names for x in (F.lit(m), F.col(m).cast("double"))])
+    # every gate meets every row: gates without a metric of that name have no value and fail
+    g = gates.select(F.collect_list(F.struct("metric", "lo", "hi")).alias("__gates"))  # one row per metric
+    g = metrics.select(*ids, values.alias("__v")).withColumn("__one", F.lit(1)) \
+        .join(F.broadcast(g.withColumn("__one", F.lit(1))), "__one")
+    j = g.select(*ids, "__v", F.inline("__gates")).select(
+        *ids, "metric", F.try_element_at("__v", F.col("metric")).alias("value"), "lo", "hi")
     v = F.col("value")
     ok = v.isNotNull() & ~F.isnan(v) & (v >= F.col("lo")) & (v <= F.col("hi"))
     extra = [i for i in ids if i not in ("attr", "unpriv_group")]
@@ -269,6 +277,17 @@ def verdict(gate_rows: DataFrame, by: Sequence[str] = ("attr",)) -> DataFrame:
     )
 
 
+def run_gate(verdicts: DataFrame, attrs: Sequence[str]) -> DataFrame:
+    """F12 + F16: one row for the run: overall_pass, n_failed_attrs. ``attrs`` are the
+    attributes that the run was to evaluate; one without a verdict (no
+    unprivileged rows, an error) counts as failed, and a run without any fails."""
+    v = verdicts.groupBy("attr").agg(F.bool_and("overall_pass").alias("ok"))
+    want = verdicts.sparkSession.createDataFrame([(a,) for a in attrs], "attr string")
+    ok = F.coalesce("ok", F.lit(False))
+    return want.join(v, "attr", "left").agg(
+        F.coalesce(F.bool_and(ok), F.lit(False)).alias("overall_pass"), F.count_if(~ok).alias("n_failed_attrs"))
+
+
 def severity(metrics: DataFrame, gates: DataFrame) -> DataFrame:
     """Highest severity band exceeded by DI or |SPD|; gate failed but no band
     exceeded -> ``minor``; all gates passed -> ``none``. ``gates`` is the

@@ -9,9 +9,9 @@ a cut are ranked row by row, each in its own window partition. The result
 equals ``row_number() over (partition by strata order by key, id)``.
 
 H1 ``prefix_counts``: cumulative counts over the sorted distinct values of
-a column, per feature, without a window over a whole feature: values are
-bucketed by approximate quantile boundaries, bucket totals give offsets, and
-each bucket is summed in its own window partition.
+a column, per feature, without a window over a whole feature: rows are
+range-partitioned, part totals give offsets, and each part is summed in its own
+window partition.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trustframe.functions.exprs import order_key
-from trustframe.functions.joins import MAX_BROADCAST_ROWS, materialize_small
+from trustframe.functions.joins import materialize_small
 from trustframe.session import cut_lineage
 
 
@@ -111,116 +111,43 @@ def top_n_per_stratum(df: DataFrame, strata: Sequence[str | Column], id_col: str
     return r.where(F.col("__seg") == "keep").drop("__seg", "__n")
 
 
-def _bucket_scan(v: Column, knots: list[float], fine: int) -> Column:
-    """Fine bucket through the piecewise-linear map over ``knots``: the knot
-    interval is found by counting knots below ``v`` (a small literal array),
-    then the position inside it is interpolated. Cheap to compile."""
-    m = len(knots) - 1
-    if m <= 0:
-        return F.lit(0)
-    kn = F.array(*[F.lit(float(k)) for k in knots])
-    i = F.least(F.greatest(F.size(F.filter(kn, lambda b: b < v)), F.lit(1)), F.lit(m))
-    lo, hi = F.element_at(kn, i), F.element_at(kn, i + 1)
-    frac = F.when(hi > lo, (v - lo) / (hi - lo)).otherwise(F.lit(0.0))
-    frac = F.least(F.greatest(frac, F.lit(0.0)), F.lit(1.0))
-    pos = (i - 1 + frac) / F.lit(float(m))
-    return F.least(F.floor(pos * F.lit(fine)), F.lit(fine - 1))
-
-
-def _bucket_tree(v: Column, knots: list[float], fine: int) -> Column:
-    """Same map as a balanced tree of plain comparisons (log2(#knots) per
-    value, inside whole-stage codegen): faster per row, slower to compile."""
-    m = len(knots) - 1
-    if m <= 0:
-        return F.lit(0)
-
-    def leaf(i: int) -> Column:  # interval [knots[i], knots[i+1]]
-        lo, hi = knots[i], knots[i + 1]
-        frac = (v - F.lit(lo)) / F.lit(hi - lo) if hi > lo else F.lit(0.0)
-        frac = F.least(F.greatest(frac, F.lit(0.0)), F.lit(1.0))
-        pos = (F.lit(float(i)) + frac) / F.lit(float(m))
-        return F.least(F.floor(pos * F.lit(fine)), F.lit(fine - 1))
-
-    def tree(a: int, b: int) -> Column:  # intervals a..b-1
-        if b - a == 1:
-            return leaf(a)
-        mid = (a + b) // 2
-        return F.when(v < F.lit(knots[mid]), tree(a, mid)).otherwise(tree(mid, b))
-    return tree(0, m)
-
-
-TREE_MIN_ROWS = 2_000_000
-
-
-def _bucket_expr(v: Column, knots: list[float], fine: int, n: int) -> Column:
-    """Tree form only where the rows to bucket amortise its compile cost."""
-    return (_bucket_tree if n >= TREE_MIN_ROWS else _bucket_scan)(v, knots, fine)
-
-
 def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[str],
-                  rows_per_bucket: int = 100_000, n_knots: int = 64,
-                  accuracy: int = 10000, materialized: bool = False) -> DataFrame:
+                  rows_per_bucket: int = 100_000, materialized: bool = False) -> DataFrame:
     """Cumulative sums of ``count_cols`` over increasing ``value`` within each
     ``key`` plus ``next_value`` (the following distinct value, NULL at the end).
 
-    ``long`` must hold one row per (key, value) (already aggregated). Output
-    adds ``cum_<c>`` for each count column and ``next_value``.
+    ``long`` must hold one row per (key, value) (already aggregated, so a tie
+    is one row however many input rows share it). Output adds ``cum_<c>`` for
+    each count column and ``next_value``.
 
-    Values are mapped to fine buckets by a monotone piecewise-linear map
-    through ``n_knots`` approximate quantiles per key (a small literal table,
-    about 64 comparisons per value). The number of fine buckets grows with the
-    number of distinct values (about ``rows_per_bucket`` each), bucket totals
-    give offsets, and each row is summed only inside its own bucket, so no
-    window spans a whole key however large it is. The histogram is read by
-    several jobs, so it is checkpointed once unless the caller already did
+    The rows are range-partitioned by (key, value) into as many parts as hold
+    about ``rows_per_bucket`` rows each. Spark samples the rows themselves for
+    the bounds, so parts stay even under heavy tails, any number of keys and
+    any size; nothing is collected but the row count. Part totals per key give
+    offsets, and each row is summed only inside its own part. The histogram is
+    read by several jobs, so it is written once unless the caller already did
     (``materialized=True``); the raw table behind it is scanned once."""
     if not materialized:
         long = cut_lineage(long)
-    qs = [i / n_knots for i in range(1, n_knots)]
-    stats = long.groupBy(key).agg(
-        F.count(F.lit(1)).alias("__nd"), F.min(value).alias("__mn"), F.max(value).alias("__mx"),
-        F.percentile_approx(value, F.array(*[F.lit(q) for q in qs]), accuracy).alias("__bd"))
-    rows = stats.collect()  # keys x n_knots literals
-    if len(rows) > 10_000:
-        raise ValueError("prefix_counts: too many keys for literal knots")
-    spec = {}
-    for r in rows:
-        knots = sorted(set([float(r["__mn"])] + [float(b) for b in (r["__bd"] or [])] +
-                           [float(r["__mx"])]))
-        fine = int(min(max(-(-r["__nd"] // rows_per_bucket), 1), 1 << 20))
-        spec[r[key]] = (knots, fine, r["__nd"])
-    if not spec:
-        spec = {None: ([0.0], 1, 0)}
-    v = F.col(value).cast("double")
-    per_key = {k: _bucket_expr(v, knots, fine, n) for k, (knots, fine, n) in spec.items()}
-    if len(per_key) == 1:
-        bucket = next(iter(per_key.values()))
-    else:
-        bucket = None
-        for k, e in per_key.items():
-            cond = F.col(key) == F.lit(k)
-            bucket = F.when(cond, e) if bucket is None else bucket.when(cond, e)
-        bucket = bucket.otherwise(F.lit(0))
-    bucket = bucket.cast("long")
-    j = long.withColumn("__bucket", bucket)
-    tot = j.groupBy(key, "__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in count_cols],
-                                         F.min(value).alias("__bmin"))
-    wk = Window.partitionBy(key).orderBy("__bucket")  # bucket table: <= 2**20 rows per key
+    parts = max(1, -(-long.count() // rows_per_bucket))
+    if parts == 1:  # all keys together fit one part: their windows are small
+        w = Window.partitionBy(key).orderBy(value)
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        return long.select(*long.columns, *[F.sum(c).over(run).alias(f"cum_{c}") for c in count_cols],
+                           F.lead(value).over(w).alias("next_value"))
+    ranged = range_parts(long, [key, value], parts)
+    tot = ranged.groupBy(key, "__part").agg(*[F.sum(c).alias(f"__t_{c}") for c in count_cols],
+                                            F.min(value).alias("__min"))
+    wk = Window.partitionBy(key).orderBy("__part")  # at most one row per part
     prev = wk.rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(key, "__bucket",
+    tot = tot.select(F.col(key).alias("__key"), F.col("__part").alias("__p"),
                      *[F.coalesce(F.sum(f"__t_{c}").over(prev), F.lit(0)).alias(f"__o_{c}")
                        for c in count_cols],
-                     F.lead("__bmin").over(wk).alias("__next_min"))
-    # the offset table has one row per (key, fine bucket): its size is known
-    # before it is computed, so a small one is broadcast without a count
-    bound = sum(f for _, f, _ in spec.values())
-    if bound <= MAX_BROADCAST_ROWS:
-        side = F.broadcast(tot)
-    else:
-        tot, small = materialize_small(tot)
-        side = F.broadcast(tot) if small else tot
-    j = j.join(side, [key, "__bucket"])
-    wb = Window.partitionBy(key, "__bucket").orderBy(value)
+                     F.lead("__min").over(wk).alias("__next_min"))
+    tot, small = materialize_small(tot)
+    j = ranged.join(F.broadcast(tot) if small else tot,
+                    F.col(key).eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__p")))
+    wb = Window.partitionBy(key, "__part").orderBy(value)
     run = wb.rowsBetween(Window.unboundedPreceding, 0)
     return j.select(
         *[c for c in long.columns],
@@ -228,36 +155,8 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
         F.coalesce(F.lead(value).over(wb), F.col("__next_min")).alias("next_value"))
 
 
-def value_buckets(df: DataFrame, key: str, value: str, rows_per_bucket: int = 1_000_000,
-                  n_knots: int = 64, accuracy: int = 10000) -> tuple[Column, int]:
-    """Bucket expression for raw rows: approximate quantile knots per key (one
-    aggregate, collected as literals) -> monotone fine bucket id. Also returns
-    the total number of (key, bucket) pairs, a proven bound for any table
-    keyed by them."""
-    qs = [i / n_knots for i in range(1, n_knots)]
-    stats = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(value).alias("__mn"), F.max(value).alias("__mx"),
-        F.percentile_approx(value, F.array(*[F.lit(q) for q in qs]), accuracy).alias("__bd"))
-    rows = stats.collect()  # keys x n_knots literals
-    if len(rows) > 10_000:
-        raise ValueError("value_buckets: too many keys for literal knots")
-    v = F.col(value).cast("double")
-    per_key = {}
-    for r in rows:
-        if r["__mn"] is None:
-            continue
-        knots = sorted(set([float(r["__mn"])] + [float(b) for b in (r["__bd"] or [])] +
-                           [float(r["__mx"])]))
-        fine = int(min(max(-(-r["__n"] // rows_per_bucket), 1), 1 << 20))
-        per_key[r[key]] = _bucket_expr(v, knots, fine, r["__n"])
-    total = sum(int(min(max(-(-r["__n"] // rows_per_bucket), 1), 1 << 20)) for r in rows
-                if r["__mn"] is not None)
-    if not per_key:
-        return F.lit(0).cast("long"), max(total, 1)
-    if len(per_key) == 1:
-        return next(iter(per_key.values())).cast("long"), total
-    e = None
-    for k, x in per_key.items():
-        cond = F.col(key) == F.lit(k)
-        e = F.when(cond, x) if e is None else e.when(cond, x)
-    return e.otherwise(F.lit(0)).cast("long"), total
+def range_parts(df: DataFrame, cols: Sequence[str], parts: int) -> DataFrame:
+    """df written once, range-partitioned by ``cols`` into ``parts`` ordered parts;
+    adds ``__part`` (int)."""
+    return cut_lineage(df.repartitionByRange(parts, *cols)
+                       .withColumn("__part", F.spark_partition_id()))

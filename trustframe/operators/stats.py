@@ -1,8 +1,8 @@
 """Exact column statistics that stay distributed.
 
 ``exact_medians`` never sorts or collects a whole column: percentile_approx
-brackets the middle rank, two counts verify the bracket, and only the rows
-inside it (about 4/accuracy of the column) are ranked. ``column_modes`` counts
+brackets the middle rank, two counts verify the bracket, and only the values
+inside it are counted and summed. ``column_modes`` counts
 (column, value) pairs with map-side partial aggregation, so a value holding a
 third of the rows is one partial count per task, not a hot key.
 """
@@ -13,9 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from trustframe.functions.exprs import nan_to_null
+from trustframe.operators.ranking import prefix_counts
 
 
 def _long(df: DataFrame, cols: Sequence[str], dtype: str) -> DataFrame:
@@ -26,7 +26,7 @@ def _long(df: DataFrame, cols: Sequence[str], dtype: str) -> DataFrame:
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 100000,
-                  narrow_limit: int = 100_000) -> DataFrame:
+                  narrow_limit: int = 100_000, rows_per_bucket: int = 100_000) -> DataFrame:
     """Exact median per numeric column (mean of the two middle values for an
     even count, like pandas). Output: feature, median (NULL for an all-missing
     column).
@@ -49,19 +49,25 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 100000,
         parts.append(med.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("feature"), F.col(c).alias("median")) for c in narrow]))))
     if wide:
-        parts.append(_bracket_medians(df, wide, accuracy))
+        parts.append(_bracket_medians(df, wide, accuracy, rows_per_bucket))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def _bracket_medians(df: DataFrame, cols: Sequence[str], accuracy: int) -> DataFrame:
+def _bracket_medians(df: DataFrame, cols: Sequence[str], accuracy: int,
+                     rows_per_bucket: int) -> DataFrame:
+    """Median through a verified bracket: widened until it holds the middle rank
+    of every column, at last to the whole range. Bracket rows are counted per
+    value first (a tie of any size is one row) and summed in bounded parts (H1)."""
     spark = df.sparkSession
     long = _long(df, cols, "double")
     eps = 2.0 / accuracy
-    lo_q, hi_q = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
-    for _ in range(4):
+    for attempt in range(5):
+        if attempt == 4:
+            eps = 1.0
+        lo_q, hi_q = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
         # tiny: one row per column
         br = long.groupBy("feature").agg(
             F.count(F.lit(1)).alias("n"),
@@ -79,11 +85,12 @@ def _bracket_medians(df: DataFrame, cols: Sequence[str], accuracy: int) -> DataF
         chk = br.join(cnt, "feature").withColumn(
             "ok", (F.col("n_lt") <= F.col("k_lo")) & (F.col("k_hi") < F.col("n_lt") + F.col("n_in")))
         bad = chk.where(~F.col("ok")).count()
-        if bad == 0 or (lo_q <= 0.0 and hi_q >= 1.0):
+        if bad == 0:
             break
+        if attempt == 4:
+            raise RuntimeError("the whole range does not hold the middle rank")
         br.unpersist()
         eps *= 8
-        lo_q, hi_q = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
     # O(columns) numbers: the verified bracket per column travels as literals,
     # so the final pass scans the table once and ranks only bracket rows
     rows = chk.select("feature", "lo", "hi", "n_lt", "k_lo", "k_hi").collect()
@@ -96,13 +103,12 @@ def _bracket_medians(df: DataFrame, cols: Sequence[str], accuracy: int) -> DataF
     inside = long.select("feature", "v", *[lit_map(f).alias(f) for f in
                                            ("lo", "hi", "n_lt", "k_lo", "k_hi")]) \
         .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-    # bounded: about 4n/accuracy rows per column
-    w = Window.partitionBy("feature").orderBy("v")
-    ranked = inside.withColumn("r", F.row_number().over(w) - 1 + F.col("n_lt"))
-    picked = ranked.where((F.col("r") == F.col("k_lo")) | (F.col("r") == F.col("k_hi")))
-    med = picked.groupBy("feature").agg(
-        ((F.max(F.when(F.col("r") == F.col("k_lo"), F.col("v"))) +
-          F.max(F.when(F.col("r") == F.col("k_hi"), F.col("v")))) / 2).alias("median"))
+    counts = inside.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("c"), *[
+        F.first(f).alias(f) for f in ("n_lt", "k_lo", "k_hi")])
+    cum = prefix_counts(counts, "feature", "v", ["c"], rows_per_bucket)
+    end = F.col("n_lt") + F.col("cum_c")  # rows up to and with this value
+    at = lambda k: F.max(F.when((end - F.col("c") <= F.col(k)) & (F.col(k) < end), F.col("v")))
+    med = cum.groupBy("feature").agg(((at("k_lo") + at("k_hi")) / 2).alias("median"))
     allc = spark.createDataFrame([(c,) for c in cols], "feature string")
     return allc.join(med, "feature", "left")
 
@@ -122,6 +128,19 @@ def column_modes(df: DataFrame, cols: Sequence[str], empty: str | None = None) -
         "feature", F.coalesce(F.col("mode"), F.lit(empty)).alias("mode"))
 
 
+def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Exact distinct non-missing values of every column: (feature, n_distinct).
+    Values are de-duplicated per (feature, value) with map-side aggregation,
+    so no set of values is held in one task."""
+    cols = list(cols)
+    tags = F.array(*[F.struct(F.lit(c).alias("feature"), (nan_to_null(F.col(c)) if _is_num(df, c)
+                                                          else F.col(c)).cast("string").alias("v")) for c in cols])
+    d = df.select(F.inline(tags)).where(F.col("v").isNotNull()).groupBy("feature", "v").agg(F.lit(1).alias("one"))
+    n = d.groupBy("feature").agg(F.count(F.lit(1)).alias("n_distinct"))
+    allc = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    return allc.join(n, "feature", "left").select("feature", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
+
+
 def distinct_small(df: DataFrame, cols: Sequence[str], cap: int = 10,
                    probe: int = 64) -> dict[str, int | None]:
     """Exact distinct count for every column whose count is <= ``cap``; None

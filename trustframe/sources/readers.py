@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import types as T
 
 from trustframe.functions.exprs import label_map
 from trustframe.operators import clean
+from trustframe.sources.sinks import path_exists
 
 
 class DataLoaderError(RuntimeError):
@@ -54,15 +54,17 @@ def read_fixed_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("ignoreLeadingWhiteSpace", True).csv(path)
     df = clean.sentinel_to_null(df, "?")
     df = clean.drop_columns(df, ADULT_DROP)
-    df = df.withColumn("income", label_map(F.col("income"), {">50K": 1, "<=50K": 0}))
-    return clean.impute(df, categorical=[c for c in clean.string_columns(df)])
+    # features only, before the label is a number: a label outside the map stays missing
+    df = clean.impute(df, numeric=[c for c in df.columns if c in ADULT_NUMERIC],
+                      categorical=[c for c in clean.string_columns(df) if c != "income"])
+    return df.withColumn("income", label_map(F.col("income"), {">50K": 1, "<=50K": 0}))
 
 
 def read_required_csv(spark: SparkSession, path: str, target: str = "hospital_expire_flag",
                       schema: T.StructType | None = None) -> DataFrame:
     """S3 (clinical): typed error when the file is missing; sparse rows
     dropped; string columns that are entirely missing get 'Unknown'."""
-    if "://" not in path and not os.path.exists(path):
+    if not path_exists(spark, path):
         raise DataLoaderError(f"data file not found: {path}")
     r = spark.read.option("header", True)
     df = (r.schema(schema) if schema is not None else r.option("inferSchema", True)).csv(path)

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,19 +16,32 @@ def cache_key(path: str, params: dict) -> str:
         .hexdigest()
 
 
-def _done(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asks the file system that Spark reads the path from."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def source_state(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files at ``path``: changes when the source does."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    if not fs.exists(p):
+        return "none"
+    out, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        f = it.next()
+        out.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return ",".join(sorted(out))
 
 
 def cached_result(spark: SparkSession, cache_root: str, source_path: str, params: dict,
                   build: Callable[[], DataFrame]) -> DataFrame:
-    """Materialise ``build()`` as Parquet under md5(path + params) and reuse
-    it when a complete copy (``_SUCCESS``) exists. Never pickles."""
-    out = f"{cache_root.rstrip('/')}/{cache_key(source_path, params)}"
-    if not _done(spark, out):
+    """Materialise ``build()`` as Parquet under md5(path + params + state of
+    the source's files) and reuse it when a complete copy (``_SUCCESS``) exists. Never pickles."""
+    state = {"params": params, "source": source_state(spark, source_path)}
+    out = f"{cache_root.rstrip('/')}/{cache_key(source_path, state)}"
+    if not path_exists(spark, out + "/_SUCCESS"):
         build().write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
@@ -51,7 +63,7 @@ def write_report(rows: DataFrame, path: str) -> None:
         t = f.dataType.typeName()
         out.append(F.to_json(F.col(f.name)).alias(f.name) if t in ("struct", "array", "map")
                    else F.col(f.name))
-    rows.select(*out).coalesce(1).write.mode("overwrite").json(path)
+    rows.select(*out).write.mode("overwrite").json(path)
 
 
 def append_history(df: DataFrame, path: str, ts_col: str = "ts") -> None:
@@ -65,6 +77,3 @@ def parse_requests(df: DataFrame, json_col: str, schema: str) -> DataFrame:
     return df.withColumn("_req", F.from_json(F.col(json_col), schema)).select("*", "_req.*") \
         .drop("_req")
 
-
-def exists_dir(path: str) -> bool:
-    return os.path.exists(path)
