@@ -3,13 +3,17 @@
 Linear models are explained exactly: in margin space phi_j = b_j (x_j - E x_j),
 computed as column arithmetic over the whole table (no background sample);
 the expectations are one aggregate. Model-agnostic attribution (sampled
-Shapley, LIME) explodes each explained row into seeded perturbations and
-groups them back, so the work is partitioned by row like any other job."""
+Shapley) explodes each explained row into seeded perturbations and groups them
+back; the LIME surrogates stay inside the explained row (arrays), without a
+shuffle."""
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -133,96 +137,79 @@ def _u_md5(*parts: Column) -> Column:
     return h / F.lit(float(1 << 52))
 
 
-def _normal(*parts: Column) -> Column:
-    """Standard normal from two md5 uniforms (Box-Muller)."""
-    u1 = F.greatest(_u_md5(*parts, F.lit("a")), F.lit(1e-12))
-    u2 = _u_md5(*parts, F.lit("b"))
-    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * 3.141592653589793 * u2)
+def _draw(*parts) -> float:
+    """``_u_md5`` of constants, in Python."""
+    h = hashlib.md5(":".join(str(p) for p in parts).encode()).hexdigest()
+    return int(h[:13], 16) / float(1 << 52)
 
 
 def lime_tabular(df: DataFrame, id_col: str, features: Sequence[str],
                  scorer: Callable[[Mapping[str, Column]], Column], scales: Mapping[str, float],
                  n_samples: int = 200, kernel_width: float | None = None,
                  seed: int = 42) -> DataFrame:
-    """Local surrogate per row. Each row is exploded into seeded Gaussian
-    perturbations z = x + s_j * eps_j; weight exp(-|eps|^2 / w^2); a weighted
-    least-squares fit of f(z) on eps per row. The normal equations are summed
-    per row by Spark (k x k sums); only the k x k solve runs in Python
-    (``mapInPandas``, a batched numpy solve over the per-row sums). Output: id, feature, weight
-    (effect of one scale unit), intercept."""
+    """Local surrogate per row. Every row is scored at z_s = x + scale * eps_s
+    for seeded Gaussian eps (Box-Muller on md5 uniforms), weighted by
+    exp(-|eps|^2 / w^2), and f(z) is fitted on eps by weighted least squares.
+
+    The perturbations are drawn once for all rows: their weights and the normal
+    matrix don't depend on the row, so the fit is one fixed linear map from a
+    row's scores to its coefficients (a (d + 1) x n_samples table, solved here
+    once). What is left per row is n_samples scores and d + 1 dot products: a
+    narrow projection, no shuffle and no Python in tasks. Output: id, feature,
+    weight (effect of one scale unit), intercept."""
     d = len(features)
     w_k = kernel_width or (0.75 * d ** 0.5)
-    rows = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(c)
-                                                   for c in features])
-    ex = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("__s"))
-    eps = {c: _normal(F.lit(seed), F.col("__id"), F.col("__s"), F.lit(c)) for c in features}
-    z = {c: F.col(c) + F.lit(float(scales[c])) * eps[c] for c in features}
-    ex = ex.select("__id", *[eps[c].alias(f"e_{c}") for c in features], scorer(z).alias("__f"))
-    dist2 = sum((F.col(f"e_{c}") ** 2 for c in features), F.lit(0.0))
-    ex = ex.withColumn("__w", F.exp(-dist2 / F.lit(w_k ** 2)))
-    xs = [F.lit(1.0)] + [F.col(f"e_{c}") for c in features]
-    sums = [F.sum(F.col("__w") * xs[i] * xs[j]).alias(f"a_{i}_{j}")
-            for i in range(d + 1) for j in range(i, d + 1)]
-    sums += [F.sum(F.col("__w") * xs[i] * F.col("__f")).alias(f"b_{i}") for i in range(d + 1)]
-    ne = ex.groupBy("__id").agg(*sums)  # one row of normal-equation sums per explained row
-    names = list(features)
-    id_type = rows.schema["__id"].dataType.simpleString()
-
-    def solve(batches):
-        import numpy as np
-        import pandas as pd
-        iu = [(i, j) for i in range(d + 1) for j in range(i, d + 1)]
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            a = np.zeros((n, d + 1, d + 1))
-            for i, j in iu:
-                v = pdf[f"a_{i}_{j}"].to_numpy(dtype=float)
-                a[:, i, j] = v
-                a[:, j, i] = v
-            b = np.stack([pdf[f"b_{i}"].to_numpy(dtype=float) for i in range(d + 1)], axis=1)
-            try:
-                beta = np.linalg.solve(a, b[:, :, None])[:, :, 0]
-            except np.linalg.LinAlgError:  # a degenerate row: least-squares per row
-                beta = np.stack([np.linalg.lstsq(a[k], b[k], rcond=None)[0] for k in range(n)])
-            yield pd.DataFrame({
-                "__id": np.repeat(pdf["__id"].to_numpy(), d),
-                "feature": np.tile(np.array(names, dtype=object), n),
-                "weight": beta[:, 1:].reshape(-1),
-                "intercept": np.repeat(beta[:, 0], d)})
-    res = ne.mapInPandas(solve, f"__id {id_type}, feature string, weight double, intercept double")
-    return res.withColumnRenamed("__id", id_col)
+    eps = np.array([[math.sqrt(-2.0 * math.log(max(_draw(seed, s, c, "a"), 1e-12)))
+                     * math.cos(2.0 * math.pi * _draw(seed, s, c, "b")) for c in features]
+                    for s in range(n_samples)])
+    weight = np.exp(-(eps ** 2).sum(1) / w_k ** 2)
+    x = np.hstack([np.ones((n_samples, 1)), eps])
+    fit = np.linalg.lstsq(x * np.sqrt(weight)[:, None], np.diag(np.sqrt(weight)), rcond=None)[0]
+    rows = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(c) for c in features])
+    draws = F.array(*[F.array(*[F.lit(float(v)) for v in e]) for e in eps])
+    scored = F.transform(draws, lambda e: scorer(
+        {c: F.col(c) + F.lit(float(scales[c])) * F.get(e, F.lit(i)) for i, c in enumerate(features)}))
+    rows = rows.select("__id", scored.alias("__f"))
+    dot = lambda r: F.aggregate(F.zip_with(F.array(*[F.lit(float(v)) for v in r]), "__f", lambda p, q: p * q),
+                                F.lit(0.0), lambda t, v: t + v)
+    out = F.array(*[F.struct(F.lit(c).alias("feature"), dot(fit[i + 1]).alias("weight")) for i, c in enumerate(features)])
+    return rows.select("__id", dot(fit[0]).alias("intercept"), F.inline(out)).select(
+        F.col("__id").alias(id_col), "feature", "weight", "intercept")
 
 
 def lime_text(docs: DataFrame, id_col: str, text_col: str,
-              scorer: Callable[[Column], Column], n_samples: int = 64, seed: int = 42,
-              keep_prob: float = 0.5) -> DataFrame:
-    """E5: word importance per document. Each document is exploded into seeded
-    word masks; every sample is scored on its kept words; a word's weight is
-    mean score with the word kept minus mean score with it dropped. The whole
-    text is used (no truncation). Output: id, word, weight, n_kept, n_dropped."""
-    toks = docs.select(F.col(id_col).alias("__id"),
-                       F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}']+").alias("__t"))
-    toks = toks.select("__id", F.filter("__t", lambda x: x != "").alias("__t"))
-    samp = toks.select("__id", "__t",
-                       F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("__s"))
-    keep = F.transform("__t", lambda w, i: _u_md5(F.lit(seed), F.col("__id"), F.col("__s"), i)
-                       < F.lit(keep_prob))
-    samp = samp.select("__id", "__s", "__t", keep.alias("__k"))
-    kept_words = F.filter(F.arrays_zip("__t", "__k"), lambda p: p["__k"])
-    samp = samp.select("__id", "__s", "__t", "__k",
-                       scorer(F.transform(kept_words, lambda p: p["__t"])).alias("__f"))
-    per_word = samp.select("__id", "__s", "__f",
-                           F.posexplode(F.arrays_zip("__t", "__k")).alias("__i", "__p"))
-    per_word = per_word.select("__id", "__s", "__f", F.col("__p.__t").alias("word"),
-                               F.col("__p.__k").alias("kept"))
-    # a word that occurs several times: kept when any occurrence is kept
-    pw = per_word.groupBy("__id", "__s", "word").agg(F.max("__f").alias("__f"),
-                                                      F.bool_or("kept").alias("kept"))
-    agg = pw.groupBy("__id", "word").agg(
-        F.avg(F.when(F.col("kept"), F.col("__f"))).alias("m1"),
-        F.avg(F.when(~F.col("kept"), F.col("__f"))).alias("m0"),
-        F.count_if("kept").alias("n_kept"), F.count_if(~F.col("kept")).alias("n_dropped"))
-    return agg.select(F.col("__id").alias(id_col), "word", (F.col("m1") - F.col("m0")).alias("weight"),
-                      "n_kept", "n_dropped")
+              scorer: Callable[[Column], Column], n_samples: int = 64, seed: int = 42) -> DataFrame:
+    """E5: word importance per document. In every sample each distinct word of a
+    document is kept with probability one half (all its occurrences together);
+    the sample is scored on the kept words, and a word's weight is the mean
+    score with the word kept minus the mean score with it dropped. The whole
+    text is used (no truncation). Output: id, word, weight, n_kept, n_dropped.
+
+    A word's masks are the bits of one md5 digest of (seed, id, word) for every
+    128 samples. All of it happens inside the document's row (arrays); rows are only
+    split by word at the end, so nothing is shuffled."""
+    toks = docs.select(F.col(id_col).alias("__id"), F.filter(
+        F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}']+"), lambda x: x != "").alias("__t"))
+
+    def bits(w: Column) -> Column:  # 32 samples a number
+        return F.array(*[F.conv(F.substring(F.md5(F.concat_ws(
+            ":", F.lit(str(seed)), F.col("__id").cast("string"), w, F.lit(str(i // 4)))), 1 + 8 * (i % 4), 8), 16, 10).cast("long")
+            for i in range(-(-n_samples // 32))])
+    kept = lambda p, s: F.call_function("shiftright", F.get(p["b"], F.floor(s / 32).cast("int")), s % 32).bitwiseAND(F.lit(1)) == 1
+    masked = lambda t: F.transform(t, lambda w: F.struct(w.alias("w"), bits(w).alias("b")))
+    toks = toks.where(F.size("__t") > 0).select("__id", masked("__t").alias("__z"), masked(F.array_distinct("__t")).alias("__d"))
+    samples = F.sequence(F.lit(0), F.lit(n_samples - 1))
+    toks = toks.select("__id", "__d", F.transform(samples, lambda s: scorer(F.transform(
+        F.filter("__z", lambda p: kept(p, s)), lambda p: p["w"]))).alias("__f"))
+
+    def total(p: Column | None) -> Column:
+        f = F.transform("__f", lambda v, s: F.when(kept(p, s), v).otherwise(F.lit(0.0))) if p is not None else F.col("__f")
+        return F.aggregate(f, F.lit(0.0), lambda t, v: t + v)
+    toks = toks.withColumn("__all", total(None))
+    per = F.transform("__d", lambda p: F.struct(p["w"].alias("word"), total(p).alias("on"), F.aggregate(
+        F.transform("__f", lambda v, s: kept(p, s).cast("long")), F.lit(0).cast("long"), lambda t, v: t + v).alias("n_kept")))
+    x = toks.select("__id", "__all", F.inline(per))
+    off = F.lit(n_samples) - F.col("n_kept")
+    return x.select(F.col("__id").alias(id_col), "word",
+                    (F.try_divide("on", "n_kept") - F.try_divide(F.col("__all") - F.col("on"), off)).alias("weight"),
+                    "n_kept", off.alias("n_dropped"))

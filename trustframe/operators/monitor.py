@@ -35,22 +35,40 @@ def window_metrics(df: DataFrame, ts: str, label: Column, pred: Column, priv: Co
                    spd_bound: float = 0.1, di_bounds=(0.8, 1.25)) -> DataFrame:
     """Per event-time window: n, accuracy, precision, recall, f1, selection
     rate of the privileged / unprivileged group, SPD (unpriv - priv), DI and
-    the fairness gate. One aggregate (a sliding window expands each row into
-    duration/slide windows first)."""
-    w = F.window(ts, duration, slide) if slide else F.window(ts, duration)
+    the fairness gate. One aggregate over the rows; ``duration`` is a multiple of
+    ``slide``."""
+    counts = window_counts(df, ts, label, pred, priv, slide or duration)
+    if slide:
+        # counts are additive: rows are counted once per step, and the steps' counts
+        # are summed into the windows that hold them
+        bins = counts.select(F.col("w.start").alias("t"), *COUNTS)
+        counts = bins.groupBy(F.window("t", duration, slide).alias("w")).agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return counted_metrics(counts, spd_bound, di_bounds)
+
+
+COUNTS = ("n", "tp", "fp", "tn", "fn", "n_priv", "n_unpriv", "pos_priv", "pos_unpriv")
+
+
+def window_counts(df: DataFrame, ts: str, label: Column, pred: Column, priv: Column,
+                  duration: str) -> DataFrame:
+    """Per tumbling window ``w``: the additive counts (batch and stream alike)."""
     y, p, g = label.cast("int"), pred.cast("int"), priv.cast("boolean")
-    agg = df.groupBy(w.alias("w")).agg(
+    return df.groupBy(F.window(ts, duration).alias("w")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
         F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 1) & (p == 0)).alias("fn"),
         F.count_if(g).alias("n_priv"), F.count_if(~g).alias("n_unpriv"),
         F.count_if(g & (p == 1)).alias("pos_priv"), F.count_if(~g & (p == 1)).alias("pos_unpriv"))
+
+
+def counted_metrics(counts: DataFrame, spd_bound: float = 0.1, di_bounds=(0.8, 1.25)) -> DataFrame:
+    """Metrics of each window ``w`` from its counts."""
     c = F.col
     prec = rate(c("tp"), c("tp") + c("fp"))
     rec = rate(c("tp"), c("tp") + c("fn"))
     srp = rate(c("pos_priv"), c("n_priv"))
     sru = rate(c("pos_unpriv"), c("n_unpriv"))
-    out = agg.select(
+    out = counts.select(
         c("w.start").alias("window_start"), c("w.end").alias("window_end"), "n",
         rate(c("tp") + c("tn"), c("n")).alias("accuracy"), prec.alias("precision"),
         rec.alias("recall"), rate(2 * c("tp"), 2 * c("tp") + c("fp") + c("fn")).alias("f1"),

@@ -108,7 +108,7 @@ def _u_sql(*args: str) -> str:
             ")), 1, 13))::BIGINT)::DOUBLE / 4503599627370496.0)")
 
 
-def _shapley_sql(n_perm: int = 8, seed: int = 42, bg_seed: int = 7, nbg: int = 100) -> str:
+def _shapley_sql(n_perm: int = 16, seed: int = 42, bg_seed: int = 7, nbg: int = 100) -> str:
     f = ORD_FEATS
 
     def score(vals):
@@ -143,21 +143,21 @@ GROUP BY id, feature"""
 @register("shapley_sampled", rnd(_shapley_sql(), ["shap"]))
 def shapley_sampled(spark, sf):
     """Permutation-sampled Shapley values of a (non-linear) probability
-    scorer for every order, 8 permutations, 100-row seeded background."""
+    scorer for every order, 16 permutations, 100-row seeded background."""
     x = _orders_x(spark, sf)
     bg = sm.sample_per_group(x, None, "o_orderkey", 100, seed=7)
-    return ex.sampled_shapley(x, bg.select(*ORD_FEATS), "o_orderkey", ORD_FEATS, ord_scorer, 8)
+    return ex.sampled_shapley(x, bg.select(*ORD_FEATS), "o_orderkey", ORD_FEATS, ord_scorer, 16)
 
 
 LIME_SCALES = {"o_totalprice": 100000.0, "o_custkey": 1000.0, "o_days": 500.0}
 
 
-def _lime_tabular_sql(n_samples: int = 64, seed: int = 42) -> str:
+def _lime_tabular_sql(n_samples: int = 200, seed: int = 42) -> str:
     f = ORD_FEATS
     kw2 = repr((0.75 * len(f) ** 0.5) ** 2)
     eps = ", ".join(
-        f"sqrt(-2.0 * ln(greatest({_u_sql(str(seed), 'id', 's', repr(c), repr('a'))}, 1e-12))) * "
-        f"cos(6.283185307179586::DOUBLE * {_u_sql(str(seed), 'id', 's', repr(c), repr('b'))}) AS e_{c}"
+        f"sqrt(-2.0 * ln(greatest({_u_sql(str(seed), 's', repr(c), repr('a'))}, 1e-12))) * "
+        f"cos(6.283185307179586::DOUBLE * {_u_sql(str(seed), 's', repr(c), repr('b'))}) AS e_{c}"
         for c in f)
     z = {c: f"(x_{c} + ({LIME_SCALES[c]}) * e_{c})" for c in f}
     margin = "-2.0" + "".join(f" + ({ORD_COEF[c]}) * {z[c]}" for c in f)
@@ -174,7 +174,8 @@ WITH x AS (SELECT o_orderkey AS id, CAST(o_totalprice AS DOUBLE) AS x_o_totalpri
              CAST(o_custkey AS DOUBLE) AS x_o_custkey,
              CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS x_o_days
            FROM orders),
-e AS (SELECT x.*, {eps} FROM x, range(0, {n_samples}) r(s)),
+ep AS (SELECT s, {eps} FROM range(0, {n_samples}) r(s)),
+e AS (SELECT x.*, ep.* FROM x, ep),
 g AS (SELECT id, {", ".join(f"e_{c}" for c in f)}, 1.0 / (1.0 + exp(-({margin}))) AS fv,
         exp(-({d2}) / {kw2}) AS w FROM e),
 a AS (SELECT id, sum(w) AS sw, sum(w * fv) AS sf, {sums} FROM g GROUP BY id),
@@ -194,9 +195,9 @@ UNION ALL SELECT id, '{c3}', w3, intercept FROM out"""
 
 @register("lime_tabular", rnd(_lime_tabular_sql(), ["weight", "intercept"]))
 def lime_tabular(spark, sf):
-    """Local linear surrogate per order (64 seeded perturbations)."""
+    """Local linear surrogate per order (200 seeded perturbations)."""
     x = _orders_x(spark, sf)
-    return ex.lime_tabular(x, "o_orderkey", ORD_FEATS, ord_scorer, LIME_SCALES, n_samples=64)
+    return ex.lime_tabular(x, "o_orderkey", ORD_FEATS, ord_scorer, LIME_SCALES)
 
 
 # A small bag-of-words scorer for the text explainer.
@@ -214,24 +215,25 @@ def text_scorer(tokens):
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
 
 
-def _lime_text_sql(n_samples: int = 16, seed: int = 42) -> str:
-    score = " + ".join(f"({b}) * count_if(kept AND word = '{w}')" for w, b in TEXT_WORDS.items())
+def _lime_text_sql(n_samples: int = 64, seed: int = 42) -> str:
+    score = " + ".join(f"({b}) * coalesce(sum(c) FILTER (kept AND word = '{w}'), 0)" for w, b in TEXT_WORDS.items())
+    digest = f"md5('{seed}:' || id || ':' || word || ':' || (blk // 4))"
     return f"""
 WITH d AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}'']+'),
              lambda x: x <> '') AS t FROM documents),
-tok AS (SELECT id, r.s, unnest(t) AS word, unnest(generate_series(0, len(t) - 1)) AS i
-        FROM d, range(0, {n_samples}) r(s) WHERE len(t) > 0),
-k AS (SELECT id, s, word, {_u_sql(str(seed), 'id', 's', 'i')} < 0.5 AS kept FROM tok),
-f AS (SELECT id, s, 1.0 / (1.0 + exp(-(-1.0 + {score}))) AS f FROM k GROUP BY id, s),
-pw AS (SELECT id, s, word, bool_or(kept) AS kept FROM k GROUP BY id, s, word)
-SELECT pw.id AS doc_id, pw.word,
-  avg(CASE WHEN pw.kept THEN f.f END) - avg(CASE WHEN NOT pw.kept THEN f.f END) AS weight,
-  count_if(pw.kept)::BIGINT AS n_kept, count_if(NOT pw.kept)::BIGINT AS n_dropped
-FROM pw JOIN f ON pw.id = f.id AND pw.s = f.s GROUP BY pw.id, pw.word"""
+tok AS (SELECT id, word, count(*) AS c FROM (SELECT id, unnest(t) AS word FROM d) GROUP BY id, word),
+m AS (SELECT id, word, c, blk, ('0x' || substr({digest}, 1 + 8 * (blk % 4), 8))::BIGINT AS bits
+      FROM tok, range(0, {-(-n_samples // 32)}) r(blk)),
+k AS (SELECT id, word, c, s, ((bits >> (s % 32)) & 1) = 1 AS kept FROM m JOIN range(0, {n_samples}) r(s) ON s // 32 = blk),
+f AS (SELECT id, s, 1.0 / (1.0 + exp(-(-1.0 + {score}))) AS f FROM k GROUP BY id, s)
+SELECT k.id AS doc_id, k.word,
+  avg(CASE WHEN k.kept THEN f.f END) - avg(CASE WHEN NOT k.kept THEN f.f END) AS weight,
+  count_if(k.kept)::BIGINT AS n_kept, count_if(NOT k.kept)::BIGINT AS n_dropped
+FROM k JOIN f ON k.id = f.id AND k.s = f.s GROUP BY k.id, k.word"""
 
 
 @register("lime_text", rnd(_lime_text_sql(), ["weight"]))
 def lime_text(spark, sf):
-    """E5 + E9: word importance for every document (whole text, 16 masks)."""
+    """E5 + E9: word importance for every document (whole text, 64 masks)."""
     d = T(spark, sf, "documents")
-    return ex.lime_text(d, "doc_id", "text", text_scorer, n_samples=16)
+    return ex.lime_text(d, "doc_id", "text", text_scorer)

@@ -137,17 +137,17 @@ def score_batch_linear(spark, sf):
 
 
 @register("softmax_scores", rnd("""
-WITH s AS (SELECT vec_id, list_transform(list_slice(embedding, 1, 10), lambda x: 3.0 * CAST(x AS DOUBLE)) AS sc
+WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: 3.0 * CAST(x AS DOUBLE)) AS sc
            FROM embeddings),
 e AS (SELECT vec_id, list_transform(sc, lambda x: exp(x - list_max(sc))) AS ex FROM s),
 p AS (SELECT vec_id, list_transform(ex, lambda x: x / list_sum(ex)) AS probs FROM e)
 SELECT vec_id, CAST(list_position(probs, list_max(probs)) - 1 AS INTEGER) AS predicted_class,
   list_max(probs) AS confidence, list_sum(probs) AS prob_sum FROM p""", ["confidence", "prob_sum"]))
 def softmax_scores(spark, sf):
-    """Softmax over 10 class scores (3 x the first 10 embedding dims),
+    """Softmax over class scores (3 x the embedding, a class per dimension),
     argmax class and confidence."""
     e = T(spark, sf, "embeddings")
-    scores = F.transform(F.slice("embedding", 1, 10), lambda x: F.lit(3.0) * x.cast("double"))
+    scores = F.transform("embedding", lambda x: F.lit(3.0) * x.cast("double"))
     out = sc.class_prediction(e.select("vec_id", scores.alias("sc")), "sc", ["vec_id"])
     return out.select("vec_id", "predicted_class", "confidence",
                       F.aggregate("probs", F.lit(0.0), lambda a, x: a + x).alias("prob_sum"))

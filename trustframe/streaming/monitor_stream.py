@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trustframe.functions.exprs import rate, safe_div
+from trustframe.operators.monitor import counted_metrics, window_counts
 from trustframe.session import ensure_checkpoint_dir
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp, user_id bigint, event_type string, value double, "
@@ -36,18 +36,12 @@ def hourly_window_stream(events: DataFrame, label: Column, pred: Column, priv: C
                          watermark: str = "2 hours", duration: str = "1 hour") -> DataFrame:
     """Watermarked event-time window counts; metrics are derived from the
     counts when read (they are not additive, the counts are)."""
-    y, p, g = label.cast("int"), pred.cast("int"), priv.cast("boolean")
-    return events.withWatermark("ts", watermark).groupBy(F.window("ts", duration).alias("w")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 1) & (p == 0)).alias("fn"),
-        F.count_if(g).alias("n_priv"), F.count_if(~g).alias("n_unpriv"),
-        F.count_if(g & (p == 1)).alias("pos_priv"), F.count_if(~g & (p == 1)).alias("pos_unpriv"))
+    return window_counts(events.withWatermark("ts", watermark), "ts", label, pred, priv, duration)
 
 
 def run_hourly_monitor(spark: SparkSession, events: DataFrame, label: Column, pred: Column,
                        priv: Column, out_dir: str | None = None, watermark: str = "2 hours",
-                       timeout_s: int = 600) -> str:
+                       timeout_s: int | None = None) -> str:
     """Run the stream to completion (``availableNow``) and return the sink
     folder. Checkpoint and sink live in the shared checkpoint folder."""
     base = out_dir or f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -63,7 +57,7 @@ def run_hourly_monitor(spark: SparkSession, events: DataFrame, label: Column, pr
 
     q = (agg.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()  # no limit unless asked for
     if q.isActive:
         q.stop()
         raise TimeoutError("stream did not finish")
@@ -79,23 +73,12 @@ def latest_windows(spark: SparkSession, sink: str) -> DataFrame:
     raw = spark.read.parquet(sink)
     w = Window.partitionBy("window_start").orderBy(F.col("batch").desc())
     last = raw.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r", "batch")
-    c = F.col
-    prec = rate(c("tp"), c("tp") + c("fp"))
-    rec = rate(c("tp"), c("tp") + c("fn"))
-    srp, sru = rate(c("pos_priv"), c("n_priv")), rate(c("pos_unpriv"), c("n_unpriv"))
-    out = last.select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n", rate(c("tp") + c("tn"), c("n")).alias("accuracy"),
-        prec.alias("precision"), rec.alias("recall"),
-        rate(2 * c("tp"), 2 * c("tp") + c("fp") + c("fn")).alias("f1"),
-        srp.alias("sr_priv"), sru.alias("sr_unpriv"), (sru - srp).alias("spd"),
-        safe_div(sru, srp).alias("di"))
-    ok = (F.abs(c("spd")) <= 0.1) & (c("di") >= 0.8) & (c("di") <= 1.25)
-    return out.withColumn("fairness_pass", F.coalesce(ok, F.lit(False)))
+    return counted_metrics(last.withColumn("w", F.struct(
+        F.col("window_start").cast("timestamp_ntz").alias("start"), F.col("window_end").cast("timestamp_ntz").alias("end"))))
 
 
 def run_batch_function(spark: SparkSession, stream: DataFrame, fn, out_dir: str | None = None,
-                       timeout_s: int = 600) -> str:
+                       timeout_s: int | None = None) -> str:
     """T1 as a stream: apply the batch function ``fn(batch_df) -> DataFrame``
     to every micro-batch (``foreachBatch``) and append its rows under
     ``batch=<id>`` (overwrite of that partition only, so a retried batch
@@ -110,7 +93,7 @@ def run_batch_function(spark: SparkSession, stream: DataFrame, fn, out_dir: str
 
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()  # no limit unless asked for
     if q.isActive:
         q.stop()
         raise TimeoutError("stream did not finish")
