@@ -408,3 +408,63 @@ def test_edge_cases(spark):
     m = fz.fairness_metrics(df, [fz.Protected("g", privileged=["a"])], F.col("y") == 1,
                             F.col("p") == 1).first()
     assert m.n_priv == 0 and m.disparate_impact == 0.0
+
+
+def test_null_majority_keeps_its_rows(spark):
+    df = spark.createDataFrame([(i, None if i < 60 else "a") for i in range(100)], "id int, g string")
+    n = {r.bias_group: r["count"] for r in sampling.inject_bias(df, "g", "id").groupBy("bias_group").count().collect()}
+    assert n == {"majority": 60, "minority": 40}
+
+
+def test_strata_with_missing_values_and_separators_stay_apart(spark):
+    df = spark.createDataFrame([(1, "a", None, "b"), (1, "a", "b", None), (1, "a_b", "c", "d"), (1, "a", "b_c", "d")],
+                               "y int, p string, q string, r string")
+    rows = df.unionByName(df)
+    for _ in range(4):
+        rows = rows.unionByName(rows)
+    key, rule = sampling.composite_strata(rows, "y", ["p", "q", "r"])
+    assert rule == "composite" and rows.select(key.alias("k")).distinct().count() == 4
+
+
+def test_growing_a_small_class_in_blocks(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "a" if i < 3 else "b") for i in range(103)], "id int, y string")
+    whole = sorted(map(tuple, sampling.oversample(df, "y", "id").collect()))
+    monkeypatch.setattr(sampling, "COPIES_PER_BLOCK", 7)
+    assert sorted(map(tuple, sampling.oversample(df, "y", "id").collect())) == whole and len(whole) == 200
+
+
+def test_dates_and_flags_drift_by_psi(spark):
+    from datetime import date
+    ref = spark.createDataFrame([(date(2024, 1, 1 + i % 3), i % 2 == 0, float(i)) for i in range(30)], "d date, b boolean, x double")
+    cur = spark.createDataFrame([(date(2024, 2, 1 + i % 3), i % 2 == 0, float(i)) for i in range(30)], "d date, b boolean, x double")
+    got = {r.feature: (r.method, r.drifted) for r in drift.feature_drift(ref, cur).collect()}
+    assert got == {"d": ("psi", True), "b": ("psi", False), "x": ("wasserstein", False)}
+
+
+def test_run_gate_fails_on_an_unevaluated_attribute(spark):
+    v = spark.createDataFrame([("a", True), ("b", True)], "attr string, overall_pass boolean")
+    assert tuple(fz.run_gate(v, ["a", "b"]).first()) == (True, 0)
+    assert tuple(fz.run_gate(v, ["a", "b", "c"]).first()) == (False, 1)
+    assert tuple(fz.run_gate(v.limit(0), [])
+                 .first()) == (False, 0)
+
+
+def test_encoder_takes_any_number_of_categories(spark, tmp_path):
+    df = spark.range(1500).select(F.format_string("c%04d", "id").alias("c"), F.col("id").cast("double").alias("x"))
+    m = encode.fit_encoder(df, ["x"], ["c"])
+    assert m.width() == 1 + 1499
+    with pytest.raises(ValueError):
+        m.feature_names()
+    m.save(spark, str(tmp_path / "enc"))
+    again = encode.EncoderModel.load(spark, str(tmp_path / "enc"))
+    for e in (m, again):
+        rows = {r.c: (r["size"], r["indices"]) for r in e.transform(df, keep=["c"], output="sparse").collect()}
+        assert rows["c0000"] == (1500, [0]) and rows["c0001"] == (1500, [0, 1]) and rows["c1499"] == (1500, [0, 1499])
+
+
+def test_batch_compared_with_a_profile_reads_no_reference(spark):
+    ref = spark.createDataFrame([(float(i), "ab"[i % 2]) for i in range(50)], "x double, s string")
+    cur = spark.createDataFrame([(float(i) * 2, "aab"[i % 3]) for i in range(40)], "x double, s string")
+    a = drift.feature_drift(ref, cur).orderBy("feature").collect()
+    b = drift.drift_from_profile(drift.reference_profile(ref, ["x"], ["s"]), cur).orderBy("feature").collect()
+    assert a == b

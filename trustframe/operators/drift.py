@@ -141,24 +141,35 @@ def feature_drift(ref: DataFrame, cur: DataFrame, threshold: float = DATA_DRIFT)
     num = [c for c in shared if ref.schema[c].dataType.typeName() in
            ("double", "float", "integer", "long", "short", "byte", "decimal")]
     cat = [c for c in shared if c not in num]  # dates, times, flags and nested values as text
-    h = cut_lineage(mixed_histogram(ref, cur, num, cat))
-    parts = []
-    if num:
-        hn = h.where(F.col("kind") == "numeric").select("feature", F.col("v_num").alias("v"),
-                                                        "cnt_ref", "cnt_cur")
-        parts.append(_numeric_from_hist(hn).select(
-            "feature", F.lit("wasserstein").alias("method"), F.col("wasserstein").alias("score")))
-    if cat:
-        hc = h.where(F.col("kind") == "categorical").select("feature", F.col("v_str").alias("v"),
-                                                            "cnt_ref", "cnt_cur")
-        parts.append(_categorical_from_shares(_shares_from_hist(hc)).select(
-            "feature", F.lit("psi").alias("method"), F.col("psi").alias("score")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    return _drift_from_mixed(cut_lineage(mixed_histogram(ref, cur, num, cat)), threshold)
+
+
+def _drift_from_mixed(h: DataFrame, threshold: float) -> DataFrame:
+    """feature, method, score, drifted from a materialised mixed histogram."""
+    hn = h.where(F.col("kind") == "numeric").select("feature", F.col("v_num").alias("v"), "cnt_ref", "cnt_cur")
+    hc = h.where(F.col("kind") == "categorical").select("feature", F.col("v_str").alias("v"), "cnt_ref", "cnt_cur")
+    out = _numeric_from_hist(hn).select(
+        "feature", F.lit("wasserstein").alias("method"), F.col("wasserstein").alias("score"))
+    out = out.unionByName(_categorical_from_shares(_shares_from_hist(hc)).select(
+        "feature", F.lit("psi").alias("method"), F.col("psi").alias("score")))
     return out.withColumn("drifted", F.col("score") > F.lit(threshold))
 
 
+def drift_from_profile(profile: DataFrame, cur: DataFrame, threshold: float = DATA_DRIFT) -> DataFrame:
+    """D4 against a stored reference profile (D6): the batch is reduced to its own
+    histogram and added to the profile's; no reference rows are read. Features of
+    the profile that the batch lacks are left out (P11)."""
+    kinds = {r["feature"]: r["kind"] for r in profile.select("feature", "kind").distinct().collect()}  # one per feature
+    num = [c for c in cur.columns if kinds.get(c) == "numeric"]
+    cat = [c for c in cur.columns if kinds.get(c) == "categorical"]
+    mine = reference_profile(cur, num, cat)
+    keys = ["feature", "kind", "v_num", "v_str"]
+    both = profile.where(F.col("feature").isin(num + cat)).select(*keys, F.col("n").alias("cnt_ref"), F.lit(0).cast("long").alias("cnt_cur")) \
+        .unionByName(mine.select(*keys, F.lit(0).cast("long").alias("cnt_ref"), F.col("n").alias("cnt_cur")))
+    h = both.groupBy(*keys).agg(F.sum("cnt_ref").alias("cnt_ref"), F.sum("cnt_cur").alias("cnt_cur"))
+    return _drift_from_mixed(cut_lineage(h), threshold)
+
+
 def overall_drift(per_feature: DataFrame, threshold: float = DATA_DRIFT) -> DataFrame:
     """Mean score over features, detected flag, sorted drifted list."""
     return per_feature.agg(

@@ -2,9 +2,10 @@
 on one DataFrame (e.g. the train split) and applied to any other.
 
 Fitting is one aggregate for the numeric moments and one distinct scan for
-the category lists; the fitted parameters are O(columns + categories) and
-are applied as literal column arithmetic, so ``transform`` is a narrow
-projection inside whole-stage codegen."""
+the categories. Columns with up to ``MAX_LISTED`` categories are applied as
+literal column arithmetic, so ``transform`` is a narrow projection inside
+whole-stage codegen. Columns with more keep their categories as a table
+(feature, v, pos) of any size, which ``transform(output="sparse")`` joins."""
 
 from __future__ import annotations
 
@@ -16,7 +17,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 1000
+from trustframe.functions.joins import MAX_BROADCAST_ROWS
+from trustframe.operators.ranking import prefix_counts
+from trustframe.session import cut_lineage
+
+MAX_LISTED = 1000
 
 
 def scaler_params(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -36,15 +41,54 @@ class EncoderModel:
     stds: dict[str, float]
     categorical: list[str]
     categories: dict[str, list[str]] = field(default_factory=dict)
+    #: columns with more than MAX_LISTED categories: (table of v and pos from 0, categories)
+    wide: dict[str, tuple[DataFrame, int]] = field(default_factory=dict)
 
     def feature_names(self) -> list[str]:
         """Numerics in order, then <col>_<value> for kept categories."""
+        self._listed()
         names = list(self.numeric)
         for c in self.categorical:
             names += [f"{c}_{v}" for v in self.categories[c][1:]]
         return names
 
+    def _listed(self) -> None:
+        if self.wide:
+            raise ValueError(f"{sorted(self.wide)}: more than {MAX_LISTED} categories; use output='sparse'")
+
+    def width(self) -> int:
+        """Number of features."""
+        kept = [self.wide[c][1] if c in self.wide else len(self.categories[c]) for c in self.categorical]
+        return len(self.numeric) + sum(max(0, k - 1) for k in kept)
+
+    def _sparse(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """size, indices and values of the features that are not 0, indices ascending."""
+        entries = []
+        for i, c in enumerate(self.numeric):
+            s = self.stds[c]
+            v = (F.col(c) - F.lit(self.means[c])) / F.lit(1.0 if s is None or s == 0.0 else s)
+            entries.append(F.struct(F.lit(i).cast("long").alias("i"), v.cast("double").alias("v")))
+        at = len(self.numeric)
+        for n, c in enumerate(self.categorical):
+            if c in self.wide:
+                t, k = self.wide[c]
+                t = t.select(F.col("v").alias(f"__v{n}"), F.col("pos").alias(f"__p{n}"))
+                t = F.broadcast(t) if k <= MAX_BROADCAST_ROWS // 20 else t
+                df = df.join(t, F.col(c).cast("string") == F.col(f"__v{n}"), "left").drop(f"__v{n}")
+                pos = F.col(f"__p{n}")
+            else:
+                vals = self.categories[c]
+                k = len(vals)
+                found = F.array_position(F.array(*[F.lit(v) for v in vals]), F.col(c).cast("string")) if vals else F.lit(0)
+                pos = F.nullif(found, F.lit(0)) - 1
+            entries.append(F.when(pos >= 1, F.struct((pos + (at - 1)).cast("long").alias("i"), F.lit(1.0).alias("v"))))
+            at += max(0, k - 1)
+        e = F.filter(F.array(*entries), lambda x: x.isNotNull() & (x["v"].isNull() | (x["v"] != 0)))
+        return df.select(*keep, F.lit(at).cast("long").alias("size"), F.transform(e, lambda x: x["i"]).alias("indices"),
+                         F.transform(e, lambda x: x["v"]).alias("values"))
+
     def columns(self):
+        self._listed()
         out = []
         for c in self.numeric:
             s = self.stds[c]
@@ -59,8 +103,11 @@ class EncoderModel:
     def transform(self, df: DataFrame, keep: Sequence[str] = (), output: str = "columns"
                   ) -> DataFrame:
         """``columns``: one column per feature; ``array``: array<double>
-        ``features``; ``vector``: ML vector ``features``. Unseen categories
+        ``features``; ``vector``: ML vector ``features``; ``sparse``: size,
+        indices and values, for any number of categories. Unseen categories
         encode as all zeros."""
+        if output == "sparse":
+            return self._sparse(df, keep)
         cols = self.columns()
         if output == "columns":
             return df.select(*keep, *cols)
@@ -74,11 +121,13 @@ class EncoderModel:
         rows = [("numeric", c, i, self.means[c], self.stds[c], None)
                 for i, c in enumerate(self.numeric)]
         for c in self.categorical:
-            rows += [("categorical", c, i, None, None, v) for i, v in enumerate(self.categories[c])]
+            rows += [("categorical", c, i, None, None, v) for i, v in enumerate(self.categories.get(c, []))]
         spark.createDataFrame(rows, "kind string, feature string, pos int, mean double, "
                                     "std double, category string") \
             .coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
-        meta = {"numeric": self.numeric, "categorical": self.categorical}
+        for c, (t, _) in self.wide.items():
+            t.select(F.lit(c).alias("feature"), "v", "pos").write.mode("append").partitionBy("feature").parquet(f"{path}/wide")
+        meta = {"numeric": self.numeric, "categorical": self.categorical, "wide": {c: k for c, (_, k) in self.wide.items()}}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
             .write.mode("overwrite").text(f"{path}/metadata")
 
@@ -92,35 +141,32 @@ class EncoderModel:
         for r in rows:
             if r.kind == "categorical":
                 cats[r.feature].append(r.category)
-        return cls(meta["numeric"], means, stds, meta["categorical"], cats)
+        wide = {c: (spark.read.parquet(f"{path}/wide").where(F.col("feature") == c).select("v", "pos"), k)
+                for c, k in meta.get("wide", {}).items()}
+        return cls(meta["numeric"], means, stds, meta["categorical"], cats, wide)
 
 
 def fit_encoder(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                max_categories: int = MAX_CATEGORIES) -> EncoderModel:
-    """Fit scaler moments and sorted category lists (ascending)."""
+                max_listed: int = MAX_LISTED) -> EncoderModel:
+    """Fit scaler moments and sorted categories (ascending), however many."""
     means, stds = {}, {}
     if numeric:
         for r in scaler_params(df, numeric).collect():  # one row per column
             means[r.feature], stds[r.feature] = r["mean"], r["std"]
-    cats: dict[str, list[str]] = {}
+    cats: dict[str, list[str]] = {c: [] for c in categorical}
+    wide: dict[str, tuple[DataFrame, int]] = {}
     if categorical:
-        # guard first with a sketch, so no category list is built for a column
-        # that would exceed the cap (the exact count is checked again below)
-        approx = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(c)
-                          for c in categorical]).first().asDict()
-        wide0 = [c for c in categorical if approx[c] > 1.2 * max_categories]
-        if wide0:
-            raise ValueError(f"{wide0[0]} has more than {max_categories} categories")
         tags = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v"))
                          for c in categorical])
-        d = df.select(F.inline(tags)).where(F.col("v").isNotNull()).distinct()
-        per = d.groupBy("feature").agg(F.count(F.lit(1)).alias("k"),
-                                       F.array_sort(F.collect_list("v")).alias("vals"))
-        rows = per.collect()  # <= 1.2 x max_categories values per column (guarded above)
-        for r in rows:
-            if r.k > max_categories:
-                raise ValueError(f"{r.feature} has more than {max_categories} categories")
-            cats[r.feature] = list(r.vals)
+        d = cut_lineage(df.select(F.inline(tags)).where(F.col("v").isNotNull()).distinct())
+        sizes = {r["feature"]: r["n"] for r in d.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}  # one per column
+        narrow = [c for c in categorical if sizes.get(c, 0) <= max_listed]
+        for r in d.where(F.col("feature").isin(narrow)).collect():  # at most max_listed a column
+            cats[r["feature"]].append(r["v"])
+        cats = {c: sorted(v) for c, v in cats.items()}
         for c in categorical:
-            cats.setdefault(c, [])
-    return EncoderModel(list(numeric), means, stds, list(categorical), cats)
+            if c not in narrow:
+                # places in sorted order by the distributed running count
+                t = prefix_counts(d.where(F.col("feature") == c).withColumn("one", F.lit(1)), "feature", "v", ["one"])
+                wide[c] = (cut_lineage(t.select("v", (F.col("cum_one") - 1).alias("pos"))), sizes[c])
+    return EncoderModel(list(numeric), means, stds, list(categorical), cats, wide)

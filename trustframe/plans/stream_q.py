@@ -3,14 +3,18 @@ the batch result, so the batch SQL is their oracle."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from trustframe.operators import monitor as mo
 from trustframe.plans.monitor_q import CONSEC_SQL, HOURLY_SQL, LABEL, PRED, PRIV, _WCOLS
 from trustframe.plans.registry import register, rnd
+from trustframe.session import ensure_checkpoint_dir
 from trustframe.operators import drift as dr
 from trustframe.plans import drift_q
 from trustframe.plans.registry import T
+from trustframe.session import ensure_checkpoint_dir
 from trustframe.streaming import (event_stream, latest_windows, run_batch_function,
                                   run_hourly_monitor)
 
@@ -46,10 +50,14 @@ def stream_drift_alerts(spark, sf):
     of the events stream against the reference half (foreachBatch)."""
     ref = T(spark, sf, "events").where(F.col("ts") < F.lit(drift_q.CUT).cast("timestamp")) \
         .select("value", F.col("user_id").cast("double").alias("user_id"), "event_type")
+    # read once and stored; no reference rows are read in a batch
+    path = f"{ensure_checkpoint_dir(spark)}/profile-{uuid.uuid4().hex}"
+    dr.reference_profile(ref, ["value", "user_id"], ["event_type"]).write.parquet(path)
+    profile = spark.read.parquet(path)
 
     def per_batch(batch):
         cur = batch.select("value", F.col("user_id").cast("double").alias("user_id"), "event_type")
-        feats = dr.feature_drift(ref, cur)
+        feats = dr.drift_from_profile(profile, cur)
         return feats.select(F.lit("data_drift").alias("drift_type"),
                             F.col("feature").alias("metric"),
                             F.col("score").alias("current_value"),
