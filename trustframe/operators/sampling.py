@@ -79,8 +79,8 @@ def resample_to(df: DataFrame, strata: Sequence, id_col: str, target: Column,
         r = r.select("*", F.explode(blocks).alias("__blk"))
         r = r.repartition(id_col, "__blk")
         lo = F.col("__blk") * COPIES_PER_BLOCK
-        copies = F.sequence(lo, F.least(lo + COPIES_PER_BLOCK, F.col("__nc").cast("long")) - 1)
-        return r.select("*", F.explode(copies).cast("int").alias("copy")).drop("__seg", "__n", "__nc", "__blk")
+        copies = F.sequence(lo, F.least(lo + COPIES_PER_BLOCK, F.col("__nc").cast("long")) - 1).cast("array<int>")
+        return r.select("*", F.explode(copies).alias("copy")).drop("__seg", "__n", "__nc", "__blk")
     return r.select("*", F.explode(F.sequence(F.lit(0), F.col("__nc") - 1)).alias("copy")) \
         .drop("__seg", "__n", "__nc")
 
