@@ -468,3 +468,15 @@ def test_batch_compared_with_a_profile_reads_no_reference(spark):
     a = drift.feature_drift(ref, cur).orderBy("feature").collect()
     b = drift.drift_from_profile(drift.reference_profile(ref, ["x"], ["s"]), cur).orderBy("feature").collect()
     assert a == b
+
+
+def test_monitor_batch_alerts(spark):
+    ref = spark.createDataFrame([(float(i % 10), "ab"[i % 2], i % 2) for i in range(100)], "x double, s string, p int")
+    cur = spark.createDataFrame([(float(i % 10) * 3, "ab"[i % 2], int(i % 4 == 0), i % 2, i % 2 == 0) for i in range(100)],
+                                "x double, s string, p int, y int, g boolean")
+    prof = drift.reference_profile(ref, ["x", "p"], ["s"])
+    got = {(r.drift_type, r.metric): r for r in monitor.monitor_batch(
+        cur, prof, F.col("y") == 1, F.col("p") == 1, F.col("g"), "p", reference_f1=0.9).collect()}
+    assert set(got) == {("data_drift", "x"), ("prediction_drift", "p"), ("fairness", "statistical_parity_difference"), ("performance", "f1")}
+    assert got["performance", "f1"].current_value == 0.0 and got["performance", "f1"].severity == "high"
+    assert got["fairness", "statistical_parity_difference"].current_value == -0.5

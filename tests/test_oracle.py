@@ -1,12 +1,15 @@
 """Every registered query against its DuckDB oracle on the small tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
 from oracle import compare, duck
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+# the training-data queries have tests of their own
+QUERIES = {k: v for k, v in E.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 def test_every_oracle_has_a_query():

@@ -18,7 +18,8 @@ from pyspark.sql.window import Window
 
 from trustframe.functions.exprs import rate, safe_div
 from trustframe.functions.joins import combine_rows, materialize_small
-from trustframe.operators.drift import ABSENT_SHARE
+from trustframe.operators.drift import ABSENT_SHARE, DATA_DRIFT, PREDICTION_DRIFT, drift_from_profile
+from trustframe.session import cut_lineage
 
 # Monitoring rules.
 DRIFT_WARNING = 0.2
@@ -53,12 +54,16 @@ def window_counts(df: DataFrame, ts: str, label: Column, pred: Column, priv: Col
                   duration: str) -> DataFrame:
     """Per tumbling window ``w``: the additive counts (batch and stream alike)."""
     y, p, g = label.cast("int"), pred.cast("int"), priv.cast("boolean")
-    return df.groupBy(F.window(ts, duration).alias("w")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 1) & (p == 0)).alias("fn"),
-        F.count_if(g).alias("n_priv"), F.count_if(~g).alias("n_unpriv"),
-        F.count_if(g & (p == 1)).alias("pos_priv"), F.count_if(~g & (p == 1)).alias("pos_unpriv"))
+    return df.groupBy(F.window(ts, duration).alias("w")).agg(*count_aggregates(y, p, g))
+
+
+def count_aggregates(y: Column, p: Column, g: Column) -> list[Column]:
+    """The COUNTS of label y, prediction p (0/1) and privileged flag g."""
+    return [F.count(F.lit(1)).alias("n"),
+            F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+            F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 1) & (p == 0)).alias("fn"),
+            F.count_if(g).alias("n_priv"), F.count_if(~g).alias("n_unpriv"),
+            F.count_if(g & (p == 1)).alias("pos_priv"), F.count_if(~g & (p == 1)).alias("pos_unpriv")]
 
 
 def counted_metrics(counts: DataFrame, spd_bound: float = 0.1, di_bounds=(0.8, 1.25)) -> DataFrame:
@@ -78,6 +83,39 @@ def counted_metrics(counts: DataFrame, spd_bound: float = 0.1, di_bounds=(0.8, 1
     return out.withColumn("fairness_pass", F.coalesce(ok, F.lit(False)))
 
 
+def monitor_batch(cur: DataFrame, profile: DataFrame, label: Column | None, pred: Column, priv: Column,
+                  pred_col: str | None = None, reference_f1: float | None = None,
+                  data_bound: float = DATA_DRIFT, prediction_bound: float = PREDICTION_DRIFT,
+                  spd_bound: float = 0.1, di_bounds=(0.8, 1.25), f1_drop: float = F1_DROP) -> DataFrame:
+    """The alerts of one batch against a stored reference profile (D6):
+    drift_type, metric, current_value, threshold, severity.
+
+    Data drift per feature and drift of ``pred_col`` (medium) from the profile and
+    the batch's own histogram; fairness of ``pred`` between ``priv`` and the others
+    (high); F1 against ``label`` below ``reference_f1`` by more than ``f1_drop`` (high).
+    The batch is scanned for its histogram and for its counts; reference rows are not
+    read. A batch function: streams apply it to each micro-batch."""
+    cols = ("drift_type", "metric", "current_value", "threshold", "severity")
+    feats = drift_from_profile(profile, cur, data_bound)
+    is_pred = F.col("feature") == F.lit(pred_col) if pred_col else F.lit(False)
+    bound = F.when(is_pred, F.lit(float(prediction_bound))).otherwise(F.lit(float(data_bound)))
+    out = feats.where(F.col("score") > bound).select(
+        F.when(is_pred, "prediction_drift").otherwise("data_drift").alias("drift_type"), F.col("feature").alias("metric"),
+        F.col("score").alias("current_value"), bound.alias("threshold"), F.lit("medium").alias("severity"))
+    y, p, g = (F.lit(0) if label is None else label.cast("int")), pred.cast("int"), priv.cast("boolean")
+    counts = cur.agg(*count_aggregates(y, p, g)).withColumn("w", F.struct(F.lit(None).alias("start"), F.lit(None).alias("end")))
+    m = cut_lineage(counted_metrics(counts, spd_bound, di_bounds), large=False)  # one row
+    out = out.unionByName(m.where(~F.col("fairness_pass")).select(
+        F.lit("fairness").alias(cols[0]), F.lit("statistical_parity_difference").alias(cols[1]), F.col("spd").alias(cols[2]),
+        F.lit(float(spd_bound)).alias(cols[3]), F.lit("high").alias(cols[4])))
+    if label is not None and reference_f1 is not None:
+        least = float(reference_f1) - f1_drop
+        out = out.unionByName(m.where(F.col("f1") < least).select(
+            F.lit("performance").alias(cols[0]), F.lit("f1").alias(cols[1]), F.col("f1").alias(cols[2]),
+            F.lit(least).alias(cols[3]), F.lit("high").alias(cols[4])))
+    return out
+
+
 def drift_by_window(cur: DataFrame, ref: DataFrame, ts: str, col: str,
                     duration: str = "1 hour") -> DataFrame:
     """PSI of a categorical column per window against the reference shares

@@ -4,6 +4,7 @@ even; reference for drift = events before 2024-01-16."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from trustframe.operators import drift as dr
 from trustframe.operators import monitor as mo
 from trustframe.plans import drift_q
 from trustframe.plans.registry import T, register, rnd
-from trustframe.session import cut_lineage
+from trustframe.session import cut_lineage, ensure_checkpoint_dir
 
 def LABEL():
     return F.col("event_type") == "purchase"
@@ -233,23 +234,7 @@ def monitor_batch(spark, sf):
     """T1 + T2 + T3: one batch (current half) against the reference: data
     drift and prediction drift alerts (medium), fairness alert (high)."""
     ref, cur = drift_q.halves(spark, sf)
-    feats = dr.feature_drift(ref.drop("pred"), cur.drop("pred"))
-    data = feats.where("drifted").select(F.lit("data_drift").alias("drift_type"),
-                                         F.col("feature").alias("metric"),
-                                         F.col("score").alias("current_value"),
-                                         F.lit(dr.DATA_DRIFT).alias("threshold"),
-                                         F.lit("medium").alias("severity"))
-    pdrift = dr.prediction_drift(ref, cur, "pred").where("drift_detected").select(
-        F.lit("prediction_drift").alias("drift_type"), F.lit("pred").alias("metric"),
-        F.col("drift_score").alias("current_value"), F.col("threshold"), F.lit("medium").alias("severity"))
-    ev = T(spark, sf, "events").where(F.col("ts") >= F.lit(CUT).cast("timestamp"))
-    g, p = F.col("user_id") % 2 == 0, (F.col("value") * 1.5 > 30.0)
-    fz = ev.agg(F.when(F.count_if(g) > 0, F.count_if(g & p) / F.count_if(g)).otherwise(0.0).alias("sp"),
-                F.when(F.count_if(~g) > 0, F.count_if(~g & p) / F.count_if(~g)).otherwise(0.0).alias("su"))
-    di = F.when(F.col("sp") != 0, F.col("su") / F.col("sp")).otherwise(0.0)
-    ok = F.coalesce((F.abs(F.col("su") - F.col("sp")) <= 0.1) & di.between(0.8, 1.25), F.lit(False))
-    fair = fz.where(~ok).select(F.lit("fairness").alias("drift_type"),
-                                F.lit("statistical_parity_difference").alias("metric"),
-                                (F.col("su") - F.col("sp")).alias("current_value"),
-                                F.lit(0.1).alias("threshold"), F.lit("high").alias("severity"))
-    return data.unionByName(pdrift).unionByName(fair)
+    path = f"{ensure_checkpoint_dir(spark)}/profile-{uuid.uuid4().hex}"
+    dr.reference_profile(ref, [*drift_q.NUM, "pred"], drift_q.CAT).write.parquet(path)
+    return mo.monitor_batch(cur, spark.read.parquet(path), None, F.col("value_shifted") > 30.0,
+                            F.col("user_id").cast("long") % 2 == 0, "pred")
