@@ -191,24 +191,26 @@ def lime_text(docs: DataFrame, id_col: str, text_col: str,
     toks = docs.select(F.col(id_col).alias("__id"), F.filter(
         F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}']+"), lambda x: x != "").alias("__t"))
 
-    def bits(w: Column) -> Column:  # 32 samples a number
-        return F.array(*[F.conv(F.substring(F.md5(F.concat_ws(
-            ":", F.lit(str(seed)), F.col("__id").cast("string"), w, F.lit(str(i // 4)))), 1 + 8 * (i % 4), 8), 16, 10).cast("long")
-            for i in range(-(-n_samples // 32))])
-    kept = lambda p, s: F.call_function("shiftright", F.get(p["b"], F.floor(s / 32).cast("int")), s % 32).bitwiseAND(F.lit(1)) == 1
-    masked = lambda t: F.transform(t, lambda w: F.struct(w.alias("w"), bits(w).alias("b")))
+    blocks = -(-n_samples // 32)
+
+    def masked(t):  # 32 samples a number
+        return F.transform(t, lambda w: F.struct(w.alias("w"), *[F.conv(F.substring(F.md5(F.concat_ws(
+            ":", F.lit(str(seed)), F.col("__id").cast("string"), w, F.lit(str(i // 4)))), 1 + 8 * (i % 4), 8), 16, 10)
+            .cast("long").alias(f"b{i}") for i in range(blocks)]))
+    kept = lambda p, s: p[f"b{s // 32}"].bitwiseAND(F.lit(1 << s % 32)) != 0
+
+    def score(s: int) -> Column:
+        words = F.transform(F.filter("__z", lambda p: kept(p, s)), lambda p: p["w"])
+        return F.get(F.transform(F.array(words), scorer), F.lit(0))  # words bound once for the scorer
     toks = toks.where(F.size("__t") > 0).select("__id", masked("__t").alias("__z"), masked(F.array_distinct("__t")).alias("__d"))
-    samples = F.sequence(F.lit(0), F.lit(n_samples - 1))
-    toks = toks.select("__id", "__d", F.transform(samples, lambda s: scorer(F.transform(
-        F.filter("__z", lambda p: kept(p, s)), lambda p: p["w"]))).alias("__f"))
-
-    def total(p: Column | None) -> Column:
-        f = F.transform("__f", lambda v, s: F.when(kept(p, s), v).otherwise(F.lit(0.0))) if p is not None else F.col("__f")
-        return F.aggregate(f, F.lit(0.0), lambda t, v: t + v)
-    toks = toks.withColumn("__all", total(None))
-    per = F.transform("__d", lambda p: F.struct(p["w"].alias("word"), total(p).alias("on"), F.aggregate(
-        F.transform("__f", lambda v, s: kept(p, s).cast("long")), F.lit(0).cast("long"), lambda t, v: t + v).alias("n_kept")))
-    x = toks.select("__id", "__all", F.inline(per))
+    toks = toks.select("__id", "__d", F.array(*[score(s) for s in range(n_samples)]).alias("__f"))
+    toks = toks.withColumn("__all", F.aggregate("__f", F.lit(0.0), lambda t, v: t + v))
+    x = toks.select("__id", "__f", "__all", F.explode("__d").alias("__p"))
+    p = F.col("__p")
+    on = sum((F.when(kept(p, s), F.get("__f", F.lit(s))).otherwise(F.lit(0.0)) for s in range(n_samples)), F.lit(0.0))
+    n_kept = sum((F.bit_count(p[f"b{i}"].bitwiseAND(F.lit((1 << min(32, n_samples - 32 * i)) - 1))) for i in range(blocks)),
+                 F.lit(0)).cast("long")
+    x = x.select("__id", "__all", p["w"].alias("word"), on.alias("on"), n_kept.alias("n_kept"))
     off = F.lit(n_samples) - F.col("n_kept")
     return x.select(F.col("__id").alias(id_col), "word",
                     (F.try_divide("on", "n_kept") - F.try_divide(F.col("__all") - F.col("on"), off)).alias("weight"),
