@@ -35,7 +35,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP, PART_OVERLAP, SHINGLE = 0.8, 0.5, 5
 SHARD, BLOCK = 4096, 16
-_SLICE = 1 << 22
+_SLICE = 1 << 19
 
 
 @dataclass
@@ -50,6 +50,7 @@ class Shard:
     block_at: np.ndarray     # terms + 1
     block_id: np.ndarray
     block_max: np.ndarray
+    block_post: np.ndarray   # entries + 1: each (term, block)'s first posting
     shingle_at: np.ndarray   # items + 1
     shingles: np.ndarray     # each item's distinct shingle hashes
     part: np.ndarray         # bit 1: in the question, bit 2: in the answer
@@ -100,11 +101,13 @@ def build_shard(ids: np.ndarray, questions: list[str], answers: list[str | None]
     impact = idf[p_term] * tf * (K1 + 1) / (tf + norm[p_item])
     impact = (impact / np.bincount(p_item, weights=impact)[p_item]).astype(np.float32)
     blocks = n_items // BLOCK + 1
-    bcell, binv = np.unique(p_term * blocks + p_item // BLOCK, return_inverse=True)
+    block_of = p_term * blocks + p_item // BLOCK  # ascending, as postings are sorted
+    bcell, binv = np.unique(block_of, return_inverse=True)
     bmax = np.zeros(len(bcell), np.float32)
     np.maximum.at(bmax, binv, impact)
     at = lambda x: np.searchsorted(x, np.arange(len(terms) + 1))
     return Shard(ids[keep], terms, at(p_term), p_item, impact, at(bcell // blocks), bcell % blocks, bmax,
+                 np.append(np.searchsorted(block_of, bcell), len(block_of)),
                  np.cumsum([0] + [len(r[1]) for r in rows]), np.concatenate([r[1] for r in rows]),
                  np.concatenate([r[2] for r in rows]).astype(np.int8), int(length.max()))
 
@@ -141,24 +144,23 @@ def retrieve(s: Shard, pid: np.ndarray, term: np.ndarray, threshold: float) -> t
     # bounds: sums of block maxima
     k = s.block_at[term + 1] - s.block_at[term]
     at = ranges(s.block_at[term], k)
-    bound = np.bincount(np.repeat(pid, k) * blocks + s.block_id[at], weights=s.block_max[at], minlength=n_p * blocks)
-    opened = np.flatnonzero(bound >= threshold * slack)
+    cell = np.repeat(pid, k) * blocks + s.block_id[at]
+    bound = np.bincount(cell, weights=s.block_max[at], minlength=n_p * blocks)
+    open_ = bound >= threshold * slack
+    opened = np.flatnonzero(open_)
     if not len(opened):
         return empty
-    # open these blocks only: postings of the passage's terms inside them
-    op, ob = opened // blocks, opened % blocks
-    lo, hi = np.searchsorted(pid, op), np.searchsorted(pid, op, "right")
-    n = hi - lo
-    t = term[ranges(lo, n)]
-    cell, blk = np.repeat(np.arange(len(op)), n), np.repeat(ob, n)
-    k = s.post_at[t + 1] - s.post_at[t]
-    at = ranges(s.post_at[t], k)
-    cell, blk = np.repeat(cell, k), np.repeat(blk, k)
-    it = s.post_item[at]
-    ok = it // BLOCK == blk
-    score = np.bincount(cell[ok] * BLOCK + it[ok] % BLOCK, weights=s.post_impact[at][ok], minlength=len(op) * BLOCK)
+    # postings inside the opened blocks only
+    keep = open_[cell]
+    at = at[keep]
+    row = (np.cumsum(open_) - 1)[cell[keep]]
+    k = s.block_post[at + 1] - s.block_post[at]
+    post = ranges(s.block_post[at], k)
+    score = np.bincount(np.repeat(row, k) * BLOCK + s.post_item[post] % BLOCK, weights=s.post_impact[post],
+                        minlength=len(opened) * BLOCK)
     hit = np.flatnonzero(score >= threshold * slack)
-    return op[hit // BLOCK], ob[hit // BLOCK] * BLOCK + hit % BLOCK, score[hit]
+    c = opened[hit // BLOCK]
+    return c // blocks, c % blocks * BLOCK + hit % BLOCK, score[hit]
 
 
 def _matches(shards: list[Shard], buf: np.ndarray, offs: np.ndarray, threshold: float):
