@@ -48,7 +48,20 @@ def _op5(spark, sf_dir):
     return c.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-@register("op6_recompression")
+_OP6_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i+12], ' ')) AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+f AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY gram) AS m FROM g) WHERE doc_id > m),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM f),
+x AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+k AS (SELECT x.doc_id, count(c.p) AS gone, string_agg(word, ' ' ORDER BY x.p) FILTER (c.p IS NULL) AS kept
+      FROM x LEFT JOIN c ON c.doc_id = x.doc_id AND c.p = x.p GROUP BY x.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@register("op6_recompression", _OP6_SQL)
 def _op6(spark, sf_dir):
     """Every word covered by a 13-word window that an earlier document has goes."""
     from trustframe.llm import substring_dedup
