@@ -47,8 +47,7 @@ def main(sf_dir: str) -> None:
     feats = enc.feature_names()
     x = models.assemble(x, feats).cache()
 
-    model = models.train(x.where("split = 'train'"), "logistic_regression", "y", "weight",
-                         n=x.count())
+    model = models.train(x.where("split = 'train'"), "logistic_regression", "y", "weight")
     test = model.transform(x.where("split = 'test'")).select(
         "o_orderkey", "o_orderstatus", "y",
         vector_to_array("probability")[1].alias("p"), F.col("prediction").alias("yhat"))
