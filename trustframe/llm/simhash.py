@@ -32,7 +32,7 @@ from trustframe.llm.textarrays import LOWER, slices, split_words, text_bytes
 from trustframe.session import cut_lineage
 
 BITS = 64
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20
 
 
 # ---- fingerprints ---------------------------------------------------------
