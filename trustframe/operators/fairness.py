@@ -253,11 +253,12 @@ def apply_gates(metrics: DataFrame, gates: DataFrame,
                ("double", "float", "long", "integer")}
     names = [m for m in metrics.columns if m in numeric and m not in ids]
     values = F.create_map(*[x for m in names for x in (F.lit(m), F.col(m).cast("double"))])
-    # every gate meets every row: gates without a metric of that name have no value and fail
-    g = gates.select(F.collect_list(F.struct("metric", "lo", "hi")).alias("__gates"))  # one row per metric
-    g = metrics.select(*ids, values.alias("__v")).withColumn("__one", F.lit(1)) \
-        .join(F.broadcast(g.withColumn("__one", F.lit(1))), "__one")
-    j = g.select(*ids, "__v", F.inline("__gates")).select(
+    # every gate meets every row, so a gate without a metric of that name has no value and fails;
+    # the gates (one row per metric) travel as literals
+    rows = [F.struct(F.lit(r["metric"]).alias("metric"), F.lit(r["lo"]).cast("double").alias("lo"),
+                     F.lit(r["hi"]).cast("double").alias("hi")) for r in gates.collect()]
+    every = F.array(*rows) if rows else F.array().cast("array<struct<metric:string,lo:double,hi:double>>")
+    j = metrics.select(*ids, values.alias("__v"), F.inline(every)).select(
         *ids, "metric", F.try_element_at("__v", F.col("metric")).alias("value"), "lo", "hi")
     v = F.col("value")
     ok = v.isNotNull() & ~F.isnan(v) & (v >= F.col("lo")) & (v <= F.col("hi"))
