@@ -4,11 +4,11 @@ Lines are hashed. Of every ``run`` consecutive lines the one with the smallest
 hash (the first, on ties) is a fingerprint, so any repeated run of that many
 lines has a fingerprint in common with its earlier copy, wherever the two
 stand. Fingerprints that occur at one position only are dropped after an
-aggregation; a window of ``run`` lines goes on only if its fingerprint is shared. Matches are
-then extended line by line to both sides: each of these windows is compared as a
-whole, and the windows on the left and right of a match that match too make the
-repeated run. Of equal windows the first in (id, position) stays; every line
-covered by a later one is deleted.
+aggregation; a window of ``run`` lines goes on only if its fingerprint is shared. Each of
+these windows is then compared as a whole, by the hash of its lines: the window hash
+decides, and a longer repeated run is the windows in it that match one by one. Of
+equal windows the first in (id, position) stays; every line covered by a later one
+is deleted. A repeated line that is in no repeated window stays, however long it is.
 
 DataFrame functions only. What is exploded and shuffled are hashes, one row per window;
 frequent lines are pre-aggregated and joined with AQE's skew handling.
