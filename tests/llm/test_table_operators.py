@@ -54,6 +54,21 @@ def test_alignment_is_a_longest_common_subsequence():
     assert html_text.shared_lines(np.r_[9999, a], np.r_[b, 8888]).sum() >= 2980
 
 
+def test_alignment_of_long_pages_is_exact(monkeypatch):
+    # one more early copy of a line that repeats shifts all its later pairs
+    a = np.stack([np.arange(1, 1101), np.zeros(1100, np.int64)], 1).ravel()
+    assert html_text.shared_lines(np.r_[-1, a, -2], np.r_[-3, 0, a, -4]).sum() == 2200
+    monkeypatch.setattr(html_text, "CELLS", 3)
+    r = np.random.default_rng(5)
+    for _ in range(80):
+        a, b = r.integers(0, 7, r.integers(0, 40)), r.integers(0, 7, r.integers(0, 40))
+        got = html_text.shared_lines(a, b)
+        rest = iter(b.tolist())
+        assert got.sum() == lcs(a.tolist(), b.tolist()) and all(v in rest for v in a[got].tolist())
+    a, b = np.r_[r.integers(0, 3, 200), 9], r.integers(0, 3, 300)  # masks of frequent lines
+    assert html_text.shared_lines(a, b).sum() == lcs(a.tolist(), b.tolist())
+
+
 def test_template_lines_of_the_nearest_page_go(spark):
     page = lambda body, menu: f"<div>{menu}</div><div>Acme News</div>{body}<div>All rights</div>"
     rows = [(1, "http://h.example/a/1", page("<p>first story</p><p>more</p>", "Home About")),
