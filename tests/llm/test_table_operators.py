@@ -35,6 +35,30 @@ def test_lines_leave_out_what_is_not_the_article():
     assert html_text.page_lines("1 < 2 <b>x</b>") == [("1 < 2 x", 0)]
 
 
+def test_article_text_survives_common_markup():
+    body = "<h1>Title</h1><p>" + "The text of the article, with many words in it. " * 4 + "</p>"
+    want = ["Title", ("The text of the article, with many words in it. " * 4).strip()]
+    text = lambda page: html_text.main_text(html_text.page_lines(page), []).split("\n")
+    foot = "<div class='site-footer'>foot</div><div class='related-posts'>more</div><div class='nav2 share-buttons'>s</div>"
+    for page in (f"<div class='content-sidebar-wrap'><article>{body}</article></div>", f"<article class='post has-comments'>{body}</article>",
+                 f"<div class='no-sidebar'><article>{body}</article></div>", f"<div class='sidebar widget'><main>{body}</main></div>",
+                 f"<article class='widget'>{body}</article>", f"<main>{body}</main><article>teaser card</article>",
+                 f"<p><b>x</b><div class='sidebar'><p><i></i><article>{body}</article></div>",
+                 f"<div class='content'>{body}<article>teaser</article></div>"):
+        got = text(page + foot)
+        assert got[:2] == want and set(got[2:]) <= {"teaser"}, page
+    assert text("<article><section id='social-history'><p>a</p></section><h2 id='related-work'>b</h2><h2 id='copyright-law'>c</h2>"
+                "<h3 class='related'>d</h3></article>") == ["a", "b", "c", "d"]
+    # main's lines outside its article stay, and main with a teaser keeps its body
+    assert text(f"<main><h1>Head</h1><article>{body}</article></main>{foot}") == ["Head", *want]
+    assert text(f"<main>{body}<article>teaser</article></main>") == [*want, "teaser"]
+    # still left out: what is named as boilerplate, marked or not
+    assert text(f"<main>{body}<div id='comments'><article>first</article><article>second</article></div>"
+                "<div class='sidebar'><article>teaser</article></div><div class='cookie-notice'>c</div></main>") == want
+    assert text(f"<div class='sidebar'><article>{body}<div class='share'>s</div></article></div>") == want
+    assert text(f"<div>top</div><div class='wrap content'><p>crumbs</p><article>{body}</article></div>") == want
+
+
 def lcs(a, b):
     t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
