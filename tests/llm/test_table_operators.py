@@ -327,6 +327,15 @@ def test_shards_mix_uniformly(spark):
     assert abs(seen - 300).max() < 75  # 300 a cell, about 15 standard deviation
 
 
+def test_repeated_rows_part(spark):
+    d = spark.range(2000, numPartitions=4).select((F.col("id") - F.col("id") % 2).alias("doc_id"))
+    by = defaultdict(list)
+    for r in shuffle_shards.shuffle_into_shards(d, 8).collect():
+        by[r.doc_id].append(r.shard)
+    together = sum(a == b for a, b in by.values())
+    assert len(by) == 1000 and abs(together - 125) < 55  # 1 in 8, about 10 standard deviation
+
+
 # ---- the pipeline ----
 
 def test_pipeline_stages(spark):

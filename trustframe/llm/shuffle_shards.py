@@ -1,8 +1,8 @@
 """Uniform shuffle into shards of exact sizes by a hypergeometric
 communication matrix.
 
-1. Each writing task permutes its rows locally (a seeded hash orders them) and
-   writes them once; (part, rank) names a row from then on.
+1. Each writing task permutes its rows locally (a seeded hash of a row's columns and
+   of its number orders them, so equal rows part too) and writes them once; (part, rank) names a row from then on.
 2. Under a uniform shuffle, the number of rows that each part sends to each shard
    is a random table with fixed margins: the parts' counts and the shards'
    sizes. It is drawn exactly by halving: the rows that a range of parts sends to
@@ -134,13 +134,13 @@ def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = 42, columns: l
 
     Every row of docs gets one (shard, slot), repeated rows and rows of nulls
     too; shard sizes differ by at most one; all assignments are equally likely.
-    The result depends on how the input is cut into tasks, not on the
-    order in which rows are read. An empty table gives an empty result. Names
+    The result depends on how the input is cut into tasks and on the order in which
+    a task reads its rows; the numbering is committed once. An empty table gives an empty result. Names
     that clash get a leading "_"."""
     columns = docs.columns if columns is None else columns
     part, rank, shard, slot = free_names(docs, "__part", "__rank", "shard", "slot")
     src = docs.select(*[F.col(f"`{c}`") for c in columns])
-    order = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns])
+    order = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id())
     rows = local_ranks(src, order, part, rank)
     counts = cut_lineage(rows.groupBy(F.col(part).alias("part")).agg(F.count("*").alias("n")))
     matrix = cut_lineage(communication_matrix(counts, shards, seed + 1))
