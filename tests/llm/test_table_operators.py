@@ -232,6 +232,23 @@ def test_classifier_learns_and_thresholds_by_language(spark):
     assert np.allclose(sorted(out.score), sorted(other.score), atol=1e-6)
 
 
+def test_cuts_use_all_rows_outside_the_fit(spark):
+    r = np.random.default_rng(2)
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = i % 3 == 0
+        w = [f"w{k}" for k in r.integers(0, 200, 20)] + (["vile", "nasty"] if toxic else [])
+        rows.append((i, " ".join(w), "fr" if i % 8 == 0 else "en"))
+        labels.append((i, int(toxic)))
+    rows += [(2, "another text of a repeated id", "en")] * 400
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    m = toxicity.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"), max_rows=120)
+    # about 33 of the 50 positives of fr are on the training side; a fifth of 60 drawn would be no 30
+    assert set(m.cuts) == {"en", "fr"}
+    out = toxicity.score(d.where("doc_id <> 2"), m).toPandas()
+    assert (out.rejected == (out.doc_id % 3 == 0)).mean() > 0.9
+
+
 def test_classifier_edges(spark, edge, none):
     lab = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     for labels in (lab, lab.limit(0), lab.where("toxic = 1")):

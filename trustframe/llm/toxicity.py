@@ -8,13 +8,14 @@ passages differs from one with a single odd word. The pooled maxima and the log
 of the length go through one hidden layer to a logit.
 
 The score is a calibrated probability, moved so that 0.7 is the cut with the best
-F1 on held-back training rows. Each language also gets its own cut, found the same
-way among its held-back rows; a language with fewer than ``MIN_PER_LANG``
-positives there uses 0.7. Language, source, id and labels are not inputs of a
+F1 on the labelled training-side rows that the fit did not use. Each language also gets
+its own cut, found the same way among its rows of these; a language with fewer than
+``MIN_PER_LANG`` positives or negatives there uses 0.7. Language, source, id and labels are not inputs of a
 score.
 
 The fit uses a sample of labelled rows, bounded by ``max_rows``; it is the only part
-that runs in the driver. Scoring is one pass over the table in Arrow batches.
+that runs in the driver, besides the cuts, which it reads off counts by language, label and
+bin of the logit. Scoring is one pass over the table in Arrow batches.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ BUCKETS, DIM, FILTERS, WIDTHS, SEGMENTS, TOP, HIDDEN = 1 << 16, 16, 12, (1, 2, 3
 TAIL = max(WIDTHS) - 1
 PAD = TAIL + 1  # so that a filter on the row of an empty text sees padding only
 CUT, MIN_PER_LANG = 0.7, 30
+#: bins of a logit: width, and the number on each side of 0
+BIN, BINS = 1 / 128, 8192
 _SLICE = 1 << 19
 
 
@@ -196,8 +199,9 @@ def _best_cut(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     return float((s[i] + s[i + 1]) / 2) if i + 1 < len(s) else float(s[i]) - 1e-6
 
 
-def calibrate(m: Model, z: np.ndarray, y: np.ndarray, w: np.ndarray, lang: list[str | None]) -> None:
-    """Sets scale and shift (Platt's fit, then the best cut moved to CUT) and the languages' cuts."""
+def calibrate(m: Model, z: np.ndarray, y: np.ndarray, w: np.ndarray, lang: list[str | None], n: np.ndarray) -> None:
+    """Sets scale and shift (Platt's fit, then the best cut moved to CUT) and the languages' cuts.
+    An entry stands for ``n`` rows, which weigh ``w`` together."""
     if 0 < y.sum() < len(y):
         a, b, zs = 1.0, 0.0, float(max(1.0, np.abs(z).max()))
         x = z / zs
@@ -219,7 +223,7 @@ def calibrate(m: Model, z: np.ndarray, y: np.ndarray, w: np.ndarray, lang: list[
     m.cuts = {}
     for x in np.unique(langs):
         k = langs == x
-        if x and y[k].sum() >= MIN_PER_LANG and (1 - y[k]).sum() >= MIN_PER_LANG:
+        if x and (n * y)[k].sum() >= MIN_PER_LANG and (n * (1 - y))[k].sum() >= MIN_PER_LANG:
             m.cuts[str(x)] = _best_cut(s[k], y[k], w[k])
 
 
@@ -234,8 +238,9 @@ def held_out(id_col: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang", label_col: str = "toxic") -> Model:
     """Model from labelled rows whose crc32(id) mod 3 is not 1. Of each class, about half of
-    ``max_rows`` at most are drawn by a hash of the id; one in five is held
-    back for calibration. Rows without id or label are not used; without both classes the
+    ``max_rows`` at most are drawn by a hash of the id, and four in five of them fitted; all
+    others, drawn or not, choose the scale and the cuts. Of rows with one id one is used.
+    Rows without id or label are not used; without both classes the
     model gives every text the share of the class there is."""
     lab = (labels.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{label_col}`").cast("int").alias("y"))
            .where(F.col("i").isNotNull() & F.col("y").isin(0, 1)).where(~held_out(F.col("i"))).groupBy("i").agg(F.max("y").alias("y")))
@@ -244,8 +249,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, seed: int = 7,
     rates = {y: min(1.0, max_rows / 2 / max(1, n.get(y, 0))) for y in (0, 1)}
     pick = lab.where(u < F.when(F.col("y") == 1, rates[1] * 1e6).otherwise(rates[0] * 1e6))
     # at most about max_rows ids: the texts of the whole table are not shuffled for them
-    got = (docs.select(F.col(f"`{id_col}`").alias("i"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"), F.col(f"`{lang_col}`").cast("string").alias("g"))
-           .join(F.broadcast(pick), "i").toArrow())
+    src = docs.select(F.col(f"`{id_col}`").alias("i"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"), F.col(f"`{lang_col}`").cast("string").alias("g"))
+    one = F.xxhash64("t", "g")  # of the rows of an id, the one with the smallest
+    got = (src.join(F.broadcast(pick), "i").groupBy("i", "y").agg(F.min_by(F.struct("t", "g"), one).alias("x"))
+           .select("i", "y", "x.t", "x.g").toArrow())
     order = np.argsort(np.array([str(x) for x in got["i"].to_pylist()], dtype=object), kind="stable")
     got = got.take(pa.array(order))
     y = np.asarray(got["y"].to_pylist(), np.float32)
@@ -258,13 +265,31 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, seed: int = 7,
         return m
     back = np.random.default_rng(seed).permutation(len(y)) % 5 == 0
     m = train(texts.filter(pa.array(~back)), y[~back], seed)
-    buf, offs = text_bytes(texts.filter(pa.array(back)))
-    lang = [x for x, b in zip(got["g"].to_pylist(), back) if b]
-    w = np.where(y[back] > 0, 1 / rates[1], 1 / rates[0])
-    calibrate(m, logits(m, buf, offs), y[back], w, lang)
+    fitted = docs.sparkSession.createDataFrame([(i,) for i, b in zip(got["i"].to_pylist(), back) if not b], pick.select("i").schema)
+    rest = (_logit_bins(src.where(F.col("i").isNotNull() & ~held_out(F.col("i"))).withColumn("h", one), m)
+            .groupBy("i").agg(F.min(F.struct("h", "g", "k")).alias("x"))
+            .join(lab.join(F.broadcast(fitted), "i", "left_anti"), "i")
+            .groupBy("x.g", "x.k", "y").agg(F.count("*").alias("n")).orderBy("g", "k", "y").toArrow())
+    z, n_at, of = (np.asarray(rest[c].to_pylist(), float) for c in ("k", "n", "y"))
+    # each class weighs what all its labelled rows do
+    used = {c: float((y[~back] == c).sum()) for c in (0, 1)}
+    left = {c: float(n_at[of == c].sum()) for c in (0, 1)}
+    w = n_at * np.where(of > 0, *((left[c] + used[c]) / max(1.0, left[c]) for c in (1, 0)))
+    calibrate(m, z * BIN, of, w, rest["g"].to_pylist(), n_at)
     return m
 
 
+def _logit_bins(rows: DataFrame, model: Model) -> DataFrame:
+    """(i, h, g, k) from (i, h, g, t): k is the bin of the text's logit."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in batches:
+            k = np.clip(np.rint(logits(shared.value, *text_bytes(b.column("t"))) / BIN), -BINS, BINS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("i"), b.column("h"), b.column("g"), pa.array(k)], ["i", "h", "g", "k"])
+    return rows.mapInArrow(run, rows.select("i", "h", "g").schema.add("k", "integer"))
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", columns: list[str] | None = None) -> DataFrame:
     """``columns`` of docs (all by default), score, predicted (score >= 0.7), cut (the
     language's) and rejected (score >= cut). Null texts score as empty ones. Clashing
