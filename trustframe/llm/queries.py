@@ -255,3 +255,25 @@ def _op7(spark, sf_dir):
     from trustframe.llm import line_dedup
     d = line_dedup.remove_repeated_runs(table(spark, sf_dir, "documents"), run=2, columns=["doc_id"])
     return d.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: (host, path, verdict)
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+_OP13_SQL = r"""
+WITH r AS (SELECT * FROM (VALUES @RULES) r(h, p, v)),
+x AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+u AS (SELECT host, path, arg_max({'rule': h || p, 'verdict': v}, length(h || p)) AS best
+      FROM (SELECT DISTINCT host, path FROM x) JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY host, path)
+SELECT page_id, x.host, x.path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
+FROM x LEFT JOIN u ON x.host = u.host AND x.path = u.path
+""".replace("@RULES", ", ".join(str(r) for r in URL_RULES))
+
+
+@register("op13_url_rules", _OP13_SQL)
+def _op13(spark, sf_dir):
+    """Verdict on the url of every page."""
+    from trustframe.llm import url_filter
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules, columns=["page_id"])
