@@ -277,3 +277,37 @@ def _op13(spark, sf_dir):
     from trustframe.llm import url_filter
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules, columns=["page_id"])
+
+
+_OP11_SQL = r"""
+WITH lab AS (SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic FROM labels GROUP BY doc_id),
+w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS low,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+             + 4 * (100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text))::INT
+             + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(w.doc_id > low, false)::INT AS mask
+      FROM w LEFT JOIN lab USING (doc_id)),
+c AS (SELECT part, mask, good, toxic, count(*) AS n FROM m GROUP BY ALL),
+l AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) l(f, b)),
+o AS (SELECT l1.f || l2.f || l3.f || l4.f || l5.f AS filter_order, [l1.b, l2.b, l3.b, l4.b, l5.b] AS bits
+      FROM l l1, l l2, l l3, l l4, l l5 WHERE l1.b + l2.b + l3.b + l4.b + l5.b = 31 AND l1.b | l2.b | l3.b | l4.b | l5.b = 31),
+s AS (SELECT filter_order, step, bits[step] AS b, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS earlier FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM o)),
+r AS (SELECT part, filter_order, step, b,
+             sum(n) FILTER (mask & (earlier | b) = 0) AS kept, sum(n) FILTER (mask & earlier = 0 AND mask & b <> 0) AS removed,
+             sum(n) FILTER (mask & earlier <> 0 AND mask & b <> 0) AS redundant, sum(n) FILTER (mask = b) AS unique_fails,
+             sum(n) FILTER (mask & earlier = 0 AND mask & b <> 0 AND good = 1) AS good_lost,
+             sum(n) FILTER (mask & earlier = 0 AND mask & b <> 0 AND toxic = 1) AS toxic_lost
+      FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+       coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, b), 0)::BIGINT AS shapley
+FROM r
+"""
+
+
+@register("op11_filter_audit", _OP11_SQL)
+def _op11(spark, sf_dir):
+    """What five filters remove from all documents, per language, in all 120 orders."""
+    from trustframe.llm import filter_audit
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("lang"))

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 _WS = np.zeros(256, bool)
@@ -24,6 +25,8 @@ PLAIN = LOWER.copy()
 PLAIN[[i for i in range(128) if not chr(i).isalnum()]] = 0x20
 
 _R, _Q = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)  # odd, so invertible mod 2^64
+_LOW = np.array([(1 << 8 * i) - 1 for i in range(9)], U64)  # the first i bytes of a number
+_LONG = 64
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
 
 
@@ -98,6 +101,48 @@ class Words:
             return mix(h + (self.end - self.start).astype(U64) * U64(0x2545F4914F6CDD1D))
 
 
+    def lanes(self) -> np.ndarray:
+        """The 8 bytes from each byte on, as one number (zeros after the end)."""
+        return np.ndarray((len(self.buf) + 1,), "<u8", np.concatenate([self.buf, np.zeros(8, np.uint8)]), strides=(1,))
+
+    def lane(self, lanes: np.ndarray, which: np.ndarray, k: int) -> np.ndarray:
+        """The k-th 8 bytes of some words, all longer than 8 k bytes; zeros after a word's end."""
+        left = np.minimum(self.end[which] - self.start[which] - 8 * k, 8)
+        return lanes[self.start[which] + 8 * k] & _LOW[left]
+
+    def strong_hashes(self) -> np.ndarray:
+        """64-bit hash of each word's bytes for comparing words: no two words of up to 8
+        bytes share it. Eight bytes at a time through a bijective mixer; words of over
+        ``_LONG`` bytes by XXH64."""
+        size = self.end - self.start
+        h = mix(size.astype(U64) + U64(1))
+        lanes, rest, k = self.lanes(), np.flatnonzero(size <= _LONG), 0
+        for i in np.flatnonzero(size > _LONG):
+            h[i] = xxhash.xxh64_intdigest(self.buf[self.start[i]:self.end[i]].tobytes(), 42)
+        while len(rest):
+            with np.errstate(over="ignore"):
+                h[rest] = mix(h[rest] * _R ^ self.lane(lanes, rest, k))
+            k += 1
+            rest = rest[size[rest] > 8 * k]
+        return h
+
+    def equal(self, mine: np.ndarray, other: "Words", theirs: np.ndarray) -> np.ndarray:
+        """Whether word mine[i] has the bytes of other's word theirs[i]."""
+        size = self.end[mine] - self.start[mine]
+        same = size == other.end[theirs] - other.start[theirs]
+        for i in np.flatnonzero(same & (size > _LONG)):
+            a, b = mine[i], theirs[i]
+            same[i] = bool((self.buf[self.start[a]:self.end[a]] == other.buf[other.start[b]:other.end[b]]).all())
+        rest, k, x, y = np.flatnonzero(same & (size <= _LONG)), 0, self.lanes(), other.lanes()
+        while len(rest):
+            ok = self.lane(x, mine[rest], k) == other.lane(y, theirs[rest], k)
+            same[rest[~ok]] = False
+            k += 1
+            rest = rest[ok]
+            rest = rest[size[rest] > 8 * k]
+        return same
+
+
 def split_words(buf: np.ndarray, offs: np.ndarray, table: np.ndarray | None = None) -> Words:
     if table is not None:
         buf = table[buf]
