@@ -311,3 +311,26 @@ def _op11(spark, sf_dir):
     """What five filters remove from all documents, per language, in all 120 orders."""
     from trustframe.llm import filter_audit
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("lang"))
+
+
+_OP12_SQL = r"""
+WITH a AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+t AS (SELECT count(*) AS nn, sum(len(ts))::BIGINT AS ll FROM a WHERE len(ts) > 0),
+p AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM a) GROUP BY ALL),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, t GROUP BY term),
+x AS (SELECT a.rid, a.doc_id, 10 + ((90 * len(ts) * nn) // ll)::BIGINT AS m FROM a, t),
+s AS (SELECT item_id, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN x USING (rid) GROUP BY item_id, rid)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s JOIN x USING (rid) WHERE score > 0) WHERE rank <= 10
+"""
+
+
+@register("op12_lexical_search", _OP12_SQL)
+def _op12(spark, sf_dir):
+    """The ten best of all documents for each benchmark item."""
+    from trustframe.llm import lexical_search
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
