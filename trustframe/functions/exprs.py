@@ -35,6 +35,13 @@ def order_key(id_col: str | Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
 
 
+def uniform(*parts: Column) -> Column:
+    """Uniform in [0, 1) from the first 52 bits of md5('p1:p2:...'): exact in
+    a double and reproducible by any SQL engine with md5."""
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 13), 16, 10)
+    return h.cast("double") / F.lit(float(1 << 52))
+
+
 def round_half_away(c: Column, digits: int) -> Column:
     """round(x * 10^d) / 10^d with ties away from zero, in plain IEEE double
     arithmetic (multiply, exact floor/ceil, one division), so two engines
