@@ -203,15 +203,40 @@ def reference_profile(ref: DataFrame, numeric: Sequence[str], categorical: Seque
     """The reference kept as a histogram (feature, kind, v_num, v_str, n)
     instead of raw rows; write it once, compare many batches against it.
     One scan: numeric and categorical columns are tagged by one generator."""
+    long = tagged_values(ref, numeric, categorical)
+    return long.groupBy("feature", "kind", "v_num", "v_str").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tagged_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per value that is not missing: ``keep``, feature, kind, v_num, v_str."""
     tags = [F.struct(F.lit(c).alias("feature"), F.lit("numeric").alias("kind"),
                      nan_to_null(F.col(c).cast("double")).alias("v_num"),
                      F.lit(None).cast("string").alias("v_str")) for c in numeric]
     tags += [F.struct(F.lit(c).alias("feature"), F.lit("categorical").alias("kind"),
                       F.lit(None).cast("double").alias("v_num"),
                       F.col(c).cast("string").alias("v_str")) for c in categorical]
-    long = ref.select(F.inline(F.array(*tags))) \
+    return df.select(*keep, F.inline(F.array(*tags))) \
         .where(F.col("v_num").isNotNull() | F.col("v_str").isNotNull())
-    return long.groupBy("feature", "kind", "v_num", "v_str").agg(F.count(F.lit(1)).alias("n"))
+
+
+def windowed_drift(profile: DataFrame, counts: DataFrame, threshold: float = DATA_DRIFT) -> DataFrame:
+    """D4 for every window of ``counts`` (window_start, feature, kind, v_num, v_str, n) against one stored
+    profile (D6): window_start, feature, method, score, drifted. Values of features the profile lacks are left out.
+
+    The profile's values stand once per window that has the feature, since a value the window lacks counts
+    too; window and feature together are the key, so windows are spread like features."""
+    key = F.concat(F.unix_micros(F.col("window_start").cast("timestamp")).cast("string"), F.lit(":"), F.col("feature"))
+    cur = counts.select("window_start", "feature", "kind", "v_num", "v_str", "n", key.alias("k"))
+    wins = cur.select("k", F.col("feature").alias("f")).distinct()
+    ref = profile.join(wins, F.col("feature") == F.col("f")).select("k", "kind", "v_num", "v_str", F.col("n").alias("cnt_ref"), F.lit(0).cast("long").alias("cnt_cur"))
+    known = profile.select(F.col("feature").alias("f"), F.col("kind").alias("fk")).distinct()
+    mine = cur.join(known, (F.col("feature") == F.col("f")) & (F.col("kind") == F.col("fk"))).select(
+        "k", "kind", "v_num", "v_str", F.lit(0).cast("long").alias("cnt_ref"), F.col("n").alias("cnt_cur"))
+    h = ref.unionByName(mine).groupBy(F.col("k").alias("feature"), "kind", "v_num", "v_str").agg(
+        F.sum("cnt_ref").alias("cnt_ref"), F.sum("cnt_cur").alias("cnt_cur"))
+    d = _drift_from_mixed(cut_lineage(h), threshold)
+    at = F.timestamp_micros(F.substring_index("feature", ":", 1).cast("long")).cast(counts.schema["window_start"].dataType)
+    return d.select(at.alias("window_start"), F.expr("substring(feature, instr(feature, ':') + 1)").alias("feature"), "method", "score", "drifted")
 
 
 def drift_alerts(per_feature: DataFrame, ts, threshold: float = DATA_DRIFT) -> DataFrame:

@@ -129,9 +129,10 @@ def drift_by_window(cur: DataFrame, ref: DataFrame, ts: str, col: str,
     eps = F.lit(ABSENT_SHARE)
     rc = ref.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("cat")) \
         .agg(F.count(F.lit(1)).alias("c"))
+    rc = cut_lineage(rc)
+    total = rc.agg(F.sum("c")).first()[0] or 1  # one scalar; the category table itself can be as long as a wide column
     # per reference category: share and its "absent from the window" term
-    rs = rc.select("cat", (F.col("c") / F.sum("c").over(Window.partitionBy())).alias("share_ref"))
-    # ^ over the reference category table (one row per category)
+    rs = rc.select("cat", (F.col("c") / F.lit(total)).alias("share_ref"))
     rs = rs.withColumn("absent_term", (eps - F.col("share_ref")) * F.log(eps / F.col("share_ref")))
     rs, small = materialize_small(rs)
     t_ref = rs.agg(F.sum("absent_term")).first()[0] or 0.0  # one scalar
@@ -224,3 +225,26 @@ def served_metrics(log: DataFrame, ts: str, violation: Column, latency: str,
     return log.groupBy(F.date_format(ts, "yyyy-MM-dd").alias("day")).agg(
         F.count(F.lit(1)).alias("n_predictions"), F.count_if(violation).alias("n_violations"),
         F.avg(latency).alias("mean_latency"), *cols)
+
+
+#: size parameter of the sketches and their rank error (as a share of the rows) at 99 % confidence
+SKETCH_K, SKETCH_ERROR = 200, 0.0165
+
+
+def latency_sketches(log: DataFrame, ts: str, latency: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per hour (and ``by``) a mergeable quantile sketch (KLL) of the latencies: hour, n, sketch. One aggregate with
+    partial sketches before the shuffle; a row per hour is stored, whatever the traffic. Missing latencies count nowhere."""
+    v = F.col(latency).cast("double")
+    rows = log.where(v.isNotNull() & ~F.isnan(v)).withColumn("__v", v)
+    return rows.groupBy(F.date_trunc("hour", ts).alias("hour"), *by).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("__v", F.lit(SKETCH_K)).alias("sketch"))
+
+
+def latency_percentiles(sketches: DataFrame, quantiles: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Stored hourly sketches merged by day: day, ``by``, n, q, estimate. The rank of an estimate is within
+    ``SKETCH_ERROR`` of q; no row of the log is read again."""
+    d = sketches.groupBy(F.date_format("hour", "yyyy-MM-dd").alias("day"), *by).agg(
+        F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"))
+    q = F.explode(F.array(*[F.struct(F.lit(float(x)).alias("q"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(x))).alias("estimate"))
+                            for x in quantiles])).alias("x")
+    return d.select("day", *by, "n", q).select("day", *by, "n", "x.q", "x.estimate")

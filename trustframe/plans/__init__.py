@@ -3,7 +3,7 @@ the DuckDB SQL that checks it."""
 
 import importlib
 
-_MODULES = ("fairness_q", "clean_q", "sampling_q", "weights_q", "encode_q", "drift_q", "metrics_q", "monitor_q", "explain_q", "stream_q", "models_q", "sources_q", "cases_q", "neighbors_q")
+_MODULES = ("fairness_q", "clean_q", "sampling_q", "weights_q", "encode_q", "drift_q", "metrics_q", "monitor_q", "explain_q", "stream_q", "models_q", "sources_q", "cases_q", "neighbors_q", "stages_q")
 
 
 def load_all():

@@ -10,7 +10,7 @@ from trustframe.operators import encode as en
 from trustframe.operators import sampling as sm
 from trustframe.plans.registry import T, register, rnd
 from trustframe.plans.sampling_q import split_sql
-from trustframe.session import ensure_checkpoint_dir
+from trustframe.session import cut_lineage, ensure_checkpoint_dir
 
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -82,7 +82,7 @@ def encode_train_apply(spark, sf):
     """X5 + X6 (without SMOTE): split, fit on train only, apply to every split."""
     o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice",
                                       "o_orderpriority")
-    s = sm.stratified_split(o, ["o_orderstatus"], "o_orderkey", 42).cache()
+    s = cut_lineage(sm.stratified_split(o, ["o_orderstatus"], "o_orderkey", 42))
     m = en.fit_encoder(s.where(F.col("split") == "train"), ["o_totalprice"], ["o_orderpriority"])
     return m.transform(s, keep=["o_orderkey", "split"])
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +74,23 @@ def append_history(df: DataFrame, path: str, ts_col: str = "ts") -> None:
         .partitionBy("date").parquet(path)
 
 
+def expire_history(spark: SparkSession, path: str, as_of: datetime, hours: int) -> list[str]:
+    """Drop the day partitions of a history (``append_history``) that ended ``hours`` or more before ``as_of``, as
+    whole folders; rows of the day the limit falls into stay. Returns the days dropped. Safe to repeat;
+    a path that isn't there has none."""
+    limit = as_of - timedelta(hours=hours)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for entry in fs.listStatus(root) if fs.exists(root) else []:
+        name = entry.getPath().getName()
+        if entry.isDirectory() and re.fullmatch(r"date=\d{4}-\d{2}-\d{2}", name):
+            day = name[5:]
+            if datetime.strptime(day, "%Y-%m-%d") + timedelta(days=1) <= limit and fs.delete(entry.getPath(), True):
+                gone.append(day)
+    return sorted(gone)
+
+
 def parse_requests(df: DataFrame, json_col: str, schema: str) -> DataFrame:
     """JSON request rows -> typed columns (explicit schema, no inference)."""
     return df.withColumn("_req", F.from_json(F.col(json_col), schema)).select("*", "_req.*") \
