@@ -267,3 +267,20 @@ def test_host_columns_and_empty(edge, none):
     assert d.columns[:len(cols)] == cols and "_n_words" in d.columns and d.count() == edge.count()
     assert host_rules.apply_host_rules(none, F.col("source"), columns=cols).count() == 0
     assert len(edge_rows()) == edge.count()
+
+
+def test_windows_of_long_words_that_differ_stay(spark):
+    parity = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = parity.translate(str.maketrans("ab", "ba"))
+    text = " ".join(f"w{i}" for i in range(6)) + " %s " + " ".join(f"w{i}" for i in range(6, 12))
+    docs = spark.createDataFrame([(1, text % parity), (2, text % other), (3, text % parity)], "doc_id long, text string")
+    got = substring_dedup.remove_repeats(docs, columns=["doc_id"]).select("doc_id", "n_removed").collect()
+    assert sorted(map(tuple, got)) == [(1, 0), (2, 0), (3, 13)]
+
+
+def test_buckets_follow_the_counted_bytes(spark, monkeypatch):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.sequence(F.col("id"), F.col("id") + 60)).alias("text"))
+    want = sorted(map(tuple, substring_dedup.remove_repeats(docs, buckets=1, columns=["doc_id"]).collect()))
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 16)
+    assert sorted(map(tuple, substring_dedup.remove_repeats(docs, columns=["doc_id"]).collect())) == want
+    assert substring_dedup.remove_repeats(docs.limit(0), columns=["doc_id"]).count() == 0

@@ -47,6 +47,7 @@ N_WORDS = 13
 ROUND_WORDS = (2, 3, 6)
 _NO_ID = (1 << 63) - 1  # a null id sorts after every id
 _SLICE = 1 << 22
+BUCKET_BYTES, MAX_BUCKETS = 20 << 20, 1 << 14
 
 
 def recompress(name: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +131,7 @@ def _parse(n: int, buckets: int):
                     continue
                 if len(text) >> 28:
                     raise ValueError("a text has 2^28 words or more")
-                name = w.hashes()
+                name = w.strong_hashes()
                 doc = all_doc[lo:hi]
                 sums = window_sums(name)
                 start, size = recompress(name, text)
@@ -274,11 +275,13 @@ def _text_hash(text_col: str):
 
 def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS,
                    buckets: int | None = None) -> DataFrame:
-    """(id, thash, marks): where windows of ``n`` words start again. ``buckets``
-    (a power of two; by default from spark.sql.shuffle.partitions) bounds what
-    one task holds at a time: about 9 bytes a word of the corpus over buckets."""
+    """(id, thash, marks): where windows of ``n`` words start again. ``buckets`` (a power of two)
+    bounds what one task holds at a time: about 9 bytes a word of the corpus over buckets. By default it follows
+    the counted bytes of the texts, ``BUCKET_BYTES`` of text a bucket, ``MAX_BUCKETS`` at most (16,384 buckets of
+    20 MB: some 0.3 TB of text; beyond that a bucket grows with the corpus)."""
     if buckets is None:
-        buckets = 1 << max(6, (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+        size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")).cast("long"))).first()[0] or 0
+        buckets = min(MAX_BUCKETS, 1 << max(6, (-(-size // BUCKET_BYTES) - 1).bit_length()))
     if n != N_WORDS:
         raise ValueError("the rounds' bounds are set for windows of 13 words")
     src = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID)).alias("id"),
@@ -295,7 +298,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     the text without every word covered by a window of ``n`` words that also
     starts in a document with a smaller id.
 
-    Null texts have no words. Rows with one id are one document: their windows
+    Null texts have no words; a text of 2^28 words or more raises; ids are numbers. Words are compared by a 64-bit hash
+    that no two words of up to 8 bytes share. Rows with one id are one document: their windows
     don't remove each other's; a null id counts as larger than every id.
     Kept words are joined by one space. Clashing names get a leading "_"."""
     columns = docs.columns if columns is None else columns
