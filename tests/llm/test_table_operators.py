@@ -166,7 +166,7 @@ def test_leaks_equal_shingle_search(spark, shard, monkeypatch):
 def test_block_max_retrieval_is_exact():
     r = np.random.default_rng(2)
     texts = [" ".join(f"w{k}" for k in r.zipf(1.3, r.integers(3, 40)) % 400) for _ in range(120)]
-    s = decontaminate.build_shard(np.arange(120), texts, [None] * 120)
+    s = decontaminate.build_shard(list(range(120)), decontaminate.parse_items(texts, [None] * 120))
     pairs = sorted({(p, int(t)) for p in range(40) for t in r.integers(0, len(s.terms), 60)})
     pid, term = (np.array(x) for x in zip(*pairs))
     for threshold in (0.05, 0.3, 0.6):
@@ -187,7 +187,7 @@ def test_leaks_edges(spark, edge, none):
     docs = spark.createDataFrame([(1, "x Alpha, beta gamma\ndelta one two three four five six."), (1, None), (2, "b a b"), (None, "solo item with no id here ok"), (3, "")],
                                  "doc_id long, text string")
     got = sorted({(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, index).collect()}, key=str)
-    assert got == sorted([(1, 1), (2, 2), (None, -1)], key=str)
+    assert got == sorted([(1, 1), (2, 2), (None, None)], key=str)
     assert decontaminate.drop_leaks(docs, index).count() == 2
     kept = decontaminate.drop_leaks(edge, index)
     assert kept.columns == edge.columns and kept.count() <= edge.count()
@@ -203,6 +203,47 @@ def test_leaks_edges(spark, edge, none):
         decontaminate.build_index(items, max_items=2)
 
 
+def test_scores_do_not_depend_on_the_shard(spark, monkeypatch):
+    items, docs = read(spark, "benchmark"), read(spark, "documents").select("doc_id", "text").unionByName(
+        read(spark, "benchmark").select((F.col("item_id") + 5000).alias("doc_id"), F.concat(F.lit("before it "), "text", F.lit(" and more after")).alias("text")))
+    got = []
+    for shard in (7, 4096, 1):
+        monkeypatch.setattr(decontaminate, "SHARD", shard)
+        index = decontaminate.build_index(items)
+        assert len(index) == -(-items.count() // shard)
+        got.append({(r.doc_id, r.item_id): (round(r.score, 4), r.overlap) for r in decontaminate.find_leaks(docs, index).collect()})
+    # a passage is as long as its shard's longest item allows, so the best passage of a pair may differ; its overlap not
+    assert got[0].keys() == got[1].keys() == got[2].keys() and len(got[0]) >= items.count()
+    assert {k: v[1] for k, v in got[0].items()} == {k: v[1] for k, v in got[1].items()}
+    parsed = decontaminate.parse_items([r.text for r in items.collect()], [None] * items.count())
+    stats = decontaminate.statistics(parsed)
+    whole = decontaminate.build_shard(list(range(len(parsed))), parsed, stats)
+    for at in range(0, len(parsed), 7):
+        s = decontaminate.build_shard(list(range(at, at + 7)), parsed[at:at + 7], stats)
+        for i, item in enumerate(s.items):
+            one = np.sort(s.post_impact[s.post_item == i])
+            assert np.allclose(one, np.sort(whole.post_impact[whole.post_item == whole.items.index(item)]))
+
+
+def test_leaks_with_text_ids_and_clashing_names(spark):
+    items = spark.createDataFrame([("q1", "one two three four five six"), (None, "seven eight nine ten eleven twelve")], "item_id string, text string")
+    docs = spark.createDataFrame([("d", "zero one two three four five six seven eight nine ten eleven twelve")], "score string, text string")
+    got = decontaminate.find_leaks(docs, decontaminate.build_index(items), id_col="score")
+    assert got.columns == ["_score", "item_id", "score", "overlap", "question_overlap", "answer_overlap", "first_word"]
+    assert sorted(((r["_score"], r.item_id) for r in got.collect()), key=str) == [("d", "q1"), ("d", None)]
+
+
+#: words that agree under any polynomial modulo 2^64
+PARITY = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+OTHER = PARITY.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_that_differ_are_no_leak(spark):
+    items = spark.createDataFrame([(1, f"one two {PARITY} three four five")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"one two {PARITY} three four five"), (2, f"one two {OTHER} three four five")], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.find_leaks(docs, decontaminate.build_index(items)).collect()] == [1]
+
+
 # ---- op4 ----
 
 def test_classifier_learns_and_thresholds_by_language(spark):

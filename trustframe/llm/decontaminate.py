@@ -17,7 +17,8 @@ those of its answer (an item without such columns is halved by words).
 
 The index grows with the test items alone. It is built in the driver from the
 collected items in shards of ``SHARD`` items, whose postings are broadcast; the
-number of items is checked against ``max_items`` first.
+number and the bytes of the items are checked first. Words are compared by a 64-bit hash that no two words of
+up to 8 bytes share.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, LongType
 
 from trustframe.llm.textarrays import PLAIN, Words, ranges, slices, split_words, text_bytes, window_hash, window_sums
 
@@ -35,6 +38,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP, PART_OVERLAP, SHINGLE = 0.8, 0.5, 5
 SHARD, BLOCK = 4096, 16
+MAX_BYTES = 256 << 20
 _SLICE = 1 << 19
 
 
@@ -42,7 +46,7 @@ _SLICE = 1 << 19
 class Shard:
     """Index of some items. Terms are 64-bit hashes, sorted; row i of a CSR
     array is term i's."""
-    items: np.ndarray        # item ids
+    items: list              # item ids
     terms: np.ndarray
     post_at: np.ndarray      # terms + 1
     post_item: np.ndarray    # item number, ascending within a term
@@ -55,6 +59,7 @@ class Shard:
     shingles: np.ndarray     # each item's distinct shingle hashes
     part: np.ndarray         # bit 1: in the question, bit 2: in the answer
     passage: int             # words of half a passage
+    id_type: DataType = LongType()
 
 
 def _shingles(w: Words, sums: np.ndarray, lo: int, hi: int) -> np.ndarray:
@@ -63,18 +68,38 @@ def _shingles(w: Words, sums: np.ndarray, lo: int, hi: int) -> np.ndarray:
     return np.unique(window_hash(sums, at, np.minimum(at + SHINGLE, hi)))
 
 
-def build_shard(ids: np.ndarray, questions: list[str], answers: list[str | None]) -> Shard | None:
-    """Items without words are left out. ``answers[i]`` None: the question's words are halved."""
-    keep, rows = [], []
-    for i, (q, a) in enumerate(zip(questions, answers)):
+@dataclass
+class Stats:
+    """What BM25 weighs by, over all items of all shards."""
+    n: int             # items with a word
+    words: int         # their words
+    terms: np.ndarray  # term hashes, ascending
+    df: np.ndarray     # items that hold each
+
+    def frequency(self, terms: np.ndarray) -> np.ndarray:
+        return self.df[np.searchsorted(self.terms, terms)]
+
+
+def statistics(parsed: list) -> Stats:
+    rows = [r for r in parsed if r is not None]
+    terms, df = np.unique(np.concatenate([np.unique(r[0]) for r in rows] or [np.zeros(0, np.uint64)]), return_counts=True)
+    return Stats(len(rows), sum(len(r[0]) for r in rows), terms, df)
+
+
+def parse_items(questions: list[str], answers: list[str | None]) -> list:
+    """(term hashes, shingle hashes, halves) of each item, None for one without words. ``answers[i]`` None: the question's
+    words are halved."""
+    rows = []
+    for q, a in zip(questions, answers):
         both = [x or "" for x in (q, a)]
         buf, offs = text_bytes(pa.array([" ".join(both).strip(), both[0]]))
         w = split_words(buf, offs, PLAIN)
         n = int(w.counts[0])
         if not n:
+            rows.append(None)
             continue
         cut = int(w.counts[1]) if a is not None else -(-n // 2)
-        h = w.hashes()[:n]
+        h = w.strong_hashes()[:n]
         sums = window_sums(h)
         allsh = _shingles(w, sums, 0, n)
         # shingles that start in a half belong to it
@@ -85,8 +110,15 @@ def build_shard(ids: np.ndarray, questions: list[str], answers: list[str | None]
         for half, bit in ((inq, 1), (ina, 2)):
             more = half[~np.isin(half, allsh)]
             allsh, part = np.concatenate([allsh, more]), np.concatenate([part, np.full(len(more), bit + 4)])
-        keep.append(i)
         rows.append((h, allsh, part))
+    return rows
+
+
+def build_shard(ids: list, parsed: list, stats: Stats | None = None) -> Shard | None:
+    """Index of the parsed items, weighed by ``stats`` (by default their own)."""
+    stats = stats or statistics(parsed)
+    keep = [i for i, r in enumerate(parsed) if r is not None]
+    rows = [parsed[i] for i in keep]
     if not keep:
         return None
     n_items = len(keep)
@@ -95,9 +127,9 @@ def build_shard(ids: np.ndarray, questions: list[str], answers: list[str | None]
     terms, t = np.unique(term, return_inverse=True)
     cell, tf = np.unique(t * n_items + item, return_counts=True)
     p_term, p_item = cell // n_items, cell % n_items
-    df = np.bincount(p_term, minlength=len(terms))
-    idf = np.log(1 + (n_items - df + 0.5) / (df + 0.5))
-    norm = K1 * (1 - B + B * length / length.mean())
+    df = stats.frequency(terms)
+    idf = np.log(1 + (stats.n - df + 0.5) / (df + 0.5))
+    norm = K1 * (1 - B + B * length * stats.n / stats.words)
     impact = idf[p_term] * tf * (K1 + 1) / (tf + norm[p_item])
     impact = (impact / np.bincount(p_item, weights=impact)[p_item]).astype(np.float32)
     blocks = n_items // BLOCK + 1
@@ -106,7 +138,7 @@ def build_shard(ids: np.ndarray, questions: list[str], answers: list[str | None]
     bmax = np.zeros(len(bcell), np.float32)
     np.maximum.at(bmax, binv, impact)
     at = lambda x: np.searchsorted(x, np.arange(len(terms) + 1))
-    return Shard(ids[keep], terms, at(p_term), p_item, impact, at(bcell // blocks), bcell % blocks, bmax,
+    return Shard([ids[i] for i in keep], terms, at(p_term), p_item, impact, at(bcell // blocks), bcell % blocks, bmax,
                  np.append(np.searchsorted(block_of, bcell), len(block_of)),
                  np.cumsum([0] + [len(r[1]) for r in rows]), np.concatenate([r[1] for r in rows]),
                  np.concatenate([r[2] for r in rows]).astype(np.int8), int(length.max()))
@@ -114,20 +146,25 @@ def build_shard(ids: np.ndarray, questions: list[str], answers: list[str | None]
 
 def build_index(items: DataFrame, id_col: str = "item_id", text_col: str = "text", question_col: str | None = None,
                 answer_col: str | None = None, max_items: int = 1_000_000) -> list[Shard]:
-    """Shards over all items. More than ``max_items`` raise: split the items and
-    search each part against all passages. Null ids are kept as -1."""
-    n = items.count()
-    if n > max_items:
-        raise ValueError(f"{n} test items; the broadcast index is bounded to {max_items}")
+    """Shards over all items; document frequencies and lengths are those of all items, so a score does not depend
+    on the shard. The index is built in the driver: more than ``max_items`` items, or more than ``MAX_BYTES`` bytes of them,
+    raise (split the items and search each part against all passages). Ids are kept as they are, of any type, null too."""
     q, a = question_col or text_col, answer_col
-    cols = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-1)).alias("i"), F.col(f"`{q}`").alias("q"),
+    size = F.sum(sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in (q, a) if c), F.lit(0)).cast("long"))
+    n, size = items.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    if n > max_items or size > MAX_BYTES:
+        raise ValueError(f"{n} test items of {size} bytes; the broadcast index is bounded to {max_items} and {MAX_BYTES}")
+    cols = [F.col(f"`{id_col}`").alias("i"), F.col(f"`{q}`").alias("q"),
             (F.coalesce(F.col(f"`{a}`"), F.lit("")) if a else F.lit(None).cast("string")).alias("a")]
-    rows = sorted(items.select(*cols).collect(), key=lambda r: (r.i, r.q or ""))
+    src = items.select(*cols)
+    rows = sorted(src.collect(), key=lambda r: (r.i is not None, r.i if r.i is not None else 0, r.q or ""))
+    parsed = parse_items([r.q for r in rows], [r.a for r in rows])
+    stats = statistics(parsed)
     found = []
     for at in range(0, len(rows), SHARD):
-        part = rows[at:at + SHARD]
-        s = build_shard(np.array([r.i for r in part], np.int64), [r.q for r in part], [r.a for r in part])
+        s = build_shard([r.i for r in rows[at:at + SHARD]], parsed[at:at + SHARD], stats)
         if s is not None:
+            s.id_type = src.schema["i"].dataType
             found.append(s)
     return found
 
@@ -169,7 +206,7 @@ def _matches(shards: list[Shard], buf: np.ndarray, offs: np.ndarray, threshold:
     w = split_words(buf, offs, PLAIN)
     if not len(w.start):
         return []
-    h = w.hashes()
+    h = w.strong_hashes()
     text = w.text_of()
     sums = window_sums(h)
     best = {}
@@ -209,9 +246,9 @@ def _matches(shards: list[Shard], buf: np.ndarray, offs: np.ndarray, threshold:
             got = (share(whole), share(part & 1 > 0), share(part & 2 > 0))
             if got[0] < OVERLAP or min(got[1:]) < PART_OVERLAP:
                 continue
-            key, value = (o, int(s.items[i])), (got[0], min(1.0, sc), got[1], got[2], -(lo - int(w.first[o])))
+            key, value = (o, s.items[i]), (got[0], min(1.0, sc), got[1], got[2], -(lo - int(w.first[o])))
             best[key] = max(best.get(key, value), value)
-    return [(o, i, v[1], v[0], v[2], v[3], -v[4]) for (o, i), v in sorted(best.items())]
+    return [(o, i, v[1], v[0], v[2], v[3], -v[4]) for (o, i), v in sorted(best.items(), key=lambda x: x[0][0])]
 
 
 def _shared(docs: DataFrame, shards: list[Shard]):
@@ -223,8 +260,12 @@ def find_leaks(docs: DataFrame, index: list[Shard], id_col: str = "doc_id", text
     """One row for each row of docs and test item found in its whole text: id,
     item_id, score, overlap, question_overlap, answer_overlap, first_word (of
     the passage, within the text). A null or empty text holds no item; every
-    repeated row has its own rows; equal items under several ids are all named."""
+    repeated row has its own rows; equal items under several ids are all named; very long texts are searched whole,
+    passage by passage. The id column keeps its name unless it is one of the others, then it gets a leading "_"."""
     shared = _shared(docs, index)
+    kind = index[0].id_type if index else LongType()
+    made = ["item_id", "score", "overlap", "question_overlap", "answer_overlap", "first_word"]
+    arrow = to_arrow_type(kind)
 
     def run(batches):
         for b in batches:
@@ -234,15 +275,16 @@ def find_leaks(docs: DataFrame, index: list[Shard], id_col: str = "doc_id", text
                 if m:
                     c = list(zip(*m))
                     yield pa.RecordBatch.from_arrays(
-                        [b.column("id").take(pa.array([lo + x for x in c[0]])), pa.array(c[1], pa.int64()),
+                        [b.column("id").take(pa.array([lo + x for x in c[0]])), pa.array(c[1], arrow),
                          *[pa.array(x, pa.float64()) for x in c[2:6]], pa.array(c[6], pa.int32())],
-                        ["id", "item_id", "score", "overlap", "question_overlap", "answer_overlap", "first_word"])
+                        ["id", *made])
 
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     schema = src.select("id").schema
-    for name in ("item_id long", "score double", "overlap double", "question_overlap double", "answer_overlap double", "first_word integer"):
+    schema = schema.add("item_id", kind)
+    for name in ("score double", "overlap double", "question_overlap double", "answer_overlap double", "first_word integer"):
         schema = schema.add(*name.split())
-    return src.mapInArrow(run, schema).withColumnRenamed("id", id_col if id_col != "item_id" else "id")
+    return src.mapInArrow(run, schema).withColumnRenamed("id", "_" * (id_col.lower() in made) + id_col)
 
 
 def drop_leaks(docs: DataFrame, index: list[Shard], text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
