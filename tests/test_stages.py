@@ -82,7 +82,7 @@ def test_weighted_f1_by_hand(spark):
 
 def test_sketches_merge_to_the_ranks_of_all_rows(spark):
     n = 60_000
-    log = spark.range(n).select(F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod("id", F.lit(48 * 3600))).alias("ts"),
+    log = spark.range(n).select(F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(F.col("id") * 37, F.lit(48 * 3600))).alias("ts"),
                                 F.when(F.col("id") % 1000 != 7, F.pow((F.col("id") * 7919) % n / n, 3)).alias("ms"))
     h = mo.latency_sketches(log, "ts", "ms")
     assert h.count() == 48

@@ -39,7 +39,7 @@ def runs(spark, sink, base, files=1, **kw):
 
 @pytest.fixture(scope="module")
 def arriving(spark, sf):
-    return stream_q.events_in_files(spark, sf, 7)
+    return stream_q.events_in_files(spark, sf, 7).removeprefix("file:")
 
 
 def test_files_per_trigger_do_not_change_runs(spark, sf, arriving):
