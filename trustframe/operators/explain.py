@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from trustframe.functions.exprs import uniform
 from trustframe.session import cut_lineage
 
 
@@ -103,11 +104,11 @@ def sampled_shapley(df: DataFrame, background: DataFrame, id_col: str, features:
     rows = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(f"x_{c}")
                                                    for c in features])
     perms = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("__m"))
-    perms = perms.withColumn("__bi", F.floor(_u_md5(F.lit(seed), F.lit("bg"), F.col("__id"),
+    perms = perms.withColumn("__bi", F.floor(uniform(F.lit(seed), F.lit("bg"), F.col("__id"),
                                                     F.col("__m")) * nb).cast("long"))
     perms = perms.join(F.broadcast(bg), "__bi")  # size checked above
     for c in features:
-        perms = perms.withColumn(f"k_{c}", _u_md5(F.lit(seed), F.col("__id"), F.col("__m"),
+        perms = perms.withColumn(f"k_{c}", uniform(F.lit(seed), F.col("__id"), F.col("__m"),
                                                   F.lit(c)))
     out = []
     for j in features:
@@ -128,17 +129,8 @@ def sampled_shapley(df: DataFrame, background: DataFrame, id_col: str, features:
         .withColumnRenamed("__id", id_col)
 
 
-def _u_md5(*parts: Column) -> Column:
-    """Uniform in [0, 1) from the first 52 bits of md5('p1:p2:...'): exact in
-    a double and reproducible by any SQL engine with md5 (used where an SQL
-    oracle must redraw the same values)."""
-    h = F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 13),
-               16, 10).cast("double")
-    return h / F.lit(float(1 << 52))
-
-
 def _draw(*parts) -> float:
-    """``_u_md5`` of constants, in Python."""
+    """``uniform`` of constants, in Python."""
     h = hashlib.md5(":".join(str(p) for p in parts).encode()).hexdigest()
     return int(h[:13], 16) / float(1 << 52)
 
