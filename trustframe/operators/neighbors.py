@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trustframe.session import cut_lineage
+from trustframe.session import cut_lineage, importable_in_tasks
 
 #: points of a block, visitors of a block in one task
 BLOCK, VISITORS = 2048, 65_536
@@ -161,6 +161,7 @@ def knn_self_join(df: DataFrame, id_col: str, vec: Column, k: int = 5, seed: int
     ``vec`` is an array of numbers, equally long in all rows; rows whose vector or id is null, or whose vector
     holds a null or NaN, have no neighbours and are none. Ids are unique (a row is no neighbour of rows with its id).
     ``report`` gets the numbers of points, pivots and visits (point and cell pairs beyond the own cell)."""
+    importable_in_tasks(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
     v = F.transform(vec, lambda x: x.cast("double") + F.lit(0.0))
     rows = df.select(F.col(id_col).alias("id"), v.alias("vec")).where(

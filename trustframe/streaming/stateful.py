@@ -19,6 +19,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from trustframe.operators.drift import DATA_DRIFT, tagged_values, windowed_drift
 from trustframe.operators.monitor import CONSECUTIVE, RETENTION_HOURS, count_aggregates
+from trustframe.session import importable_in_tasks
 
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -109,6 +110,7 @@ def violation_runs(windows: DataFrame, fail: Column, series: Sequence[str] = (),
     none of their windows is late. A window that comes twice counts once; a null verdict is no failure. Needs the RocksDB
     state store (set here)."""
     spark = windows.sparkSession
+    importable_in_tasks(spark)
     spark.conf.set(_PROVIDER, _ROCKS)
     series = list(series)
     names = series or ["__all"]
