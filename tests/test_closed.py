@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trustframe.functions.exprs import right_closed_bins
+from trustframe.functions.joins import materialize_small
 from trustframe.operators import clean, drift, encode, explain, fairness as fz, metrics
 from trustframe.operators import monitor, ranking, sampling, stats, weights
 
@@ -265,6 +266,44 @@ def test_sampled_shapley_linear_exact_with_one_background_point(spark):
     assert out[(2, "a")] == pytest.approx(2.0 * (-1.0 - 1.0))
 
 
+def test_sampled_shapley_background_bounds_and_missing_values(spark):
+    df = spark.createDataFrame([(1, 2.0, None), (1, 2.0, 3.0)], "id long, a double, b double")
+    bg = spark.createDataFrame([(1.0, 1.0), (3.0, float("nan"))], "a double, b double")
+
+    def only_a(c):
+        return c["a"] + F.coalesce(F.nanvl(c["b"], F.lit(0.0)), F.lit(0.0)) * 0
+    out = explain.sampled_shapley(df, bg, "id", ["a", "b"], only_a, n_perm=8).collect()
+    assert len(out) == 4  # repeated ids stay rows of their own
+    assert all(r.shap == 0 for r in out if r.feature == "b")
+    assert len({r.shap for r in out if r.feature == "a"}) == 1 and all(abs(r.shap) <= 1 for r in out)
+    with pytest.raises(ValueError):
+        explain.sampled_shapley(df, bg.limit(0), "id", ["a", "b"], only_a)
+
+
+def test_degradation_frame_is_time_not_rows(spark):
+    t0 = datetime(2024, 1, 1)
+    rows = [(t0, 0.9), (t0 + timedelta(hours=1), 0.8), (t0 + timedelta(hours=30), 0.5), (t0 + timedelta(hours=31), 0.4)]
+    df = spark.createDataFrame(rows, "window_start timestamp, f1 double")
+    out = {r.f1: (r.trailing_f1, r.degraded) for r in monitor.degradation(df, "window_start", "f1").collect()}
+    assert out[0.9] == (None, False) and out[0.8][0] == pytest.approx(0.9) and out[0.8][1]
+    assert out[0.5] == (None, False)  # the rows before it are over 24 hours old
+    assert out[0.4][0] == pytest.approx(0.5) and out[0.4][1]
+
+
+def test_broadcast_check_counts_bytes(spark):
+    df = spark.createDataFrame([(1, "x" * 1000), (2, None)], "id long, t string")
+    assert materialize_small(df)[1]
+    assert not materialize_small(df, max_bytes=1000)[1] and not materialize_small(df, max_rows=1)[1]
+    assert materialize_small(df.limit(0))[1]
+
+
+def test_reweigh_multi_without_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 0), (None, "x", 1), ("b", None, None), ("b", "x", 0)], "g string, h string, y int")
+    want = sorted(map(str, weights.reweigh_multi(df, ["g", "h"], "y").collect()))
+    monkeypatch.setattr(weights, "materialize_small", lambda t: (materialize_small(t)[0], False))
+    assert sorted(map(str, weights.reweigh_multi(df, ["g", "h"], "y").collect())) == want and len(want) == 5
+
+
 def test_lime_tabular_recovers_linear_weights(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0)], "id long, a double, b double")
 

@@ -35,8 +35,9 @@ def test_surrogates_and_scaling_do_not_shuffle(spark, sf):
     lime = explain.lime_tabular(o, "o_orderkey", ["o_totalprice", "o_custkey"], lambda z: z["o_totalprice"] * 2 + z["o_custkey"],
                                 {"o_totalprice": 1.0, "o_custkey": 1.0}, n_samples=20)
     text = explain.lime_text(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id", "text", lambda t: F.size(t) * 1.0, n_samples=8)
+    shap = explain.sampled_shapley(o, o.limit(5), "o_orderkey", ["o_totalprice", "o_custkey"], lambda z: z["o_totalprice"] * z["o_custkey"], 4)
     scaled = encode.fit_encoder(o, ["o_totalprice"], ["o_orderstatus"]).transform(o)
-    for df in (lime, text, scaled):
+    for df in (lime, text, shap, scaled):
         p = plan_of(df)
         assert "Exchange" not in p and "Python" not in p and "MapInPandas" not in p
         assert p.count("Scan parquet") == 1 or p.count("FileScan parquet") == 1

@@ -3,13 +3,13 @@
 Linear models are explained exactly: in margin space phi_j = b_j (x_j - E x_j),
 computed as column arithmetic over the whole table (no background sample);
 the expectations are one aggregate. Model-agnostic attribution (sampled
-Shapley) explodes each explained row into seeded perturbations and groups them
-back; the LIME surrogates stay inside the explained row (arrays), without a
-shuffle."""
+Shapley, the LIME surrogates) keeps its seeded perturbations inside the
+explained row (arrays), without a shuffle."""
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 from collections.abc import Callable, Mapping, Sequence
 
@@ -21,6 +21,9 @@ from pyspark.sql.window import Window
 from trustframe.functions.exprs import uniform
 from trustframe.session import cut_lineage
 
+#: rows of a Shapley background, which travels inside the plan
+MAX_BACKGROUND = 10_000
+
 
 def feature_means(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """E x_j over the table (one aggregate; O(features) values come back)."""
@@ -88,45 +91,38 @@ def report_lines(global_imp: DataFrame, k: int = 10) -> DataFrame:
 def sampled_shapley(df: DataFrame, background: DataFrame, id_col: str, features: Sequence[str],
                     scorer: Callable[[Mapping[str, Column]], Column], n_perm: int = 16,
                     seed: int = 42) -> DataFrame:
-    """Permutation-sampled Shapley values. Each row is exploded into
-    n_perm permutations; permutation m draws one background row (seeded) and
-    a feature order (seeded). For feature j the marginal contribution is
+    """Permutation-sampled Shapley values. A row holds n_perm permutations as
+    one array; permutation m draws one background row (seeded) and a feature
+    order (seeded). For feature j the marginal contribution is
     f(x on {pos <= pos_j}, z elsewhere) - f(x on {pos < pos_j}, z elsewhere).
-    Output: id, feature, shap (mean over permutations). ``background`` must be
-    small (a seeded sample, e.g. 100 rows); its size is checked."""
-    background = cut_lineage(background, large=False)  # bounded sample; computed once
-    nb = background.count()
-    if nb == 0 or nb > 100_000:
-        raise ValueError("background must hold between 1 and 100000 rows")
-    bg = background.select(*[F.col(c).cast("double").alias(f"z_{c}") for c in features]) \
-        .withColumn("__bi", F.row_number().over(Window.orderBy(*[f"z_{c}" for c in features])) - 1)
-    # ^ ordering a bounded background table
+    Output: id, feature, shap (mean over permutations), one row per row of
+    ``df`` and feature. ``background`` must be small (a seeded sample, e.g. 100
+    rows); its size is checked. It travels as one constant and every sum stays in
+    its row, so nothing is shuffled."""
+    bg = background.select(*[F.col(c).cast("double").alias(c) for c in features]).limit(MAX_BACKGROUND + 1).collect()  # bounded sample
+    if not 0 < len(bg) <= MAX_BACKGROUND:
+        raise ValueError(f"background must hold between 1 and {MAX_BACKGROUND} rows")
+    bg.sort(key=lambda r: [(v is not None, v != v, v) for v in r])  # nulls first, NaN last, as the engine sorts
+    table = F.from_json(F.lit(json.dumps([list(r) for r in bg])), "array<array<double>>")
     rows = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(f"x_{c}")
                                                    for c in features])
-    perms = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("__m"))
-    perms = perms.withColumn("__bi", F.floor(uniform(F.lit(seed), F.lit("bg"), F.col("__id"),
-                                                    F.col("__m")) * nb).cast("long"))
-    perms = perms.join(F.broadcast(bg), "__bi")  # size checked above
-    for c in features:
-        perms = perms.withColumn(f"k_{c}", uniform(F.lit(seed), F.col("__id"), F.col("__m"),
-                                                  F.lit(c)))
-    out = []
-    for j in features:
-        mine = F.col(f"k_{j}")
+
+    def permutation(m: Column) -> Column:
+        at = F.floor(uniform(F.lit(seed), F.lit("bg"), F.col("__id"), m) * len(bg)).cast("int")
+        return F.struct(F.get(table, at).alias("z"), *[uniform(F.lit(seed), F.col("__id"), m, F.lit(c)).alias(f"k_{c}") for c in features])
+
+    def gain(j: str, p: Column) -> Column:
         with_j, without_j = {}, {}
-        for c in features:
-            before = F.col(f"k_{c}") < mine
-            xc, zc = F.col(f"x_{c}"), F.col(f"z_{c}")
-            if c == j:
-                with_j[c], without_j[c] = xc, zc
-            else:
-                with_j[c] = F.when(before, xc).otherwise(zc)
-                without_j[c] = with_j[c]
-        out.append(F.struct(F.lit(j).alias("feature"),
-                            (scorer(with_j) - scorer(without_j)).alias("delta")))
-    contrib = perms.select("__id", F.inline(F.array(*out)))
-    return contrib.groupBy("__id", "feature").agg(F.avg("delta").alias("shap")) \
-        .withColumnRenamed("__id", id_col)
+        for i, c in enumerate(features):
+            x, z = F.col(f"x_{c}"), F.get(p["z"], F.lit(i))
+            without_j[c] = z if c == j else F.when(p[f"k_{c}"] < p[f"k_{j}"], x).otherwise(z)
+            with_j[c] = x if c == j else without_j[c]
+        return scorer(with_j) - scorer(without_j)
+    perms = rows.select("*", F.transform(F.sequence(F.lit(0), F.lit(n_perm - 1)), permutation).alias("__perms"))
+    out = [F.struct(F.lit(j).alias("feature"),
+                    (F.aggregate("__perms", F.lit(0.0), lambda s, p: s + gain(j, p)) / F.lit(float(n_perm))).alias("shap"))
+           for j in features]
+    return perms.select(F.col("__id").alias(id_col), F.inline(F.array(*out)))
 
 
 def _draw(*parts) -> float:

@@ -166,10 +166,11 @@ def consecutive_runs(windows: DataFrame, order: str, fail: Column, k: int = CONS
 
 
 def degradation(windows: DataFrame, order: str, metric: str, lookback: int = TRAILING_WINDOWS,
-                drop: float = DEGRADATION) -> DataFrame:
-    """Metric against the mean of the previous ``lookback`` windows;
-    degraded when the relative drop exceeds ``drop``."""
-    w = Window.orderBy(order).rowsBetween(-lookback, -1)  # per-window table only
+                drop: float = DEGRADATION, seconds: int = 3600) -> DataFrame:
+    """Metric against its mean over the ``lookback`` windows of ``seconds``
+    before; degraded when the relative drop exceeds ``drop``. The frame is one of
+    time: windows without rows don't stretch it further back."""
+    w = Window.orderBy(F.unix_seconds(F.col(order).cast("timestamp"))).rangeBetween(-lookback * seconds, -1)  # per-window table only
     tr = f"trailing_{metric}"
     t = windows.select(order, metric, F.avg(metric).over(w).alias(tr))
     return t.withColumn("degraded", F.coalesce(

@@ -10,6 +10,7 @@ from trustframe.operators import explain as ex
 from trustframe.operators import sampling as sm
 from trustframe.plans.metrics_q import LI_B, LI_COEF
 from trustframe.plans.registry import T, register, rnd
+from trustframe.sources.tables import deal_small
 
 _KEEP = ["l_orderkey", "l_linenumber", "l_linestatus"]
 
@@ -146,7 +147,7 @@ def shapley_sampled(spark, sf):
     scorer for every order, 16 permutations, 100-row seeded background."""
     x = _orders_x(spark, sf)
     bg = sm.sample_per_group(x, None, "o_orderkey", 100, seed=7)
-    return ex.sampled_shapley(x, bg.select(*ORD_FEATS), "o_orderkey", ORD_FEATS, ord_scorer, 16)
+    return ex.sampled_shapley(deal_small(x), bg.select(*ORD_FEATS), "o_orderkey", ORD_FEATS, ord_scorer, 16)
 
 
 LIME_SCALES = {"o_totalprice": 100000.0, "o_custkey": 1000.0, "o_days": 500.0}
@@ -197,7 +198,7 @@ UNION ALL SELECT id, '{c3}', w3, intercept FROM out"""
 def lime_tabular(spark, sf):
     """Local linear surrogate per order (200 seeded perturbations)."""
     x = _orders_x(spark, sf)
-    return ex.lime_tabular(x, "o_orderkey", ORD_FEATS, ord_scorer, LIME_SCALES)
+    return ex.lime_tabular(deal_small(x), "o_orderkey", ORD_FEATS, ord_scorer, LIME_SCALES)
 
 
 # A small bag-of-words scorer for the text explainer.
@@ -235,5 +236,5 @@ FROM k JOIN f ON k.id = f.id AND k.s = f.s GROUP BY k.id, k.word"""
 @register("lime_text", rnd(_lime_text_sql(), ["weight"]))
 def lime_text(spark, sf):
     """E5 + E9: word importance for every document (whole text, 64 masks)."""
-    d = T(spark, sf, "documents")
-    return ex.lime_text(d, "doc_id", "text", text_scorer)
+    d = T(spark, sf, "documents").select("doc_id", "text")
+    return ex.lime_text(deal_small(d), "doc_id", "text", text_scorer)

@@ -139,10 +139,10 @@ def consecutive_violations(spark, sf):
 WITH w AS ({HOURLY_SQL})
 SELECT window_start, f1, trailing_f1,
   coalesce(trailing_f1 > 0 AND (trailing_f1 - f1) / trailing_f1 > 0.05, false) AS degraded FROM (
-  SELECT window_start, f1, avg(f1) OVER (ORDER BY window_start ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)
+  SELECT window_start, f1, avg(f1) OVER (ORDER BY window_start RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 SECOND PRECEDING)
     AS trailing_f1 FROM w) x""", ["f1", "trailing_f1"]))
 def degradation(spark, sf):
-    """F1 against the mean of the previous 24 windows (5 % relative drop)."""
+    """F1 against its mean over the 24 hours before (5 % relative drop)."""
     return mo.degradation(hourly(spark, sf), "window_start", "f1")
 
 

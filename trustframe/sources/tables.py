@@ -13,3 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def deal_small(df: DataFrame) -> DataFrame:
+    """The rows of a table of fewer files than cores, dealt to all cores: one
+    small file would be one task, however dear a row is. Tables of more files
+    stay as they are read, without a shuffle."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if len(df.inputFiles()) < n else df
