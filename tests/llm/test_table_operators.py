@@ -59,6 +59,21 @@ def test_article_text_survives_common_markup():
     assert text(f"<div>top</div><div class='wrap content'><p>crumbs</p><article>{body}</article></div>") == want
 
 
+@pytest.mark.parametrize("name", [
+    "commentlist", "reader-comments", "user-comments", "comment-thread", "responses", "ad-300x250", "google-ad", "adsbygoogle", "sponsored-content",
+    "cookiebanner", "cookie-notice-eu", "wp-sidebar", "related-reading", "newsletter-signup-cta", "author-box"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_named_boilerplate_goes_from_marked_and_plain_pages(name, tag):
+    page = f"<{tag}><p>first words</p><div class='{name}'><p>gone</p></div><p>last words</p></{tag}>"
+    assert html_text.main_text(html_text.page_lines(page), []) == "first words\nlast words"
+
+
+def test_names_of_topics_and_source_code_stay():
+    page = ("<article><section id='cookie-recipes'><p>a</p></section><div class='no-comments'><p>b</p></div><pre><code>x = 1 <span class='token comment'># c</span>"
+            "</code></pre><section id='newsletter-history'><p>d</p></section><div class='layout-sidebar-right'><p>e</p></div></article>")
+    assert html_text.main_text(html_text.page_lines(page), []) == "a\nb\nx = 1 # c\nd\ne"
+
+
 def lcs(a, b):
     t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
