@@ -259,6 +259,20 @@ def test_host_verdicts_shrink_and_apply(spark):
     v = host_rules.host_verdicts(d.select(F.col("source").alias("host"), *[
         (F.col("text") == bad).cast("int").alias(r) for r in host_rules.RULES])).where("rule = 'symbols'").toPandas().set_index("host")
     assert 0 < v.rate["h0"] < v.rate["tiny"] < 0.75 and v.rate["junk"] > 0.7
+    assert v.bad["junk"] and not v.bad["h0"] and (v.low < v.rate).all()
+
+
+def test_hosts_that_fail_like_all_others_are_not_bad(spark):
+    """Equal hosts: none is bad, however many documents fail. One host above the rest at a rate far
+    below one half: bad. One failing page is no verdict on its host."""
+    def verdicts(fails):
+        rows = [(f"h{h}", int(i < x)) for h, x in enumerate(fails) for i in range(200)] + [("one", 1)]
+        d = spark.createDataFrame(rows, "host string, f int").select("host", *[F.col("f").alias(r) for r in host_rules.RULES])
+        v = host_rules.host_verdicts(d).where("rule = 'symbols'").toPandas().set_index("host")
+        return set(v.index[v.bad])
+    assert verdicts([140] * 20) == set()
+    assert verdicts([8, 9, 10, 11, 12] * 4) == set()
+    assert verdicts([10] * 20 + [60]) == {"h20"}
 
 
 def test_host_columns_and_empty(edge, none):

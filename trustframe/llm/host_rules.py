@@ -4,9 +4,10 @@ Each document gets counts from its whole text and a set of failed rules. Rule
 failures are summed per host; a host's failure rate is shrunk towards the rate of
 all hosts by a beta prior whose strength is estimated from the hosts (method
 of moments), so a host with three bad pages out of four is not judged like one with
-3,000 out of 4,000. Where the shrunk rate of a rule passes its bound, the
-host is bad for that rule, and documents there that fail the rule are
-dropped; on other hosts a soft failure is tolerated.
+3,000 out of 4,000. A host is bad for a rule if the lower 5 % point of its posterior lies
+above the prior's mean, so that it fails the rule more often than all hosts together, beyond
+what chance gives. Documents there that fail the rule are dropped; on other hosts a soft
+failure is tolerated.
 
 DataFrame functions only; every count is made inside its own row, so texts
 are never exploded or shuffled. What is shuffled is one row per host and rule.
@@ -22,8 +23,8 @@ from trustframe.session import cut_lineage
 
 WS = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
-#: a host is bad for a rule from this shrunk failure rate on
-HOST_RATE = 0.5
+#: standard deviations of a host's posterior between its mean and its lower 5 % point
+LOWER = 1.645
 #: soft rules: name -> SQL condition of failure (integers only)
 RULES = {
     "symbols": "10 * n_symbols > n_words",
@@ -75,14 +76,16 @@ def counts(docs: DataFrame, text_col: str = "text", window: int = 5) -> DataFram
          .otherwise(_covered(F.col("__g"), window)).alias("n_repeat_words"))
 
 
-def host_verdicts(failures: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
-    """(host, rule, n, fails, rate, bad) from ``failures`` (host, one 0/1
+def host_verdicts(failures: DataFrame, lower: float = LOWER) -> DataFrame:
+    """(host, rule, n, fails, rate, low, bad) from ``failures`` (host, one 0/1
     column per rule of RULES).
 
     With hosts' rates p_i = x_i / n_i, the prior's mean m is that of all rows
     and its strength s = m (1 - m) / v - 1, v the variance of the p_i between
     hosts beyond what binomial draws give (each host weighs by its rows; s is
-    kept within 1 and 1e6). rate = (x + m s) / (n + s). A null host is a host."""
+    kept within 1 and 1e6). The posterior is beta(x + m s, n - x + (1 - m) s): rate is its mean
+    (x + m s) / (n + s), low the rate less ``lower`` standard deviations, sqrt(rate (1 - rate) / (n + s + 1))
+    each; bad is low > m. A null host is a host."""
     per = failures.groupBy("host").agg(F.count("*").alias("n"), *[F.sum(r).alias(r) for r in RULES])
     stack = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("fails")) for r in RULES]))
     per = cut_lineage(per.select("host", "n", stack.alias("x")).select("host", "n", "x.rule", "x.fails"))
@@ -97,11 +100,13 @@ def host_verdicts(failures: DataFrame, host_rate: float = HOST_RATE) -> DataFram
     s = F.greatest(F.lit(1.0), F.least(F.lit(1e6), m * (1 - m) / v - 1))
     prior = all_.select("rule", m.alias("m"), s.alias("s"))
     rate = (F.col("fails") + F.col("m") * F.col("s")) / (F.col("n") + F.col("s"))
-    return per.join(F.broadcast(prior), "rule").select("host", "rule", "n", "fails", rate.alias("rate"), (rate > host_rate).alias("bad"))
+    x = per.join(F.broadcast(prior), "rule").select("*", rate.alias("rate"))
+    low = F.col("rate") - F.lit(lower) * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("s") + 1))
+    return x.select("host", "rule", "n", "fails", "rate", low.alias("low"), (low > F.col("m")).alias("bad"))
 
 
 def apply_host_rules(docs: DataFrame, host: Column, text_col: str = "text", columns: list[str] | None = None,
-                     host_rate: float = HOST_RATE) -> DataFrame:
+                     lower: float = LOWER) -> DataFrame:
     """``columns`` of docs (all by default), the counts, base_failed, host_failed
     (rules failed by the document and bad on its host) and kept.
 
@@ -118,7 +123,7 @@ def apply_host_rules(docs: DataFrame, host: Column, text_col: str = "text", colu
     # read by the host sums and by the join back: written once, without texts
     per = cut_lineage(counts(src, "__text").drop("__text"))
     flags = [F.when(F.expr(c) & (F.col("n_words") > 0), 1).otherwise(0).alias(r) for r, c in RULES.items()]
-    bad = host_verdicts(per.select(F.col("__host").alias("host"), *flags), host_rate).where("bad")
+    bad = host_verdicts(per.select(F.col("__host").alias("host"), *flags), lower).where("bad")
     bad = bad.groupBy("host").agg(F.collect_set("rule").alias("__bad"))
     failed = F.array_compact(F.array(*[F.when(F.expr(c) & (F.col("n_words") > 0), F.lit(r)) for r, c in sorted(RULES.items())]))
     out = per.join(bad, per["__host"].eqNullSafe(bad["host"]), "left")

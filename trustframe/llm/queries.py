@@ -104,7 +104,8 @@ h AS (UNPIVOT (SELECT source, count(*) AS n, sum(symbols)::BIGINT AS symbols, su
       ON symbols, dup_lines, word_length, repeats INTO NAME rule VALUE fails),
 a AS (SELECT rule, sum(fails) / sum(n) AS m, sum(fails * fails * 1.0 / n) / sum(n) AS q, count(*) * 1.0 / sum(n) AS hn FROM h GROUP BY rule),
 p AS (SELECT rule, m, greatest(1.0, least(1e6, m * (1 - m) / greatest(q - m * m - m * (1 - m) * hn, 1e-9) - 1)) AS s FROM a),
-b AS (SELECT source, rule FROM h JOIN p USING (rule) WHERE (fails + m * s) / (n + s) > 0.5),
+q AS (SELECT source, rule, n, m, s, (fails + m * s) / (n + s) AS rate FROM h JOIN p USING (rule)),
+b AS (SELECT source, rule FROM q WHERE rate - 1.645::DOUBLE * sqrt(rate * (1 - rate) / (n + s + 1)) > m),
 z AS (SELECT rid, string_agg(u.rule, ',' ORDER BY u.rule) AS host_failed
       FROM (UNPIVOT (SELECT rid, source, symbols, dup_lines, word_length, repeats FROM x)
             ON symbols, dup_lines, word_length, repeats INTO NAME rule VALUE v) u
