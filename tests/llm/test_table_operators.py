@@ -288,6 +288,21 @@ def test_classifier_learns_and_thresholds_by_language(spark):
     assert np.allclose(sorted(out.score), sorted(other.score), atol=1e-6)
 
 
+def test_only_labelled_rows_choose_the_cuts(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{k}" for k in r.integers(0, 200, 20)) + (" vile nasty" if i % 3 == 0 else ""), "en") for i in range(900)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)] + [(5000, 1)], "doc_id long, toxic int")
+    scored, real = [], toxicity._logit_bins
+    monkeypatch.setattr(toxicity, "_logit_bins", lambda x, m: (scored.append(x.count()), real(x, m))[1])
+    a, b = toxicity.fit(d, labels, max_rows=100), toxicity.fit(d, labels, max_rows=100, max_broadcast=0)
+    usable = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert scored[0] < len(usable) < scored[1] and (a.scale, a.shift, a.cuts) == (b.scale, b.shift, b.cuts)
+    # the bound on the drawn bytes leaves out whole texts: over a 64th of it, or beyond the sum
+    assert toxicity.fit(d, labels, max_rows=100, max_bytes=64 * 160).scale > 0
+    assert toxicity.fit(d, labels, max_rows=100, max_bytes=64).scale == 0
+
+
 def test_cuts_use_all_rows_outside_the_fit(spark):
     r = np.random.default_rng(2)
     rows, labels = [], []

@@ -109,8 +109,8 @@ def test_simhash_components_equal_brute_force(spark, edge, which):
     assert kept.count() == len(set(root.values()))
 
 
-@pytest.mark.parametrize("blocks,home", [(3, 2048), (2, 2048), (3, 2)])
-def test_anchor_links_lose_nothing(spark, blocks, home):
+@pytest.mark.parametrize("blocks,home,many", [(3, 2048, 0), (2, 2048, 0), (3, 2, 0), (None, 2048, 100), (None, 2, 10**6)])
+def test_anchor_links_lose_nothing(spark, blocks, home, many):
     r = np.random.default_rng(1)
     x = {int(v) for v in r.integers(0, 1 << 63, 60)}
     for v in list(x):
@@ -121,7 +121,7 @@ def test_anchor_links_lose_nothing(spark, blocks, home):
             x.add(y)
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     df = spark.createDataFrame([(signed(v),) for v in sorted(x)], "fp long").repartition(3)
-    edges = simhash.links(df, 4, blocks, home).collect()
+    edges = simhash.links(df, 4, blocks, home, many).collect()
     want = linked(x, 4)
     par = {v: v for v in x}
 

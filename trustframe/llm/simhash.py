@@ -97,6 +97,9 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", k: int = 4, name:
 
 
 # ---- covering code --------------------------------------------------------
+#: fingerprints from which on two parts are cheaper than three
+MANY = 200_000_000
+
 
 def _hamming(values: np.ndarray, m: int) -> np.ndarray:
     """Syndrome in the Hamming code of length 2^m - 1: 0 for code words, else
@@ -125,16 +128,23 @@ def _flips(n: int, at_most: int) -> np.ndarray:
     return np.array(masks, np.int64)
 
 
-def anchors(fp: np.ndarray, part: tuple[int, int, int], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, anchor, home?) for every anchor within ``reach`` of each
-    fingerprint's part. An anchor of the part is a Hamming code word in the low
-    bits and any value above."""
+def _homes(fp: np.ndarray, part: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(low bits, bits above, syndrome, home anchor) of each fingerprint's part; the home is the nearest code word."""
     first, bits, m = part
     n = (1 << m) - 1
     x = ((fp >> np.uint64(first)) & np.uint64((1 << bits) - 1)).astype(np.int64)
     low, high = x & ((1 << n) - 1), x >> n
     synd = _hamming(low, m)
-    home = np.where(synd > 0, low ^ (1 << np.maximum(synd - 1, 0)), low) | (high << n)
+    return low, high, synd, np.where(synd > 0, low ^ (1 << np.maximum(synd - 1, 0)), low) | (high << n)
+
+
+def anchors(fp: np.ndarray, part: tuple[int, int, int], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, anchor, home?) for every anchor within ``reach`` of each
+    fingerprint's part. An anchor of the part is a Hamming code word in the low
+    bits and any value above."""
+    _, bits, m = part
+    n = (1 << m) - 1
+    low, high, synd, home = _homes(fp, part)
     rows, found = [], []
     up = _flips(bits - n, min(reach, bits - n))
     up_d = np.bitwise_count(up)
@@ -147,7 +157,7 @@ def anchors(fp: np.ndarray, part: tuple[int, int, int], reach: int) -> tuple[np.
         flips, count = flips[order], np.bincount(by, minlength=n + 1)
         base = np.cumsum(count) - count
         k = count[synd]
-        row = np.repeat(np.arange(len(x)), k)
+        row = np.repeat(np.arange(len(low)), k)
         near = low[row] ^ flips[np.repeat(base[synd], k) + np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)]
         for u in up[up_d <= reach - r]:
             rows.append(row)
@@ -173,6 +183,20 @@ def _anchor_rows(fps: DataFrame, d: int, blocks: int) -> DataFrame:
     return fps.select("fp").mapInArrow(run, "anchor long, fp long, home boolean")
 
 
+def _home_counts(fps: DataFrame, blocks: int) -> DataFrame:
+    """(anchor, count) of home rows: one row a fingerprint and part, summed in its task before the shuffle."""
+    parts = _layout(blocks)
+
+    def run(batches):
+        for b in batches:
+            fp = np.asarray(b.column("fp")).view(np.uint64)
+            for i, part in enumerate(parts):
+                key, n = np.unique(_homes(fp, part)[3] * len(parts) + i, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["anchor", "n"])
+
+    return fps.select("fp").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("count"))
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, smallest node of its component) that span the links a-b."""
     nodes, idx = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -237,15 +261,17 @@ def _compare(d: int):
     return run
 
 
-def links(fps: DataFrame, d: int = 4, blocks: int = 3, home_rows: int = 2048) -> DataFrame:
+def links(fps: DataFrame, d: int = 4, blocks: int | None = None, home_rows: int = 2048, many: int = MANY) -> DataFrame:
     """Edges (u, v) that connect the distinct fingerprints ``fps`` (column fp:
-    long) exactly as "at most d bits apart" does. ``blocks`` trades replicas for
-    comparisons: 3 makes about 46 anchor rows a fingerprint, 2 about 340 with a
-    hundred times fewer comparisons, for billions of fingerprints. An anchor with more than
-    ``home_rows`` home rows is split."""
+    long; a written table, since it is read three times) exactly as "at most d bits
+    apart" does. ``blocks`` trades replicas for comparisons, the links are the same:
+    3 makes about 46 anchor rows a fingerprint, over some 500,000 anchors; 2 about 340, over some
+    500 million, so that each meets few others. By default 2 from ``many`` fingerprints on, where with 3
+    the home rows of an anchor would pass a thousand. An anchor with more than ``home_rows`` home rows is split."""
+    if blocks is None:
+        blocks = 3 if fps.count() < many else 2
     rows = _anchor_rows(fps, d, blocks)
-    hot = cut_lineage(_anchor_rows(fps, d, blocks).where("home").groupBy("anchor").count()
-                      .where(F.col("count") > home_rows)
+    hot = cut_lineage(_home_counts(fps, blocks).where(F.col("count") > home_rows)
                       .select("anchor", F.ceil(F.col("count") / home_rows).cast("int").alias("salts")))
     n_hot = hot.count()
     if n_hot:
@@ -265,7 +291,7 @@ def links(fps: DataFrame, d: int = 4, blocks: int = 3, home_rows: int = 2048) ->
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, d: int = 4,
-            blocks: int = 3, extra: list[str] | None = None) -> DataFrame:
+            blocks: int | None = None, extra: list[str] | None = None) -> DataFrame:
     """(id, fp, component_id, root, *extra) for every row of docs: component_id is the smallest
     id among the rows whose fingerprints are reachable over links of at most ``d``
     bits; root, the smallest of these fingerprints, tells components apart even
@@ -291,7 +317,7 @@ def fingerprint_hex(fp) -> F.Column:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, d: int = 4,
-             blocks: int = 3) -> DataFrame:
+             blocks: int | None = None) -> DataFrame:
     """The columns of docs for one row of each component: the row with the
     smallest id (nulls last; of rows with that id, the first written)."""
     part, rank = free_names(docs, "__part", "__rank")

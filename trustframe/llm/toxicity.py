@@ -26,9 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from trustframe.llm.frames import free_names
 from trustframe.llm.textarrays import PLAIN, U64, _R, _powers, mix, slices, split_words, text_bytes
+from trustframe.session import cut_lineage
 
 PREFIXES = (3, 5, 7)
 BUCKETS, DIM, FILTERS, WIDTHS, SEGMENTS, TOP, HIDDEN = 1 << 16, 16, 12, (1, 2, 3), 6, 3, 16
@@ -236,10 +238,12 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
-        lang_col: str = "lang", label_col: str = "toxic") -> Model:
+        lang_col: str = "lang", label_col: str = "toxic", max_bytes: int = 256 << 20, max_broadcast: int = 4_000_000) -> Model:
     """Model from labelled rows whose crc32(id) mod 3 is not 1. Of each class, about half of
     ``max_rows`` at most are drawn by a hash of the id, and four in five of them fitted; all
-    others, drawn or not, choose the scale and the cuts. Of rows with one id one is used.
+    others, drawn or not, choose the scale and the cuts. Only labelled rows are scored for them: the ids of the
+    labels go to the rows where there are at most ``max_broadcast`` of them. The drawn texts hold ``max_bytes`` at most,
+    whole texts in the order of the hash; an id beyond that, or with a text over a 64th of it, is not fitted. Of rows with one id one is used.
     Rows without id or label are not used; without both classes the
     model gives every text the share of the class there is."""
     lab = (labels.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{label_col}`").cast("int").alias("y"))
@@ -251,8 +255,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, seed: int = 7,
     # at most about max_rows ids: the texts of the whole table are not shuffled for them
     src = docs.select(F.col(f"`{id_col}`").alias("i"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"), F.col(f"`{lang_col}`").cast("string").alias("g"))
     one = F.xxhash64("t", "g")  # of the rows of an id, the one with the smallest
-    got = (src.join(F.broadcast(pick), "i").groupBy("i", "y").agg(F.min_by(F.struct("t", "g"), one).alias("x"))
-           .select("i", "y", "x.t", "x.g").toArrow())
+    drawn = cut_lineage(src.join(F.broadcast(pick), "i").groupBy("i", "y").agg(F.min_by(F.struct("t", "g"), one).alias("x"))
+                        .select("i", "y", "x.t", "x.g", u.alias("u"), F.octet_length("x.t").alias("b")))
+    # a running sum over the sizes of about max_rows rows
+    fits = (drawn.where(F.col("b") <= max_bytes // 64).select("i", F.sum("b").over(Window.orderBy("u", "i")).alias("held")).where(F.col("held") <= max_bytes).select("i"))
+    got = drawn.join(F.broadcast(fits), "i", "left_semi").select("i", "y", "t", "g").toArrow()
     order = np.argsort(np.array([str(x) for x in got["i"].to_pylist()], dtype=object), kind="stable")
     got = got.take(pa.array(order))
     y = np.asarray(got["y"].to_pylist(), np.float32)
@@ -266,9 +273,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, seed: int = 7,
     back = np.random.default_rng(seed).permutation(len(y)) % 5 == 0
     m = train(texts.filter(pa.array(~back)), y[~back], seed)
     fitted = docs.sparkSession.createDataFrame([(i,) for i, b in zip(got["i"].to_pylist(), back) if not b], pick.select("i").schema)
-    rest = (_logit_bins(src.where(F.col("i").isNotNull() & ~held_out(F.col("i"))).withColumn("h", one), m)
-            .groupBy("i").agg(F.min(F.struct("h", "g", "k")).alias("x"))
-            .join(lab.join(F.broadcast(fitted), "i", "left_anti"), "i")
+    others = lab.join(F.broadcast(fitted), "i", "left_anti")
+    todo = src.where(F.col("i").isNotNull() & ~held_out(F.col("i"))).withColumn("h", one)
+    if sum(n.values()) <= max_broadcast:  # beyond, narrow scores are joined rather than texts shuffled
+        todo = todo.join(F.broadcast(others.select("i")), "i", "left_semi")
+    rest = (_logit_bins(todo, m).groupBy("i").agg(F.min(F.struct("h", "g", "k")).alias("x")).join(others, "i")
             .groupBy("x.g", "x.k", "y").agg(F.count("*").alias("n")).orderBy("g", "k", "y").toArrow())
     z, n_at, of = (np.asarray(rest[c].to_pylist(), float) for c in ("k", "n", "y"))
     # each class weighs what all its labelled rows do
