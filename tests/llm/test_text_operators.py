@@ -190,7 +190,7 @@ def test_repeats_columns_and_empty(edge, none):
 
 # ---- op7 ----
 
-def brute_lines(rows, run):
+def brute_lines(rows, run, long_words=50):
     split = lambda t: [] if not t else re.split(r"\n(?=[^\n]*[^\x20\x09-\x0D])", t)
     clean = lambda x: x.strip(" \t\n\x0b\x0c\r")
     order = sorted({(BIG if i is None else i, t or "") for i, t in rows},
@@ -204,6 +204,11 @@ def brute_lines(rows, run):
             if g in seen:
                 gone[j:j + run] = [True] * run
             seen.add(g)
+        for j, x in enumerate(ls):
+            if len(WORD.findall(x)) >= long_words:
+                if clean(x) in seen:
+                    gone[j] = True
+                seen.add(clean(x))
         result[p] = (len(ls), sum(gone), "\n".join(x for x, z in zip(ls, gone) if not z))
     return sorted([(i, *result[(BIG if i is None else i, t or "")]) for i, t in rows], key=str)
 
@@ -213,12 +218,24 @@ def brute_th(t):
     return h - (1 << 64) if h >> 63 else h
 
 
-@pytest.mark.parametrize("run", [2, 3])
-def test_line_runs_equal_brute_force(spark, edge, run):
+@pytest.mark.parametrize("run,long_words", [(2, 50), (3, 50), (3, 6), (1, 50)])
+def test_line_runs_equal_brute_force(spark, edge, run, long_words):
     for d in (edge, docs_of(spark, SF_SMALL)):
         rows = [(r.doc_id, r.text) for r in d.select("doc_id", "text").collect()]
-        got = line_dedup.remove_repeated_runs(d, run=run, columns=["doc_id"])
-        assert lists(got, "doc_id", "n_lines", "n_removed", "kept_text") == brute_lines(rows, run)
+        got = line_dedup.remove_repeated_runs(d, run=run, columns=["doc_id"], long_words=long_words)
+        assert lists(got, "doc_id", "n_lines", "n_removed", "kept_text") == brute_lines(rows, run, long_words)
+
+
+def test_line_runs_extend_both_ways(spark):
+    """Each run is as long as it can be on its diagonal, and its lines are those of its source."""
+    long = " ".join(f"w{i}" for i in range(50))
+    texts = {1: "a\nb\nc\nd\ne\nf", 2: "x\nb\nc\nd\ny\ne\nf\nz", 3: f"q\n{long}\nr", 4: f"{long}", 5: f"s\n{long} more\nt", 6: "c\nx\ny",
+             7: "b\nc\nd\ny\ne"}
+    d = spark.createDataFrame([(k, k, t) for k, t in texts.items()], "ord long, th long, text string")
+    got = {r.ord: sorted((x.from_ord, x["shift"], x.start, x.end) for x in r.runs) for r in line_dedup.repeated_runs(d).collect()}
+    assert got == {2: [(1, 0, 1, 4), (1, 1, 5, 7)], 4: [(3, -1, 0, 1)], 7: [(1, -1, 0, 3), (2, -1, 2, 5)]}
+    out = {r.doc_id: r.kept_text for r in line_dedup.remove_repeated_runs(d.withColumnRenamed("ord", "doc_id").drop("th")).collect()}
+    assert out[2] == "x\ny\nz" and out[4] == "" and out[5] == texts[5] and out[6] == texts[6] and out[7] == ""
 
 
 def test_line_runs_columns_and_empty(edge, none):

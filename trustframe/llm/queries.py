@@ -238,12 +238,15 @@ _OP7_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT doc_id, CASE WHEN text = '' THEN [] ELSE string_split(
         regexp_replace(text, '\n([^\n]*[^\x20\x09-\x0D])', chr(57344) || '\1', 'g'), chr(57344)) END AS ls FROM d),
-x AS (SELECT doc_id, i, ls[i] AS line, regexp_replace(ls[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t
+x AS (SELECT doc_id, i, ls[i] AS line, regexp_replace(ls[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t,
+             len(list_filter(regexp_split_to_array(ls[i], '[\x20\x09-\x0D]+'), lambda w: w <> '')) >= 50 AS is_long
       FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM l)),
 w AS (SELECT *, lead(t) OVER (PARTITION BY doc_id ORDER BY i) AS t2 FROM x),
 r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY t, t2 ORDER BY doc_id, i) > 1 AS again FROM w WHERE t2 IS NOT NULL),
-g AS (SELECT w.doc_id, w.i, line, coalesce(a.again, false) OR coalesce(b.again, false) AS gone
-      FROM w LEFT JOIN r a ON a.doc_id = w.doc_id AND a.i = w.i LEFT JOIN r b ON b.doc_id = w.doc_id AND b.i = w.i - 1)
+o AS (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) > 1 AS again FROM w WHERE is_long),
+g AS (SELECT w.doc_id, w.i, line, coalesce(a.again, false) OR coalesce(b.again, false) OR coalesce(c.again, false) AS gone
+      FROM w LEFT JOIN r a ON a.doc_id = w.doc_id AND a.i = w.i LEFT JOIN r b ON b.doc_id = w.doc_id AND b.i = w.i - 1
+             LEFT JOIN o c ON c.doc_id = w.doc_id AND c.i = w.i)
 SELECT l.doc_id, len(ls)::BIGINT AS n_lines, coalesce(sum(gone::INT), 0)::BIGINT AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM l LEFT JOIN g ON g.doc_id = l.doc_id GROUP BY l.doc_id, ls
@@ -252,9 +255,9 @@ FROM l LEFT JOIN g ON g.doc_id = l.doc_id GROUP BY l.doc_id, ls
 
 @register("op7_winnowed_lines", _OP7_SQL)
 def _op7(spark, sf_dir):
-    """All documents without later copies of runs of two and more lines."""
+    """All documents without later copies of runs of two and more lines, and of lines of 50 and more words."""
     from trustframe.llm import line_dedup
-    d = line_dedup.remove_repeated_runs(table(spark, sf_dir, "documents"), run=2, columns=["doc_id"])
+    d = line_dedup.remove_repeated_runs(table(spark, sf_dir, "documents"), run=2, columns=["doc_id"], long_words=50)
     return d.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
