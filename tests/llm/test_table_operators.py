@@ -131,6 +131,80 @@ def test_template_lines_of_the_nearest_page_go(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def brute_pages(rows):
+    """Texts by sorting each host's pages in plain Python; line alignment by a plain table."""
+    import hashlib
+    from urllib.parse import urlsplit
+
+    def common(a, b):
+        k = 0
+        while k < min(len(a), len(b)) and a[k] == b[k]:
+            k += 1
+        return k
+
+    def align(a, b):  # numbers in a
+        t = {(i, j): 0 for i in range(-1, len(a)) for j in range(-1, len(b))}
+        for i in range(len(a)):
+            for j in range(len(b)):
+                t[i, j] = t[i - 1, j - 1] + 1 if a[i] == b[j] else max(t[i - 1, j], t[i, j - 1])
+        i, j, got = len(a) - 1, len(b) - 1, set()
+        while i >= 0 and j >= 0:
+            if a[i] == b[j]:
+                got.add(i)
+                i, j = i - 1, j - 1
+            elif t[i - 1, j] >= t[i, j - 1]:
+                i -= 1
+            else:
+                j -= 1
+        return got
+    site = {}
+    for url, page in set(rows):
+        u = urlsplit(url)
+        site.setdefault(u.netloc, []).append((u.path, hashlib.md5(f"{len(url)}:{url}{page}".encode()).hexdigest(), url, page))
+    out = {}
+    for ps in site.values():
+        ps.sort()
+        for k, (path, _, url, page) in enumerate(ps):
+            ls = [t for t, _ in html_text.page_lines(page)]
+            sides = [ps[j] for j in (k - 1, k + 1) if 0 <= j < len(ps)]
+            left = list(range(len(ls)))
+            if sides:
+                near = max(sides, key=lambda s: common(s[0], path))
+                folder = lambda s: path[:common(s[0], path)].rpartition("/")[0]
+                for s in [near] + [s for s in sides if s is not near and folder(s) == folder(near)]:
+                    hit = align([ls[i] for i in left], [t for t, _ in html_text.page_lines(s[3])])
+                    left = [left[i] for i in sorted(hit)]
+            else:
+                left = []
+            kept = [t for i, t in enumerate(ls) if i not in left]
+            out[url, page] = ("\n".join(kept or ls), len(left))
+    return out
+
+
+def test_pairing_and_deletion_equal_brute_force(spark):
+    r = np.random.default_rng(8)
+    rows = []
+    for i in range(160):
+        host, section = f"h{int(r.integers(0, 4)) ** 2}.example", "abc"[int(r.integers(0, 3))]
+        own = [f"word{i} {j}" for j in range(int(r.integers(1, 4)))] if i % 5 else [f"copied {i % 3}"] * 2
+        body = ["Home", f"Section {section}", *own, *["License"] * int(r.integers(0, 2)), f"By the {section} desk", "All rights"]
+        rows.append((f"http://{host}/{section}/{int(r.integers(0, 99)):02}", "".join(f"<p>{x}</p>" for x in body)))
+    rows += rows[:20]
+    d = spark.createDataFrame(rows, "url string, html string").repartition(7)
+    want = brute_pages(rows)
+    got = html_text.extract(d).collect()
+    assert len(got) == len(rows) and all((x.text, x.n_shared) == want[x.url, x.html] for x in got)
+    assert sum(x.n_shared > 2 for x in got) > 50
+
+
+def test_neighbouring_copies_keep_their_article(spark):
+    page = lambda body: f"<p>Menu</p>{body}<p>Foot</p>"
+    rows = [("http://h.example/n/1", page("<p>one</p>")), ("http://h.example/n/2", page("<p>copied</p><p>text</p>")),
+            ("http://h.example/n/3", page("<p>copied</p><p>text</p>")), ("http://h.example/n/4", page("<p>four</p>"))]
+    got = {x.url[-1]: x.text for x in html_text.extract(spark.createDataFrame(rows, "url string, html string")).collect()}
+    assert got == {"1": "one", "2": "copied\ntext", "3": "copied\ntext", "4": "four"}
+
+
 def test_pages_table_gives_its_articles(spark):
     got = queries.QUERIES["op2_page_differencing"](spark, SF_SMALL).collect()
     pages = {r.page_id: r.html for r in read(spark, "pages").collect()}
