@@ -67,6 +67,21 @@ def by_group(local: DataFrame, group: str) -> DataFrame:
         F.avg(F.abs("shap")).alias("mean_abs_shap"))
 
 
+def overview(local: DataFrame, group: str, k: int = 10) -> DataFrame:
+    """The whole analysis in one pass: the top-k features over all rows (grp null) and in each group, with
+    rank and importance, and each feature's importance over all rows beside it. The local
+    attributions are aggregated once, to one row per (group, feature); the rest works on that table."""
+    cells = cut_lineage(local.groupBy(F.col(group).cast("string").alias("grp"), "feature").agg(
+        F.count("shap").alias("n"), F.sum("shap").alias("s"), F.sum(F.abs("shap")).alias("a")))
+    total = cells.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("a").alias("a"))
+    rows = (cells.select(F.lit("group").alias("scope"), "grp", "feature", "n", "s", "a")
+            .unionByName(total.select(F.lit("all").alias("scope"), F.lit(None).cast("string").alias("grp"), "feature", "n", "s", "a")))
+    rows = rows.select("scope", "grp", "feature", "n", (F.col("s") / F.col("n")).alias("mean_shap"), (F.col("a") / F.col("n")).alias("importance"))
+    w = Window.partitionBy("scope", "grp").orderBy(F.col("importance").desc(), "feature")
+    overall = total.select("feature", (F.col("a") / F.col("n")).alias("importance_all"))
+    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).join(overall, "feature")
+
+
 def additivity_error(df: DataFrame, coef: Mapping[str, float], intercept: float,
                      means: Mapping[str, float]) -> DataFrame:
     """Property: sum_j phi_j = f(x) - E f(x) per row; returns the max error."""

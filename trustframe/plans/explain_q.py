@@ -56,6 +56,18 @@ def shap_by_group(spark, sf):
     return ex.by_group(local(spark, sf), "l_linestatus")
 
 
+@register("explain_overview", rnd(f"""
+WITH l AS ({LOCAL_SQL}), t AS (SELECT feature, avg(abs(shap)) AS importance_all FROM l GROUP BY feature),
+x AS (SELECT 'group' AS scope, l_linestatus AS grp, feature, count(*)::BIGINT AS n, avg(shap) AS mean_shap, avg(abs(shap)) AS importance
+      FROM l GROUP BY 2, 3
+      UNION ALL SELECT 'all', NULL, feature, count(*)::BIGINT, avg(shap), avg(abs(shap)) FROM l GROUP BY 3),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY scope, grp ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM x)
+SELECT r.*, importance_all FROM r JOIN t USING (feature) WHERE rank <= 10""", ["mean_shap", "importance", "importance_all"]))
+def explain_overview(spark, sf):
+    """Top features over all rows and per group, from one aggregation of the local attributions."""
+    return ex.overview(local(spark, sf), "l_linestatus")
+
+
 @register("topk_features", rnd(f"SELECT feature, importance, mean_shap, CAST(rank AS INTEGER) AS rank "
                                f"FROM ({GLOBAL_SQL}) g WHERE rank <= 3", ["importance", "mean_shap"]))
 def topk_features(spark, sf):
