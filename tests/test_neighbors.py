@@ -128,3 +128,16 @@ def test_preparation_balances_train_only(spark):
     # neighbours and bases are train rows
     used = p.where("synthetic_of IS NOT NULL").select(F.explode(F.array("synthetic_of", "neighbor")).alias("id")).distinct()
     assert used.join(plain.where("split = 'train'"), "id").count() == used.count() > 0
+
+
+def test_cells_hold_few_points_in_few_dimensions_and_are_few_in_many(spark, monkeypatch):
+    from trustframe.operators import neighbors
+    monkeypatch.setattr(neighbors, "CELL_POINTS", 20)
+    r = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in r.normal(0, 10, 2)]) for i in range(700)]
+    report = {}
+    assert result(table(spark, rows), 3, report=report) == by_hand(rows, 3)
+    assert report["pivots"] == 35 and report["visits"] < 12 * 700
+    rows = [(i, [float(x) for x in r.normal(1e3, 1, 20)]) for i in range(400)]
+    assert result(table(spark, rows), 3, report=report) == by_hand(rows, 3)
+    assert report["pivots"] == neighbors.FEW_CELLS and report["visits"] <= 15 * 400
