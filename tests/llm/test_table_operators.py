@@ -205,6 +205,18 @@ def test_neighbouring_copies_keep_their_article(spark):
     assert got == {"1": "one", "2": "copied\ntext", "3": "copied\ntext", "4": "four"}
 
 
+def test_template_at_the_ends_of_marked_articles_goes(spark):
+    page = lambda body: f"<article><p>By the desk</p>{body}<p>Read more of this series</p></article>"
+    own = ["<p>first story, at length</p><p>shared words</p><p>its end, at length</p>", "<p>second story, at length</p><p>shared words</p><p>more of it</p>",
+           "<p>third story, at length</p><p>shared words</p><p>and the last of it</p>"]
+    rows = [(f"http://h.example/n/{i}", page(x)) for i, x in enumerate(own)]
+    rows += [(f"http://c.example/n/{i}", "<article><p>copied text</p></article>") for i in range(3)]
+    got = {x.url: x.text for x in html_text.extract(spark.createDataFrame(rows, "url string, html string")).collect()}
+    assert got["http://h.example/n/1"] == "second story, at length\nshared words\nmore of it"  # the shared line amid it stays
+    assert got["http://h.example/n/0"].startswith("By the desk")  # one neighbour alone decides nothing inside a mark
+    assert {got[f"http://c.example/n/{i}"] for i in range(3)} == {"copied text"}
+
+
 def test_pages_table_gives_its_articles(spark):
     got = queries.QUERIES["op2_page_differencing"](spark, SF_SMALL).collect()
     pages = {r.page_id: r.html for r in read(spark, "pages").collect()}

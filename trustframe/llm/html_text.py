@@ -6,14 +6,15 @@ notices, comments, ...) are left out; a class or id tells boilerplate only as a
 known name, not on a heading, and not on an element that is or contains the
 article. Where the page marks its article (``article``, ``main`` or a block named
 like one), the lines inside the marks that hold the most text are the
-text. The other lines are judged against the page whose URL is
+text, without the template at their ends (see below). The other lines are judged against the page whose URL is
 nearest: pages of a host are ordered by path, and of the two neighbours the one
 with the longer common path is taken. The two pages' lines are aligned by
 their longest common subsequence, and shared lines are deleted: a template repeats,
 an article does not. Where the other neighbour lies in the same directory, a line
 goes only if it is shared with it too, so two neighbouring copies of an article keep it. On a page without a marked article, what is left is the text.
-Lines inside a marked article are never deleted: copies of an article, and
-license lines that many articles share, stay.
+Inside a marked article, lines are deleted where they are shared with both neighbours of one directory and make up its
+first or last lines, which is where a template puts its boxes, unless those hold half of its text: a line
+amid an article, copies of an article, and license lines that two articles share, stay.
 
 Order and neighbours are found on narrow rows (line hashes): these are sorted by
 ranges over the whole table, so a host with a third of all pages is spread over
@@ -314,16 +315,20 @@ def _directory(a: str, b: str) -> str:
     return a[:a.rfind("/", 0, _common(a, b)) + 1]
 
 
+def _used(path: str, sides: list[tuple[str, list[int]]]) -> list[tuple[str, list[int]]]:
+    """The nearest of the neighbours (path, lines) of one host, before and after, and the other in the same directory."""
+    sides = sorted(sides, key=lambda s: -_common(s[0], path))
+    near = {_directory(path, s[0]) for s in sides[:1]}
+    return [s for s in sides if _directory(path, s[0]) in near]
+
+
 def template_lines(path: str, lines: list[int], sides: list[tuple[str, list[int]]]) -> list[int]:
     """Numbers of the lines that the page shares with its neighbours (path, lines) of one host, before and after."""
     if not sides or not lines:
         return []
-    sides = sorted(sides, key=lambda s: -_common(s[0], path))
-    near = {_directory(path, s[0]) for s in sides[:1]}
     at = np.arange(len(lines))
-    for other, theirs in sides:
-        if _directory(path, other) in near:
-            at = at[shared_lines(np.array(lines, np.int64)[at], np.array(theirs, np.int64))]
+    for _, theirs in _used(path, sides):
+        at = at[shared_lines(np.array(lines, np.int64)[at], np.array(theirs, np.int64))]
     return at.tolist()
 
 
@@ -341,9 +346,9 @@ def _line_rows(pages: DataFrame) -> DataFrame:
 
 
 def shared_with_nearest(pages: DataFrame) -> DataFrame:
-    """(key, shared) from (key, host, path, html): numbers of the lines that the page shares
+    """(key, shared, both) from (key, host, path, html): numbers of the lines that the page shares
     with the page of its host whose path is nearest (ties: the one before), and with the other
-    neighbour where that lies in the same directory."""
+    neighbour where that lies in the same directory (both)."""
     rows = cut_lineage(_line_rows(pages).dropDuplicates(["key"]))
     part, rank = "__part", "__rank"
     ordered = local_ranks(rows.repartitionByRange("host", "path", "key"), [F.col("host"), F.col("path"), F.col("key")], part, rank)
@@ -359,28 +364,33 @@ def shared_with_nearest(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            out = []
+            out, both = [], []
             for r in b.to_pylist():
                 sides = [(s["path"], s["lines"]) for s in (r["before"], r["after"]) if s is not None and s["host"] == r["host"]]
-                got = template_lines(r["path"], r["lines"], sides)
-                out.append(got)
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(out, pa.list_(pa.int32()))], ["key", "shared"])
-    return near.mapInArrow(run, "key string, shared array<int>")
+                out.append(template_lines(r["path"], r["lines"], sides))
+                both.append(len(_used(r["path"], sides)) > 1)
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(out, pa.list_(pa.int32())), pa.array(both, pa.bool_())], ["key", "shared", "both"])
+    return near.mapInArrow(run, "key string, shared array<int>, both boolean")
 
 
-def main_text(lines: list[tuple[str, int]], shared: list[int]) -> str:
+def main_text(lines: list[tuple[str, int]], shared: list[int], both: bool = False) -> str:
     """Lines inside ``main`` or inside articles outside it, whichever hold more text
     (all of main, so what it has beside an article stays); with the blocks named like
-    an article, if these hold more than that again. Without a mark, all but the shared
+    an article, if these hold more than that again; without their first and last lines that are
+    shared (with ``both`` neighbours), where these hold less than half of the text. Without a mark, all but the shared
     lines (all, if none would be left)."""
     size = [sum(len(t) for t, m in lines if m & 3 == k) for k in range(3)]
     kind = 1 if size[1] > size[2] else 2
     named = sum(len(t) for t, m in lines if m & 4 and m & 3 != kind)
     blocks = named > size[kind]
-    left = [t for t, m in lines if m and (m & 3 == kind or blocks and m & 4)]
-    if left:
-        return "\n".join(left)
+    left = [i for i, (_, m) in enumerate(lines) if m and (m & 3 == kind or blocks and m & 4)]
     gone = set(shared)
+    if left:
+        own = [n for n, i in enumerate(left) if not both or i not in gone]
+        inner = left[own[0]:own[-1] + 1] if own else []
+        if 2 * sum(len(lines[i][0]) for i in inner) > sum(len(lines[i][0]) for i in left):
+            left = inner
+        return "\n".join(lines[i][0] for i in left)
     left = [t for i, (t, _) in enumerate(lines) if i not in gone]
     return "\n".join(left or [t for t, _ in lines])
 
@@ -394,12 +404,12 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", colu
     "". Rows equal in URL and html are one page for the pairing and get equal
     results. Clashing names get a leading "_"."""
     columns = pages.columns if columns is None else columns
-    key, sh, text, n_shared = free_names(pages, "__key", "__shared", "text", "n_shared")
+    key, sh, two, text, n_shared = free_names(pages, "__key", "__shared", "__both", "text", "n_shared")
     url, page = F.col(f"`{url_col}`"), F.col(f"`{html_col}`")
     own = F.md5(F.concat(F.length(F.coalesce(url, F.lit(""))).cast("string"), F.lit(":"), F.coalesce(url, F.lit("")),
                          F.coalesce(page, F.lit(""))).cast("binary"))
     narrow = pages.select(own.alias("key"), _host(url).alias("host"), _path(url).alias("path"), page.alias("html"))
-    shared = shared_with_nearest(narrow).select(F.col("key").alias(key), F.col("shared").alias(sh))
+    shared = shared_with_nearest(narrow).select(F.col("key").alias(key), F.col("shared").alias(sh), F.col("both").alias(two))
     left = pages.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, html_col])], own.alias(key))
     joined = left.join(shared, key, "left").drop(key)
     schema = pages.select(*[F.col(f"`{c}`") for c in columns]).schema.add(text, "string").add(n_shared, "integer")
@@ -407,8 +417,8 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", colu
     def run(batches):
         for b in batches:
             texts, ns = [], []
-            for p, s in zip(b.column(html_col).to_pylist(), b.column(sh).to_pylist()):
-                texts.append(main_text(page_lines(p) if p else [], s or []))
+            for p, s, both in zip(b.column(html_col).to_pylist(), b.column(sh).to_pylist(), b.column(two).to_pylist()):
+                texts.append(main_text(page_lines(p) if p else [], s or [], bool(both)))
                 ns.append(len(s or []))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in columns], pa.array(texts, pa.string()), pa.array(ns, pa.int32())],
                                              [*columns, text, n_shared])
