@@ -26,6 +26,9 @@ from trustframe.functions.exprs import order_key
 from trustframe.functions.joins import materialize_small
 from trustframe.session import cut_lineage
 
+#: parts of a sorted column while none of them passes PART_ROWS: a part is a task and a file, whatever it holds
+MAX_PARTS, PART_ROWS = 256, 1_000_000
+
 
 def ceil_share(n: Column, share: float) -> Column:
     """ceil(n * share) in integer arithmetic (share to 1e-6)."""
@@ -121,7 +124,8 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
     each count column and ``next_value``.
 
     The rows are range-partitioned by (key, value) into as many parts as hold
-    about ``rows_per_bucket`` rows each. Spark samples the rows themselves for
+    about ``rows_per_bucket`` rows each, or more where these would be over ``MAX_PARTS`` (up to
+    ``PART_ROWS`` each). Spark samples the rows themselves for
     the bounds, so parts stay even under heavy tails, any number of keys and
     any size; nothing is collected but the row count. Part totals per key give
     offsets, and each row is summed only inside its own part. The histogram is
@@ -129,7 +133,8 @@ def prefix_counts(long: DataFrame, key: str, value: str, count_cols: Sequence[st
     (``materialized=True``); the raw table behind it is scanned once."""
     if not materialized:
         long = cut_lineage(long)
-    parts = max(1, -(-long.count() // rows_per_bucket))
+    rows = long.count()
+    parts = max(1, min(-(-rows // rows_per_bucket), max(MAX_PARTS, -(-rows // PART_ROWS))))
     if parts == 1:  # all keys together fit one part: their windows are small
         w = Window.partitionBy(key).orderBy(value)
         run = w.rowsBetween(Window.unboundedPreceding, 0)
