@@ -222,9 +222,13 @@ def _is(word):
 
 
 def text_scorer(tokens):
-    s = F.lit(-1.0)
-    for w, b in TEXT_WORDS.items():
-        s = s + F.lit(b) * F.size(F.filter(tokens, _is(w)))
+    def margin(known):
+        s = F.lit(-1.0)
+        for w, b in TEXT_WORDS.items():
+            s = s + F.lit(b) * F.size(F.filter(known, _is(w)))
+        return s
+    # one pass over all words, the others over the few that count
+    s = F.get(F.transform(F.array(F.filter(tokens, lambda t: t.isin(*TEXT_WORDS))), margin), F.lit(0))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
 
 
