@@ -12,14 +12,16 @@ import hashlib
 import json
 import math
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from trustframe.functions.exprs import uniform
-from trustframe.session import cut_lineage
+from trustframe.session import cut_lineage, importable_in_tasks
 
 #: rows of a Shapley background, which travels inside the plan
 MAX_BACKGROUND = 10_000
@@ -107,37 +109,67 @@ def sampled_shapley(df: DataFrame, background: DataFrame, id_col: str, features:
                     scorer: Callable[[Mapping[str, Column]], Column], n_perm: int = 16,
                     seed: int = 42) -> DataFrame:
     """Permutation-sampled Shapley values. A row holds n_perm permutations as
-    one array; permutation m draws one background row (seeded) and a feature
+    columns; permutation m draws one background row (seeded) and a feature
     order (seeded). For feature j the marginal contribution is
     f(x on {pos <= pos_j}, z elsewhere) - f(x on {pos < pos_j}, z elsewhere).
     Output: id, feature, shap (mean over permutations), one row per row of
     ``df`` and feature. ``background`` must be small (a seeded sample, e.g. 100
-    rows); its size is checked. It travels as one constant and every sum stays in
+    rows); its size is checked. It travels with the tasks and every sum stays in
     its row, so nothing is shuffled."""
     bg = background.select(*[F.col(c).cast("double").alias(c) for c in features]).limit(MAX_BACKGROUND + 1).collect()  # bounded sample
     if not 0 < len(bg) <= MAX_BACKGROUND:
         raise ValueError(f"background must hold between 1 and {MAX_BACKGROUND} rows")
     bg.sort(key=lambda r: [(v is not None, v != v, v) for v in r])  # nulls first, NaN last, as the engine sorts
-    table = F.from_json(F.lit(json.dumps([list(r) for r in bg])), "array<array<double>>")
-    rows = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(f"x_{c}")
-                                                   for c in features])
+    importable_in_tasks(df.sparkSession)
+    rows = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(f"x_{c}") for c in features])
 
-    def permutation(m: Column) -> Column:
-        at = F.floor(uniform(F.lit(seed), F.lit("bg"), F.col("__id"), m) * len(bg)).cast("int")
-        return F.struct(F.get(table, at).alias("z"), *[uniform(F.lit(seed), F.col("__id"), m, F.lit(c)).alias(f"k_{c}") for c in features])
+    def of(name: str, m: int, c: str) -> Column:
+        return F.col(f"{name}_{m}_{c}")
 
-    def gain(j: str, p: Column) -> Column:
+    def gain(j: str, m: int) -> Column:
         with_j, without_j = {}, {}
-        for i, c in enumerate(features):
-            x, z = F.col(f"x_{c}"), F.get(p["z"], F.lit(i))
-            without_j[c] = z if c == j else F.when(p[f"k_{c}"] < p[f"k_{j}"], x).otherwise(z)
+        for c in features:
+            x, z = F.col(f"x_{c}"), of("z", m, c)
+            without_j[c] = z if c == j else F.when(of("k", m, c) < of("k", m, j), x).otherwise(z)
             with_j[c] = x if c == j else without_j[c]
         return scorer(with_j) - scorer(without_j)
-    perms = rows.select("*", F.transform(F.sequence(F.lit(0), F.lit(n_perm - 1)), permutation).alias("__perms"))
-    out = [F.struct(F.lit(j).alias("feature"),
-                    (F.aggregate("__perms", F.lit(0.0), lambda s, p: s + gain(j, p)) / F.lit(float(n_perm))).alias("shap"))
-           for j in features]
-    return perms.select(F.col("__id").alias(id_col), F.inline(F.array(*out)))
+    # a column for each permutation and feature, not an array: the engine compiles columns, but interprets lambdas
+    names = [f"{x}_{m}_{c}" for x in "kz" for m in range(n_perm) for c in features]
+    perms = rows.withColumn("__s", F.col("__id").cast("string")).mapInArrow(
+        _permutations(seed, n_perm, list(features), [list(r) for r in bg], names),
+        T.StructType([*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]]))
+    sums = [(reduce(lambda s, m, j=j: s + gain(j, m), range(n_perm), F.lit(0.0)) / F.lit(float(n_perm))).alias(f"s_{j}") for j in features]
+    out = [F.struct(F.lit(j).alias("feature"), F.col(f"s_{j}").alias("shap")) for j in features]
+    return perms.select("__id", *sums).select(F.col("__id").alias(id_col), F.inline(F.array(*out)))
+
+
+def _permutations(seed: int, n_perm: int, features: list[str], background: list[list], names: list[str]):
+    """Adds the keys (k) and background values (z) of each row's permutations; the numbers are ``uniform``'s, with the
+    row's part of a digest hashed once."""
+    tails = [f"{m}:{c}".encode() for m in range(n_perm) for c in features]
+    picks = [f"{m}".encode() for m in range(n_perm)]
+    table = [pa.array([r[i] for r in background], pa.float64(), from_pandas=False) for i in range(len(features))]
+
+    def numbers(ids: list, start: bytes, ends: list[bytes]) -> np.ndarray:
+        out = []
+        for x in ids:
+            row = hashlib.md5(start + (x.encode() + b":" if x is not None else b""))
+            for end in ends:
+                h = row.copy()
+                h.update(end)
+                out.append(h.digest()[:8])
+        return (np.frombuffer(b"".join(out), ">u8") >> np.uint64(12)).astype(float).reshape(len(ids), len(ends)) / float(1 << 52)
+
+    def run(batches):
+        for b in batches:
+            ids = b.column("__s").to_pylist()
+            keys = numbers(ids, f"{seed}:".encode(), tails)
+            at = np.floor(numbers(ids, f"{seed}:bg:".encode(), picks) * len(background)).astype(np.int32)
+            z = [table[i].take(pa.array(at[:, m])) for m in range(n_perm) for i in range(len(features))]
+            kept = [c for c in b.schema.names if c != "__s"]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *[pa.array(np.ascontiguousarray(keys[:, i])) for i in range(len(tails))], *z],
+                                             [*kept, *names])
+    return run
 
 
 def _draw(*parts) -> float:
@@ -169,14 +201,13 @@ def lime_tabular(df: DataFrame, id_col: str, features: Sequence[str],
     x = np.hstack([np.ones((n_samples, 1)), eps])
     fit = np.linalg.lstsq(x * np.sqrt(weight)[:, None], np.diag(np.sqrt(weight)), rcond=None)[0]
     rows = df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(c) for c in features])
-    draws = F.array(*[F.array(*[F.lit(float(v)) for v in e]) for e in eps])
-    scored = F.transform(draws, lambda e: scorer(
-        {c: F.col(c) + F.lit(float(scales[c])) * F.get(e, F.lit(i)) for i, c in enumerate(features)}))
-    rows = rows.select("__id", scored.alias("__f"))
-    dot = lambda r: F.aggregate(F.zip_with(F.array(*[F.lit(float(v)) for v in r]), "__f", lambda p, q: p * q),
-                                F.lit(0.0), lambda t, v: t + v)
-    out = F.array(*[F.struct(F.lit(c).alias("feature"), dot(fit[i + 1]).alias("weight")) for i, c in enumerate(features)])
-    return rows.select("__id", dot(fit[0]).alias("intercept"), F.inline(out)).select(
+    # a column for each sample, not an array: the engine compiles columns, but interprets lambdas
+    scored = rows.select("__id", *[scorer({c: F.col(c) + F.lit(float(scales[c])) * F.lit(float(e[i])) for i, c in enumerate(features)}).alias(f"__f{s}")
+                                   for s, e in enumerate(eps)])
+    dot = lambda r: reduce(lambda t, s: t + F.lit(float(r[s])) * F.col(f"__f{s}"), range(n_samples), F.lit(0.0))
+    fitted = scored.select("__id", *[dot(r).alias(f"__w{i}") for i, r in enumerate(fit)])
+    out = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"__w{i + 1}").alias("weight")) for i, c in enumerate(features)])
+    return fitted.select("__id", F.col("__w0").alias("intercept"), F.inline(out)).select(
         F.col("__id").alias(id_col), "feature", "weight", "intercept")
 
 
@@ -195,11 +226,12 @@ def lime_text(docs: DataFrame, id_col: str, text_col: str,
         F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}']+"), lambda x: x != "").alias("__t"))
 
     blocks = -(-n_samples // 32)
+    bits = lambda h, i: F.conv(F.substring(F.get(h, F.lit(i // 4)), 1 + 8 * (i % 4), 8), 16, 10).cast("long")  # noqa: E731  32 samples a number
 
-    def masked(t):  # 32 samples a number
-        return F.transform(t, lambda w: F.struct(w.alias("w"), *[F.conv(F.substring(F.md5(F.concat_ws(
-            ":", F.lit(str(seed)), F.col("__id").cast("string"), w, F.lit(str(i // 4)))), 1 + 8 * (i % 4), 8), 16, 10)
-            .cast("long").alias(f"b{i}") for i in range(blocks)]))
+    def masked(t):  # each digest made once
+        digests = F.transform(t, lambda w: F.struct(w.alias("w"), F.array(*[F.md5(F.concat_ws(
+            ":", F.lit(str(seed)), F.col("__id").cast("string"), w, F.lit(str(j)))) for j in range(-(-blocks // 4))]).alias("h")))
+        return F.transform(digests, lambda p: F.struct(p["w"].alias("w"), *[bits(p["h"], i).alias(f"b{i}") for i in range(blocks)]))
     kept = lambda p, s: p[f"b{s // 32}"].bitwiseAND(F.lit(1 << s % 32)) != 0
 
     def score(s: int) -> Column:
