@@ -137,3 +137,30 @@ def test_windows_against_a_profile_of_other_features(spark):
                                    "window_start timestamp, feature string, kind string, v_num double, v_str string, n long")
     got = {(r.window_start, r.feature): r.drifted for r in dr.windowed_drift(profile, counts).collect()}
     assert got[T0, "x"] is False and got[T0 + timedelta(days=1), "c"] is True and (T0, "y") not in got
+
+
+def test_slices_of_many_files_and_few_parts_of_state(spark, sf):
+    """A slice dealt to several files is one micro-batch; the state has a part for each task, not for each shuffle partition."""
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        base = new_dir("parts")
+        sink = stream_q.type_windows(spark, stream_q.events_in_files(spark, sf, 7, 3), base, 3)
+        out = to_files(violation_runs(windows_stream(spark, sink, 2), stream_q.type_fails(), ["event_type"]), base, name="runs", idle_batches=False, partitions=2)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "23"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    numbers = lambda name: {d for d in os.listdir(f"{base}/_{name}/state/0") if d.isdigit()}
+    assert len(numbers("windows")) == spark.sparkContext.defaultParallelism and len(numbers("runs")) == 2
+    got = spark.read.schema("event_type string, window_start timestamp, run_length int").parquet(out)
+    assert compare(got.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).toPandas(),
+                   duck(sf).execute(ORACLE["stream_violation_runs"]).df()) is None
+
+
+def test_slices_of_few_rows_have_as_many_files(spark):
+    path = new_dir("few")
+    rows = [(i, T0 + timedelta(hours=9 * (i > 7)), i, "a", 1.0, "{}") for i in range(9)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{path}/events.parquet")
+    source = stream_q.events_in_files(spark, path, 3, 4)
+    assert len(spark.read.parquet(source).inputFiles()) == 12
+    assert sorted(r.event_id for r in spark.read.parquet(source).collect()) == list(range(9))

@@ -3,6 +3,7 @@ the batch result, so the batch SQL is their oracle."""
 
 from __future__ import annotations
 
+import math
 import uuid
 from datetime import datetime
 
@@ -68,24 +69,43 @@ def stream_drift_alerts(spark, sf):
     return spark.read.parquet(sink).drop("batch")
 
 
-def events_in_files(spark, sf, n: int) -> str:
-    """The events as ``n`` files in order of time, each newer than the one before: a source that arrives."""
+#: Events in a file of an arriving source
+FILE_ROWS = 500_000
+
+
+def slice_files(spark, sf, n: int) -> int:
+    """Files that each of ``n`` slices of the events is written as, so that no task writes much over ``FILE_ROWS`` rows."""
+    return max(1, math.ceil(T(spark, sf, "events").count() / n / FILE_ROWS))
+
+
+def state_parts(spark) -> int:
+    """Parts of a small state: as many as tasks run at once, and no more than the session's shuffle partitions."""
+    return min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def events_in_files(spark, sf, n: int, files: int = 1) -> str:
+    """The events as ``n`` slices in order of time, each of ``files`` files that are newer than those before: a source that
+    arrives. A slice of few rows is filled up with empty files, so ``files`` a micro-batch are one slice."""
     path = f"{ensure_checkpoint_dir(spark)}/arriving-{uuid.uuid4().hex}"
     ev = T(spark, sf, "events")
     cuts = ev.select(F.percentile_approx(F.col("ts").cast("timestamp"), F.array(*[F.lit((i + 1) / n) for i in range(n - 1)]), 10000).alias("c")).first()["c"]
-    edges = [None, *cuts, None]
+    edges, done = [None, *cuts, None], 0
     for lo, hi in zip(edges[:-1], edges[1:]):
         part = ev.withColumn("ts", F.col("ts").cast("timestamp"))
         part = part if lo is None else part.where(F.col("ts") > F.lit(lo))
         part = part if hi is None else part.where(F.col("ts") <= F.lit(hi))
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
+        done += files
+        for _ in range(done - len(spark.read.parquet(path).inputFiles()) if files > 1 else 0):
+            part.limit(0).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
 def type_windows(spark, source: str, base: str, files: int | None = None) -> str:
     """Final hourly windows of each event type, as a table."""
     ev = event_stream(spark, source, "*.parquet", files)
-    return to_files(final_counts(ev, LABEL(), PRED(), PRIV(), {"event_type": F.col("event_type")}), base, ["event_type"], "windows")
+    return to_files(final_counts(ev, LABEL(), PRED(), PRIV(), {"event_type": F.col("event_type")}), base, ["event_type"], "windows",
+                    partitions=state_parts(spark))
 
 
 def type_fails():
@@ -107,11 +127,12 @@ FROM (SELECT *, row_number() OVER (PARTITION BY event_type, island ORDER BY wind
 
 @register("stream_violation_runs", _TYPE_RUNS_SQL)
 def stream_violation_runs(spark, sf):
-    """T11 + T14 as a stateful stream: seven files, one a micro-batch, into final windows per event
+    """T11 + T14 as a stateful stream: seven slices, one a micro-batch, into final windows per event
     type; a second stream keeps each type's run and reports where it reaches three."""
-    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    sink = type_windows(spark, events_in_files(spark, sf, 7), base, 1)
-    runs = to_files(violation_runs(windows_stream(spark, sink, 2), type_fails(), ["event_type"]), base, name="runs", idle_batches=False)
+    base, files = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}", slice_files(spark, sf, 7)
+    sink = type_windows(spark, events_in_files(spark, sf, 7, files), base, files)
+    runs = to_files(violation_runs(windows_stream(spark, sink, 2), type_fails(), ["event_type"]), base, name="runs", idle_batches=False,
+                    partitions=state_parts(spark))
     schema = "event_type string, window_start timestamp, run_length int"
     return spark.read.schema(schema).parquet(runs).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
@@ -136,7 +157,8 @@ def stream_windowed_drift(spark, sf):
         .select("value", F.col("user_id").cast("double").alias("user_id"), "event_type")
     base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     dr.reference_profile(ref, ["value", "user_id"], ["event_type"]).write.parquet(f"{base}/profile")
-    sink = to_files(final_histograms(event_stream(spark, events_in_files(spark, sf, 7), "*.parquet", 1), ["value", "user_id"], ["event_type"]), base, name="days")
+    files = slice_files(spark, sf, 7)
+    sink = to_files(final_histograms(event_stream(spark, events_in_files(spark, sf, 7, files), "*.parquet", files), ["value", "user_id"], ["event_type"]), base, name="days")
     out = drift_alerts_by_window(spark.read.parquet(f"{base}/profile"), spark.read.parquet(sink))
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
