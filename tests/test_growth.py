@@ -1,8 +1,10 @@
 """Work that must not grow faster than the rows: parts of a sorted column, compiled explainers, dealt tasks."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from trustframe.operators import explain, ranking
+from trustframe.operators import models as ml
 from trustframe.sources.tables import deal_small
 
 
@@ -48,3 +50,20 @@ def test_rows_of_a_file_are_dealt_by_count(spark, tmp_path):
     cores = spark.sparkContext.defaultParallelism
     assert deal_small(df, rows=10).rdd.getNumPartitions() == 100
     assert deal_small(df).rdd.getNumPartitions() == cores
+
+
+@pytest.mark.parametrize("kind,maker", [("random_forest", "forest"), ("gbt", "boosted")])
+def test_trees_are_fitted_on_parts_of_one_size(spark, monkeypatch, kind, maker):
+    """Rows that come in one large part and three small ones are dealt anew; none goes missing."""
+    class Seen:
+        def fit(self, df):
+            return [len(x) for x in df.rdd.glom().collect()]
+    monkeypatch.setattr(ml, maker, lambda *a, **kw: Seen())
+    rows = spark.range(0, 90_000, 1, 1)
+    for i in range(3):
+        rows = rows.union(spark.range(i, i + 10, 1, 1))
+    sizes = ml.train(rows, kind, "y")
+    assert sum(sizes) == 90_030 and len(sizes) == min(spark.sparkContext.defaultParallelism, 4)
+    assert max(sizes) - min(sizes) < 100
+    assert ml.even_parts(rows, 1, 10_000).rdd.getNumPartitions() % spark.sparkContext.defaultParallelism == 0
+    assert sum(ml.train(rows.limit(0), kind, "y")) == 0
