@@ -212,7 +212,8 @@ def lime_tabular(df: DataFrame, id_col: str, features: Sequence[str],
 
 
 def lime_text(docs: DataFrame, id_col: str, text_col: str,
-              scorer: Callable[[Column], Column], n_samples: int = 64, seed: int = 42) -> DataFrame:
+              scorer: Callable[[Column], Column], n_samples: int = 64, seed: int = 42,
+              counts: Callable[[Column], Column] | None = None) -> DataFrame:
     """E5: word importance per document. In every sample each distinct word of a
     document is kept with probability one half (all its occurrences together);
     the sample is scored on the kept words, and a word's weight is the mean
@@ -220,32 +221,44 @@ def lime_text(docs: DataFrame, id_col: str, text_col: str,
     text is used (no truncation). Output: id, word, weight, n_kept, n_dropped.
 
     A word's masks are the bits of one md5 digest of (seed, id, word) for every
-    128 samples. All of it happens inside the document's row (arrays); rows are only
-    split by word at the end, so nothing is shuffled."""
+    128 samples. The samples are scored inside the document's row (arrays); rows are only
+    split by word afterwards, so nothing is shuffled. The scores are summed once a document for
+    every subset of four samples, and a word looks up the subsets it is kept in.
+
+    ``counts`` says of a word whether the scorer looks at it at all, for a scorer that leaves the others out itself: they
+    are then left out once a document, before the samples, instead of in each. Every word is explained either way."""
     toks = docs.select(F.col(id_col).alias("__id"), F.filter(
         F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}']+"), lambda x: x != "").alias("__t"))
 
     blocks = -(-n_samples // 32)
     bits = lambda h, i: F.conv(F.substring(F.get(h, F.lit(i // 4)), 1 + 8 * (i % 4), 8), 16, 10).cast("long")  # noqa: E731  32 samples a number
+    digests = lambda w: F.array(*[F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__id").cast("string"), w, F.lit(str(j))))
+                                  for j in range(-(-blocks // 4))])
 
     def masked(t):  # each digest made once
-        digests = F.transform(t, lambda w: F.struct(w.alias("w"), F.array(*[F.md5(F.concat_ws(
-            ":", F.lit(str(seed)), F.col("__id").cast("string"), w, F.lit(str(j)))) for j in range(-(-blocks // 4))]).alias("h")))
-        return F.transform(digests, lambda p: F.struct(p["w"].alias("w"), *[bits(p["h"], i).alias(f"b{i}") for i in range(blocks)]))
-    kept = lambda p, s: p[f"b{s // 32}"].bitwiseAND(F.lit(1 << s % 32)) != 0
+        hashed = F.transform(t, lambda w: F.struct(w.alias("w"), digests(w).alias("h")))
+        return F.transform(hashed, lambda p: F.struct(p["w"].alias("w"), *[bits(p["h"], i).alias(f"b{i}") for i in range(blocks)]))
 
     def score(s: int) -> Column:
-        words = F.transform(F.filter("__z", lambda p: kept(p, s)), lambda p: p["w"])
+        words = F.transform(F.filter("__z", lambda p: p[f"b{s // 32}"].bitwiseAND(F.lit(1 << s % 32)) != 0), lambda p: p["w"])
         return F.get(F.transform(F.array(words), scorer), F.lit(0))  # words bound once for the scorer
-    toks = toks.where(F.size("__t") > 0).select("__id", masked("__t").alias("__z"), masked(F.array_distinct("__t")).alias("__d"))
+    seen = F.filter("__t", counts) if counts else F.col("__t")
+    toks = toks.where(F.size("__t") > 0).select("__id", F.array_distinct("__t").alias("__d"), masked(seen).alias("__z"))
     toks = toks.select("__id", "__d", F.array(*[score(s) for s in range(n_samples)]).alias("__f"))
-    toks = toks.withColumn("__all", F.aggregate("__f", F.lit(0.0), lambda t, v: t + v))
-    x = toks.select("__id", "__f", "__all", F.explode("__d").alias("__p"))
-    p = F.col("__p")
-    on = sum((F.when(kept(p, s), F.get("__f", F.lit(s))).otherwise(F.lit(0.0)) for s in range(n_samples)), F.lit(0.0))
-    n_kept = sum((F.bit_count(p[f"b{i}"].bitwiseAND(F.lit((1 << min(32, n_samples - 32 * i)) - 1))) for i in range(blocks)),
-                 F.lit(0)).cast("long")
-    x = x.select("__id", "__all", p["w"].alias("word"), on.alias("on"), n_kept.alias("n_kept"))
+    # sums of the scores of samples 4 i to 4 i + 3, for every subset of them: entry 16 i + the subset's bits
+    sums = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(n_samples), F.lit(4)), lambda i: F.aggregate(
+        F.slice("__f", i, F.lit(4)), F.array(F.lit(0.0)), lambda t, v: F.concat(t, F.transform(t, lambda x: x + v)))))
+    toks = toks.select("__id", "__d", F.aggregate("__f", F.lit(0.0), lambda t, v: t + v).alias("__all"), sums.alias("__sums"))
+    x = toks.select("__id", "__all", "__sums", F.explode("__d").alias("word")).withColumn("__h", digests(F.col("word")))
+    x = x.select("__id", "__all", "__sums", "word", *[
+        bits(F.col("__h"), i).bitwiseAND(F.lit((1 << min(32, n_samples - 32 * i)) - 1)).alias(f"__b{i}") for i in range(blocks)])
+
+    def looked_up(s: int) -> Column:
+        subset = F.shiftright(f"__b{s // 32}", s % 32).bitwiseAND(F.lit(15)).cast("int")
+        return F.get("__sums", F.lit(4 * s) + subset)
+    on = reduce(lambda t, s: t + looked_up(s), range(0, n_samples, 4), F.lit(0.0))
+    n_kept = reduce(lambda t, i: t + F.bit_count(f"__b{i}"), range(blocks), F.lit(0)).cast("long")
+    x = x.select("__id", "__all", "word", on.alias("on"), n_kept.alias("n_kept"))
     off = F.lit(n_samples) - F.col("n_kept")
     return x.select(F.col("__id").alias(id_col), "word",
                     (F.try_divide("on", "n_kept") - F.try_divide(F.col("__all") - F.col("on"), off)).alias("weight"),

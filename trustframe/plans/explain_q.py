@@ -221,6 +221,11 @@ def _is(word):
     return lambda t: t == F.lit(word)
 
 
+def in_scorer(word):
+    """The words that ``text_scorer`` looks at."""
+    return word.isin(*TEXT_WORDS)
+
+
 def text_scorer(tokens):
     def margin(known):
         s = F.lit(-1.0)
@@ -228,7 +233,7 @@ def text_scorer(tokens):
             s = s + F.lit(b) * F.size(F.filter(known, _is(w)))
         return s
     # one pass over all words, the others over the few that count
-    s = F.get(F.transform(F.array(F.filter(tokens, lambda t: t.isin(*TEXT_WORDS))), margin), F.lit(0))
+    s = F.get(F.transform(F.array(F.filter(tokens, in_scorer)), margin), F.lit(0))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
 
 
@@ -253,4 +258,4 @@ FROM k JOIN f ON k.id = f.id AND k.s = f.s GROUP BY k.id, k.word"""
 def lime_text(spark, sf):
     """E5 + E9: word importance for every document (whole text, 64 masks)."""
     d = T(spark, sf, "documents").select("doc_id", "text")
-    return ex.lime_text(deal_small(d), "doc_id", "text", text_scorer)
+    return ex.lime_text(deal_small(d), "doc_id", "text", text_scorer, counts=in_scorer)
